@@ -1,0 +1,33 @@
+"""Exact medians by way of value counts."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def exact_medians(
+    rows: DataFrame, keys: Sequence[str], columns: Mapping[str, str], means: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Interpolated median (and optionally mean) of several sensor columns per key.
+
+    Readings are first counted per (key, sensor, value), which shrinks on the map side and
+    spreads a key with very many readings over its distinct values; the medians then come
+    from these counts. ``columns`` maps a column to its median's name, ``means`` to its mean's.
+    """
+    names = list(columns)
+    whole = all(isinstance(rows.schema[c].dataType, T.IntegralType) for c in names)
+    pairs = ", ".join(f"{i}, cast(`{c}` as {'bigint' if whole else 'double'})" for i, c in enumerate(names))
+    values = rows.select(*keys, F.expr(f"stack({len(names)}, {pairs}) as (capteur, valeur)"))
+    counts = values.groupBy(*keys, "capteur", "valeur").agg(F.count("*").alias("n"))
+    aggs = []
+    for i, c in enumerate(names):
+        value = F.when(F.col("capteur") == i, F.col("valeur"))
+        aggs.append(F.percentile(value, F.lit(0.5), F.col("n")).alias(columns[c]))
+        if means and c in means:
+            present = F.when(value.isNotNull(), F.col("n"))
+            aggs.append((F.sum(value.cast("double") * F.col("n")) / F.nullif(F.sum(present), F.lit(0))).alias(means[c]))
+    return counts.groupBy(*keys).agg(*aggs)

@@ -1,4 +1,4 @@
-"""Daily, weekly and monthly rollups: one pass over the readings each."""
+"""Daily, weekly and monthly rollups."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rivulet.functions.numeric import floor_zero, from_micro, recycling_rate, round_half_up, round_to_int, to_micro
 from rivulet.functions.timegrain import GRAINS, PARIS, bounds, bucket_of, buckets, grid, time_between
 from rivulet.operators.counters import TRANCHE, counter_max_steps, counter_slices
+from rivulet.operators.medians import exact_medians
 from rivulet.schemas import (
     DAILY_ROLLUP,
     ENERGY_COUNTER,
@@ -84,19 +85,23 @@ def rollup_daily(
 def _long_span(readings: DataFrame, as_of: datetime, grain: str, tz: str, lookback: int) -> DataFrame:
     """Weekly and monthly metrics of the buckets that have readings.
 
-    Means are partial sums and medians partial value counts (bounded by the sensors' integer
-    range), so each input split ships one row per station and bucket.
+    Counter maxima and pressure means are one partial aggregation; the sensors that need a
+    median are counted by value in a second pass over their own columns.
     """
     bucket = GRAINS[grain].bucket
     span = buckets(as_of, grain, tz, lookback)
     rows = time_between(readings, TIME, span[0].start, span[-1].end)
-    sensors = {"chlore": "chlore_mv", "ph": "ph", "temp": "temperature_deg"}
-    per_bucket = rows.groupBy(STATION, bucket_of(rows, TIME, span).alias(bucket)).agg(
+    rows = rows.withColumn(bucket, bucket_of(rows, TIME, span))
+    keys = [STATION, bucket]
+    counted = rows.groupBy(*keys).agg(
         *[F.max(to_micro(F.col(c))).alias(name) for c, name in _COUNTERS.items()],
         *[F.avg(c).alias(p) for c, p in zip(PRESSURES, ROLLUP_PRESSURES)],
-        *[F.avg(c).alias(f"{n}_avg") for n, c in sensors.items()],
-        *[F.median(c).alias(f"{n}_med") for n, c in sensors.items()],
     )
+    sensors = {"chlore_mv": "chlore", "ph": "ph", "temperature_deg": "temp"}
+    typical = exact_medians(
+        rows, keys, {c: f"{n}_med" for c, n in sensors.items()}, {c: f"{n}_avg" for c, n in sensors.items()}
+    )
+    per_bucket = counted.join(typical, keys, "left")
     steps = counter_max_steps(per_bucket, bucket, {n: n for n in _COUNTERS.values()})
     others = [F.col(c) for c in per_bucket.columns if c not in _COUNTERS.values()]
     stepped = per_bucket.select(*others, *steps)
