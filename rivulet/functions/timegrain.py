@@ -145,8 +145,7 @@ def local_time(df: DataFrame, column: str, tz: str = "UTC") -> Column:
 
 def with_hour(df: DataFrame, column: str, tz: str = "UTC", name: str = "heure") -> DataFrame:
     """Add the start of the local hour."""
-    wall = df.withColumn(name, local_time(df, column, tz))
-    return wall.withColumn(name, F.window(F.col(name), "1 hour")["start"])
+    return df.withColumn(name, F.window(local_time(df, column, tz), "1 hour")["start"])
 
 
 def bucket_of(df: DataFrame, column: str, span: list[Bucket]) -> Column:

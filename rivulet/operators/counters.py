@@ -43,13 +43,19 @@ def counter_slices(
         *[e.alias(f"_x{i}") for i, e in enumerate((extra or {}).values())],
     )
     within = Window.partitionBy(STATION, TRANCHE).orderBy(*order)
-    rows = rows.withColumn("_first", F.lag(F.lit(1)).over(within).isNull())
-    rows = rows.withColumn("_last", F.lead(F.lit(1)).over(within).isNull())
-    for i in range(len(sources)):
-        rows = rows.withColumn(f"_d{i}", floor_zero(F.col(f"_c{i}") - F.lag(f"_c{i}").over(within)))
+    indices = range(len(sources))
+    rows = rows.select(
+        STATION,
+        TRANCHE,
+        F.lag(F.lit(1)).over(within).isNull().alias("_first"),
+        F.lead(F.lit(1)).over(within).isNull().alias("_last"),
+        *[f"_c{i}" for i in indices],
+        *[floor_zero(F.col(f"_c{i}") - F.lag(f"_c{i}").over(within)).alias(f"_d{i}") for i in indices],
+        *[f"_x{i}" for i in range(len(extra or {}))],
+    )
 
     aggs: list[Column] = []
-    for i in range(len(sources)):
+    for i in indices:
         aggs += [
             F.sum(f"_d{i}").alias(f"_sum{i}"),
             F.max(F.when(F.col("_first"), F.col(f"_c{i}"))).alias(f"_open{i}"),

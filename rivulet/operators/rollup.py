@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rivulet.functions.numeric import floor_zero, from_micro, recycling_rate, round_half_up, round_to_int, to_micro
 from rivulet.functions.timegrain import GRAINS, PARIS, bounds, bucket_of, buckets, grid, time_between
@@ -30,8 +32,11 @@ _RENVOI, _ADOUCIE = VOLUMES[0], VOLUMES[1]
 _STAMPS = ("created_at", "updated_at")
 
 
-def _published(df: DataFrame, schema) -> DataFrame:
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema if f.name not in _STAMPS])
+def _published(df: DataFrame, schema: T.StructType, shown: Mapping[str, Column] | None = None) -> DataFrame:
+    """The rollup's columns in declared order and type; ``shown`` replaces some of them."""
+    shown = shown or {}
+    fields = [f for f in schema if f.name not in _STAMPS]
+    return df.select(*[shown.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in fields])
 
 
 def rollup_daily(
@@ -76,10 +81,9 @@ def rollup_daily(
     dense = grid(universe, as_of, "daily", tz).join(shaped, [STATION, bucket], "left")
     # Two-decimal volumes as whole hundredths, so that the rate has no representation noise.
     cents = {v: F.rint(F.col(v) * F.lit(100)).cast("long") for v in (_RENVOI, _ADOUCIE)}
-    dense = dense.withColumn("taux_recyclage", recycling_rate(cents[_RENVOI], cents[_ADOUCIE]))
-    for c in (*VOLUMES, "conso_kwh", "taux_desinfection", "chlore_moy_mg_l"):
-        dense = dense.withColumn(c, floor_zero(F.col(c)))
-    return _published(dense, DAILY_ROLLUP)
+    shown = {c: floor_zero(F.col(c)) for c in (*VOLUMES, "conso_kwh", "taux_desinfection", "chlore_moy_mg_l")}
+    shown["taux_recyclage"] = recycling_rate(cents[_RENVOI], cents[_ADOUCIE])
+    return _published(dense, DAILY_ROLLUP, shown)
 
 
 def _long_span(readings: DataFrame, as_of: datetime, grain: str, tz: str, lookback: int) -> DataFrame:
@@ -141,9 +145,8 @@ def rollup_weekly(
     weeks = _long_span(readings, as_of, "weekly", tz, lookback_buckets)
     universe = stations if stations is not None else station_universe(aggregated, readings)
     dense = grid(universe, as_of, "weekly", tz).join(weeks, [STATION, bucket], "left")
-    for c in (*VOLUMES, "conso_kwh", "taux_recyclage"):
-        dense = dense.withColumn(c, floor_zero(F.col(c)))
-    return _published(dense, WEEKLY_ROLLUP)
+    shown = {c: floor_zero(F.col(c)) for c in (*VOLUMES, "conso_kwh", "taux_recyclage")}
+    return _published(dense, WEEKLY_ROLLUP, shown)
 
 
 def rollup_monthly(readings: DataFrame, as_of: datetime, tz: str = PARIS, lookback_buckets: int = 1) -> DataFrame:
