@@ -1,0 +1,141 @@
+import pytest
+
+from rivulet.operators import entitlements as ent
+from rivulet.operators import stations as st
+from rivulet.schemas import ORGANIZATION_USERS, ORGANIZATIONS, ROLES, STATION_ACCESS, STATIONS, USER_ROLES, USERS
+from tests.conftest import rows_of
+
+
+@pytest.fixture(scope="module")
+def automate(spark):
+    data = [
+        ("S1", 1, "Acme", "Nord", "a@x", "", None, None),
+        ("S2", 2, "ACME", "Nord", None, None, None, 2),
+        ("S3", 3, None, "Sud", "c@x", "d@x", "e@x", 1),
+        ("S4", 4, "Zeta", None, "", "z@x", None, None),
+        ("S0", 5, "Acme", "Nord", None, None, None, None),
+    ]
+    return spark.createDataFrame(data, STATIONS)
+
+
+@pytest.fixture(scope="module")
+def orgs(spark):
+    return spark.createDataFrame([(1, "acme"), (2, "Beta")], ORGANIZATIONS)
+
+
+@pytest.fixture(scope="module")
+def people(spark):
+    users = spark.createDataFrame(
+        [(1, "root@x", True, None), (2, "m@x", True, "acme"), (3, "n@x", True, "Beta"), (4, "lonely@x", False, None)], USERS
+    )
+    roles = spark.createDataFrame([(1, "Admin"), (2, "super_admin"), (3, "client")], ROLES)
+    held = spark.createDataFrame([(1, 1), (1, 3), (2, 3), (2, 3)], USER_ROLES)
+    members = spark.createDataFrame(
+        [(1, 2, "employee"), (2, 1, "org_admin"), (2, 2, "org_admin"), (3, 2, "employee")], ORGANIZATION_USERS
+    )
+    return users, roles, held, members
+
+
+def test_list_and_lookup(automate):
+    listed = st.list_stations(automate).collect()
+    assert [(r["client"], r["nom_automate"]) for r in listed] == [
+        ("ACME", "S2"), ("Acme", "S0"), ("Acme", "S1"), ("Zeta", "S4"), (None, "S3"),
+    ]
+    assert {r["nom_automate"]: r["emails"] for r in listed} == {
+        "S0": [], "S1": ["a@x"], "S2": [], "S3": ["c@x", "d@x", "e@x"], "S4": ["z@x"],
+    }
+    assert st.lookup_station(automate, "S3").first()["emails"] == ["c@x", "d@x", "e@x"]
+    assert st.lookup_station(automate, "none").count() == 0
+    assert st.lookup_station(automate).count() == 5
+
+
+def test_clients_sites_and_resolution(spark, automate):
+    assert [r[0] for r in st.distinct_clients(automate).collect()] == ["ACME", "Acme", "Zeta"]
+    assert rows_of(st.distinct_sites(automate, "Acme"), "lieu") == [("Nord",)]
+    assert len(rows_of(st.distinct_sites(automate), "client", "lieu")) == 2
+    pairs = spark.createDataFrame([("Acme", "Nord"), ("Acme", "Sud")], "client string, lieu string")
+    assert rows_of(st.resolve_station(automate, pairs), "client", "lieu", "nom_automate") == [("Acme", "Nord", "S0")]
+
+
+def test_orphans_and_org_stations(automate, orgs):
+    assert [r[0] for r in st.orphan_clients(automate, orgs).collect()] == ["Zeta"]
+    assert rows_of(st.org_stations(automate, orgs), "org_id", "nom_automate") == [
+        (1, "S0"), (1, "S1"), (1, "S2"), (1, "S3"), (2, "S2"),
+    ]
+
+
+def test_station_matching_twice_is_listed_once(spark, orgs):
+    both = spark.createDataFrame([("S9", 9, "Acme", "Nord", None, None, None, 1)], STATIONS)
+    assert rows_of(st.org_stations(both, orgs), "org_id", "nom_automate") == [(1, "S9")]
+
+
+def test_station_changes(spark, automate):
+    new = spark.createDataFrame([("S1", "x", "y", None), ("S7", "New", "Est", " Q@R ")], "nom_automate string, client string, lieu string, email string")
+    added = {r["nom_automate"]: r for r in st.add_stations(automate, new).collect()}
+    assert len(added) == 6 and added["S1"]["client"] == "Acme" and added["S7"]["email"] == "q@r"
+    edits = spark.createDataFrame(
+        [("S3", None, " ", "D2@X"), ("S1", "Neu", None, None), ("gone", "a", "b", "c")],
+        "nom_automate string, client string, email string, email2 string",
+    )
+    after = {r["nom_automate"]: r for r in st.update_stations(automate, edits).collect()}
+    assert len(after) == 5
+    assert (after["S3"]["client"], after["S3"]["email"], after["S3"]["email2"], after["S3"]["email3"]) == (None, None, "d2@x", "e@x")
+    assert (after["S1"]["client"], after["S1"]["email"]) == ("Neu", "a@x")
+    assert st.remove_stations(automate, edits).count() == 3
+
+
+def test_roles_and_orgs(people, orgs):
+    users, roles, held, members = people
+    assert rows_of(ent.user_roles(held, roles), "user_id", "role")[:2] == [(1, "Admin"), (1, "client")]
+    assert rows_of(ent.user_orgs(members, orgs), "user_id", "name") == [(1, "Beta"), (2, "Beta"), (2, "acme"), (3, "Beta")]
+    assert rows_of(ent.users_with_role(users, held, roles, "Admin"), "id") == [(1,)]
+    assert [r["id"] for r in ent.client_accounts(users).collect()] == [2, 3]
+    assert [r[0] for r in ent.account_clients(users).collect()] == ["Beta", "acme"]
+    assert [r[0] for r in ent.list_roles(roles).collect()] == ["Admin", "client", "super_admin"]
+    assert [tuple(r) for r in ent.list_orgs(orgs).collect()] == [(2, "Beta"), (1, "acme")]
+
+
+def test_visibility(people, orgs, automate):
+    users, roles, held, members = people
+    scope = ent.station_scope(held, roles, members, orgs)
+    assert rows_of(scope, "user_id", "client_key") == [(1, "*"), (2, "acme"), (2, "beta"), (3, "beta")]
+
+    def seen(user, rules=scope):
+        return {r[0] for r in ent.visible_stations(automate, rules, user).select("nom_automate").collect()}
+
+    assert seen(1) == {"S0", "S1", "S2", "S3", "S4"}
+    assert seen(2) == {"S0", "S1", "S2"}
+    assert seen(3) == set() and seen(4) == set()
+    # an admin's own organization decides when the view of a user is shown
+    assert seen(1, ent.station_scope(held, roles, members, orgs, view_as=True)) == set()
+    counts = rows_of(ent.visible_station_counts(automate, scope), "user_id", "sees_all", "nb_stations")
+    assert counts == [(1, True, 5), (2, False, 3), (3, False, 0)]
+
+
+def test_directory(people, orgs):
+    users, roles, held, members = people
+    rows = {r["id"]: r for r in ent.user_directory(users, held, roles, members, orgs).collect()}
+    assert rows[1]["roles"] == ["Admin", "client"] and rows[2]["roles"] == ["client"] and rows[4]["roles"] == []
+    assert [tuple(o) for o in rows[2]["organizations"]] == [("Beta", "org_admin"), ("acme", "org_admin")]
+    assert (rows[2]["org_name"], rows[2]["org_role"]) == ("Beta", "org_admin")
+    assert (rows[4]["organizations"], rows[4]["org_name"]) == ([], None)
+
+
+def test_members_and_admins(people, orgs):
+    users, roles, held, members = people
+    assert [r["email"] for r in ent.org_members(users, members, 2).collect()] == ["m@x", "n@x", "root@x"]
+    assert [r["email"] for r in ent.org_members(users, members, 2, by_role=True).collect()] == ["m@x", "n@x", "root@x"]
+    assert rows_of(ent.admin_orgs(members, orgs), "user_id", "name") == [(2, "Beta"), (2, "acme")]
+    assert rows_of(ent.first_admin_org(members, orgs), "user_id", "organization_id", "name") == [(2, 2, "Beta")]
+
+
+def test_grants(spark, people, orgs, automate):
+    users, roles, held, members = people
+    access = spark.createDataFrame([("S1", 2), ("S1", 3), ("S4", 3)], STATION_ACCESS)
+    assert rows_of(ent.station_users(access, users), "automate_nom", "email") == [("S1", "m@x"), ("S1", "n@x"), ("S4", "n@x")]
+    assert rows_of(ent.member_stations(access, members, 1), "user_id", "automate_nom") == [(2, "S1")]
+    asked = spark.createDataFrame([("S1",), ("S4",)], "nom_automate string")
+    valid = st.org_stations(automate, orgs.where("id = 1"))
+    assert rows_of(ent.invalid_grants(asked, valid, "nom_automate"), "nom_automate") == [("S4",)]
+    removed = spark.createDataFrame([(2, 2), (3, 2)], "user_id long, organization_id int")
+    assert rows_of(ent.fallback_org(removed, members, orgs), "user_id", "client_id") == [(2, "acme"), (3, None)]
