@@ -19,6 +19,7 @@ def spark() -> SparkSession:
         .config("spark.driver.memory", "4g")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.maxMetadataStringLength", "2000")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
@@ -48,3 +49,17 @@ def readings(spark) -> Callable[..., DataFrame]:
 
 def rows_of(df: DataFrame, *columns: str) -> list[tuple]:
     return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
+
+
+@pytest.fixture
+def readings_table(readings, tmp_path) -> str:
+    """A date-partitioned readings table on disk."""
+    path = str(tmp_path / "mesures")
+    df = readings(
+        {"horodatage": "2024-01-01 23:59"},
+        {"horodatage": "2024-01-02 05:00"},
+        {"horodatage": "2024-01-02 06:00", "nom_automate": "B"},
+        {"horodatage": "2024-01-03 00:00"},
+    )
+    df.selectExpr("*", "to_date(horodatage) as d").write.partitionBy("d").parquet(path)
+    return path
