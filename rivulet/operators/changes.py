@@ -8,10 +8,11 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CREATED, UPDATED = "created_at", "updated_at"
+ID_GROUPS = 4096
 
 
 def _aligned(target: DataFrame, rows: DataFrame) -> DataFrame:
@@ -195,9 +196,14 @@ def replace_set(
 def append_rows(target: DataFrame, new: DataFrame, key: str = "id") -> DataFrame:
     """Append rows with generated ids above every existing one.
 
-    Ids are unique but not dense, like a database sequence after rollbacks: each task numbers
-    its own rows, so no global sort is needed.
+    Rows are numbered inside hash groups and the groups' numbers interleaved, so there is no
+    global sort, and evaluating the result again gives the same ids. They are unique but not
+    dense, like a database sequence after rollbacks.
     """
     top = target.agg(F.coalesce(F.max(key), F.lit(0)).cast("long").alias("top")).first()["top"]
-    numbered = new.withColumn(key, F.monotonically_increasing_id() + F.lit(top + 1))
+    content = [c for c in new.columns if c != key]
+    group = F.pmod(F.xxhash64(*content), F.lit(ID_GROUPS))
+    rank = F.row_number().over(Window.partitionBy("_group").orderBy(*content))
+    numbered = new.select(*content, group.alias("_group"))
+    numbered = numbered.withColumn(key, F.lit(top) + (rank.cast("long") - 1) * ID_GROUPS + F.col("_group") + 1)
     return target.unionByName(_aligned(target, numbered))
