@@ -140,12 +140,11 @@ def station_users(access: DataFrame, users: DataFrame) -> DataFrame:
     return access.join(people, "user_id").select("automate_nom", "user_id", "email").orderBy("automate_nom", "email")
 
 
-def member_stations(access: DataFrame, org_users: DataFrame, org_id: int) -> DataFrame:
-    """Stations granted to each member of an organization."""
-    members = org_users.where(F.col("organization_id") == F.lit(org_id)).select("user_id")
-    return access.join(members, "user_id", "left_semi").select("user_id", "automate_nom").orderBy(
-        "user_id", "automate_nom"
-    )
+def member_stations(access: DataFrame, org_users: DataFrame, org_id: int | None = None) -> DataFrame:
+    """Stations granted to each member of one organization, or of any."""
+    members = org_users if org_id is None else org_users.where(F.col("organization_id") == F.lit(org_id))
+    granted = access.join(members.select("user_id"), "user_id", "left_semi")
+    return granted.select("user_id", "automate_nom").orderBy("user_id", "automate_nom")
 
 
 def invalid_grants(requested: DataFrame, valid: DataFrame, key: str) -> DataFrame:

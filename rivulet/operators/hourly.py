@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rivulet.functions.numeric import from_micro, round_half_up, to_micro, wrap_delta
-from rivulet.functions.timegrain import local_time, time_between, with_hour
+from rivulet.functions.timegrain import local_time, time_between, utc_naive, with_hour
 from rivulet.operators.counters import TRANCHE, counter_slices
 from rivulet.operators.medians import exact_medians
 from rivulet.schemas import ENERGY_COUNTER, PERCENT_COUNTERS, PRESSURES, STATION, TIME, VOLUMES
@@ -28,8 +28,9 @@ def recent(
     column: str = TIME,
 ) -> DataFrame:
     """Readings of the last ``hours``; ``open_end`` leaves the upper side unbounded."""
-    end = None if open_end else as_of
-    return keep_stations(time_between(readings, column, as_of - timedelta(hours=hours), end), stations)
+    now = utc_naive(as_of)
+    end = None if open_end else now
+    return keep_stations(time_between(readings, column, now - timedelta(hours=hours), end), stations)
 
 
 def _per_hour(readings: DataFrame, tz: str, *aggs: Column) -> DataFrame:

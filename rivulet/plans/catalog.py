@@ -1,4 +1,8 @@
-"""Every operator as a runnable query over the test tables: ``name -> f(spark, sf_dir)``."""
+"""Every operator as a runnable query over the test tables: ``name -> f(spark, sf_dir)``.
+
+All queries read their tables whole. Batches of changes touch only some keys, as real batches do,
+but the result is always the whole next state of the table.
+"""
 
 from __future__ import annotations
 
@@ -11,7 +15,7 @@ from pyspark.sql import functions as F
 from rivulet.functions.numeric import round_half_up
 from rivulet.functions.text import emails_csv, normalize_emails
 from rivulet.functions.timegrain import GRAINS, buckets, grid, retention_cutoff
-from rivulet.operators import changes, counters, entitlements, fill, fleet, hourly, incidents, latest, messages, rollup
+from rivulet.operators import access, changes, counters, entitlements, fill, fleet, hourly, incidents, latest, messages, rollup
 from rivulet.operators import series, stations
 from rivulet.plans.inputs import AS_OF, AS_OF_LONG, load_input
 from rivulet.schemas import ENERGY_COUNTER, PERCENT_COUNTERS, STATION, VOLUMES, WATER_COUNTERS
@@ -479,7 +483,7 @@ def _(t: Tables) -> DataFrame:
 
 @query("member_stations")
 def _(t: Tables) -> DataFrame:
-    return entitlements.member_stations(t.automate_access, t.organization_users, 3)
+    return entitlements.member_stations(t.automate_access, t.organization_users)
 
 
 @query("invalid_grants")
@@ -552,9 +556,9 @@ def _(t: Tables) -> DataFrame:
     return messages.message_thread(t.messages, "client_id")
 
 
-@query("message_thread_of_conversation")
+@query("message_thread_by_conversation")
 def _(t: Tables) -> DataFrame:
-    return messages.message_thread(t.messages, "conversation_id", 10)
+    return messages.message_thread(t.messages, "conversation_id")
 
 
 @query("unread_count_client_side")
@@ -682,3 +686,85 @@ def _(t: Tables) -> DataFrame:
     clients = t.automate.select(F.col("numero_automate").cast("string").alias("client_id"))
     missing = messages.missing_conversations(clients, t.fils)
     return changes.append_rows(t.fils, missing.withColumn("created_at", F.expr(NOW)))
+
+
+# --- access changes -----------------------------------------------------------------------
+
+
+def _assigned(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Users of two residue classes get new roles, and organizations by list or by single client."""
+    user, nation = F.col("id"), F.concat(F.lit("nation_"), (F.col("id") % 25).cast("string"))
+    neighbour = F.concat(F.lit(" nation_"), ((user + 1) % 25).cast("string"), F.lit(" "))
+    requests = t.users.where(user % 3 != 2).select(
+        user.alias("user_id"),
+        F.when(user % 2 == 0, F.array(F.lit(" Admin"), F.lit("client"))).otherwise(F.array(F.lit("client"), F.lit("?"))).alias("roles"),
+        F.when(user % 2 == 0, nation).alias("client_id"),
+        F.when(user % 3 == 0, F.array(nation, neighbour, F.lit("missing"))).alias("organization_names"),
+    )
+    return access.assign_access(t.users, t.organization_users, t.user_roles, t.organizations, t.roles, requests)
+
+
+@query("assign_access_users")
+def _(t: Tables) -> DataFrame:
+    return _assigned(t)[0]
+
+
+@query("assign_access_members")
+def _(t: Tables) -> DataFrame:
+    return _assigned(t)[1]
+
+
+@query("assign_access_roles")
+def _(t: Tables) -> DataFrame:
+    return _assigned(t)[2]
+
+
+@query("create_organizations")
+def _(t: Tables) -> DataFrame:
+    """Memberships by organization name after some accounts found, or take over, an organization."""
+    user = F.col("id")
+    name = F.when(user % 4 == 0, F.concat(F.lit("nation_"), (user % 25).cast("string"))).otherwise(
+        F.concat(F.lit(" ville_"), user.cast("string"))
+    )
+    requests = t.users.where(user % 10 == 0).select(name.alias("name"), F.upper("email").alias("admin_email"))
+    orgs, members, _, _ = access.create_organizations(t.organizations, t.organization_users, t.users, t.automate, requests)
+    return entitlements.user_orgs(members, orgs).select("user_id", "name", "org_role")
+
+
+@query("add_members")
+def _(t: Tables) -> DataFrame:
+    """Every organization gets a new administrator and some employees."""
+    user, org = F.col("id"), (F.col("id") % 25).cast("int")
+    requests = t.users.where(user % 2 == 1).select(
+        org.alias("organization_id"),
+        F.concat(F.lit(" "), F.upper("email")).alias("email"),
+        F.when(user < 50, F.lit("Org_Admin")).when(user % 7 == 0, F.lit("chief")).otherwise(F.lit("employee")).alias("org_role"),
+    )
+    return access.add_members(t.organization_users, t.users, t.organizations, requests)[0]
+
+
+@query("remove_members")
+def _(t: Tables) -> DataFrame:
+    removed = t.organization_users.where((F.col("user_id") + F.col("organization_id")) % 5 == 0)
+    return access.remove_members(t.organization_users, t.users, t.organizations, removed)[1]
+
+
+@query("set_station_access")
+def _(t: Tables) -> DataFrame:
+    """Every registered station is granted to two accounts, one of which may not exist."""
+    number = F.col("numero_automate") - 100
+
+    def address(n):
+        return F.concat(F.lit("Customer#"), F.lpad(n.cast("string"), 9, "0"), F.lit("@user.example "))
+
+    second = F.when(number % 5 == 0, F.lit("nobody@user.example")).otherwise(address(number + 1))
+    requests = t.automate.select(F.col(STATION).alias("automate_nom"), F.array(address(number), second).alias("emails"))
+    return access.set_station_access(t.automate_access, t.users, requests)[0]
+
+
+@query("set_member_access")
+def _(t: Tables) -> DataFrame:
+    """Members of one organization renew their grants; a third of them name a foreign station."""
+    own = F.array(F.lit("ST1"), F.when(F.col("user_id") % 3 == 0, F.lit("elsewhere")).otherwise(F.lit("ST1")))
+    requests = t.organization_users.where("organization_id = 1").select("user_id", own.alias("automate_noms"))
+    return access.set_member_access(t.automate_access, t.organization_users, t.organizations, t.automate, requests, 1)[0]

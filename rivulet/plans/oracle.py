@@ -667,8 +667,7 @@ def all_oracles() -> dict[str, str]:
         ),
         "member_stations": sql(
             inputs("automate_access", "organization_users"),
-            "select user_id, automate_nom from automate_access where user_id in (select user_id from organization_users "
-            "where organization_id = 3)",
+            "select user_id, automate_nom from automate_access where user_id in (select user_id from organization_users)",
         ),
         "invalid_grants": sql(
             [*_org_station_ctes(), *inputs("automate_access")],
@@ -723,9 +722,9 @@ def all_oracles() -> dict[str, str]:
             inputs("messages"),
             "select * replace (strftime(created_at, '%Y-%m-%dT%H:%M:%S') as created_at) from messages",
         ),
-        "message_thread_of_conversation": sql(
+        "message_thread_by_conversation": sql(
             inputs("messages"),
-            "select * replace (strftime(created_at, '%Y-%m-%dT%H:%M:%S') as created_at) from messages where conversation_id = 10",
+            "select * replace (strftime(created_at, '%Y-%m-%dT%H:%M:%S') as created_at) from messages",
         ),
         "unread_count_client_side": sql(
             inputs("messages"),
@@ -806,5 +805,97 @@ def all_oracles() -> dict[str, str]:
             "select * from automate_access where user_id % 2 <> 0 or user_id % 4 = 0 "
             "or automate_nom not in (select nom_automate from liees)",
         ),
+        # access
+        "assign_access_users": sql(
+            inputs("users"),
+            "select * replace (case when id % 3 = 0 or (id % 3 = 1 and id % 2 = 0) then 'nation_' || cast(id % 25 as varchar) "
+            "else client_id end as client_id) from users",
+        ),
+        "assign_access_members": sql(
+            [
+                *inputs("users", "organization_users"),
+                (
+                    "voulus",
+                    "select id as user_id, cast(id % 25 as int) as organization_id from users where id % 3 = 0 union "
+                    "select id, cast((id + 1) % 25 as int) from users where id % 3 = 0",
+                ),
+                ("seuls", "select id as user_id, cast(id % 25 as int) as organization_id from users where id % 6 = 4"),
+            ],
+            "select * from organization_users o where user_id % 3 <> 0 and not exists (select 1 from seuls s where "
+            "s.user_id = o.user_id and s.organization_id = o.organization_id) "
+            "union all select user_id, organization_id, 'employee' from seuls "
+            "union all select v.user_id, v.organization_id, coalesce(o.org_role, 'employee') from voulus v left join "
+            "organization_users o using (user_id, organization_id)",
+        ),
+        "assign_access_roles": sql(
+            inputs("users", "user_roles"),
+            "select * from user_roles where user_id % 3 = 2 union all select id, cast(3 as int) from users where id % 3 <> 2 "
+            "union all select id, cast(1 as int) from users where id % 3 <> 2 and id % 2 = 0",
+        ),
+        "create_organizations": sql(
+            [
+                *inputs("users", "organization_users", "organizations"),
+                (
+                    "fondees",
+                    "select id as user_id, case when id % 4 = 0 then 'nation_' || cast(id % 25 as varchar) else 'ville_' || "
+                    "cast(id as varchar) end as name from users where id % 10 = 0",
+                ),
+            ],
+            f"select user_id, name, org_role from {members} where not exists (select 1 from fondees f where f.user_id = "
+            "organization_users.user_id and f.name = o.name) union all select user_id, name, 'org_admin' from fondees",
+        ),
+        "add_members": sql(
+            [
+                *inputs("users", "organization_users"),
+                (
+                    "ajouts",
+                    "select id as user_id, cast(id % 25 as int) as organization_id, case when id < 50 then 'org_admin' else "
+                    "'employee' end as org_role from users where id % 2 = 1 and (id < 50 or id % 7 <> 0)",
+                ),
+            ],
+            "select user_id, organization_id, case when exists (select 1 from ajouts a where a.org_role = 'org_admin' and "
+            "a.organization_id = o.organization_id and a.user_id <> o.user_id) then 'employee' else org_role end as org_role "
+            "from organization_users o where not exists (select 1 from ajouts a where a.user_id = o.user_id and "
+            "a.organization_id = o.organization_id) union all select user_id, organization_id, org_role from ajouts",
+        ),
+        "remove_members": sql(
+            [
+                *inputs("users", "organization_users", "organizations"),
+                ("partis", "select * from organization_users where (user_id + organization_id) % 5 = 0"),
+                (
+                    "reste",
+                    "select user_id, min(name) as name from organization_users m join organizations on id = organization_id "
+                    "where (user_id + organization_id) % 5 <> 0 group by 1",
+                ),
+            ],
+            "select * replace (case when id in (select user_id from partis) then (select name from reste where user_id = id) "
+            "else client_id end as client_id) from users",
+        ),
+        "set_station_access": sql(
+            [
+                *inputs("automate", "automate_access", "users"),
+                ("demandes", "select nom_automate, numero_automate - 100 as n from automate"),
+                (
+                    "valides",
+                    "select * from demandes where n % 5 <> 0 and n in (select id from users) and n + 1 in (select id from users)",
+                ),
+            ],
+            "select * from automate_access where automate_nom not in (select nom_automate from valides) union all "
+            "select nom_automate, n from valides union all select nom_automate, n + 1 from valides",
+        ),
+        "set_member_access": sql(
+            [
+                *_org_station_ctes(),
+                *inputs("automate_access", "organization_users"),
+                ("propres", "select nom_automate from stations_org where org_id = 1"),
+                (
+                    "valides",
+                    "select user_id from organization_users where organization_id = 1 and user_id % 3 <> 0 "
+                    "and 'ST1' in (select nom_automate from propres)",
+                ),
+            ],
+            "select * from automate_access where not (user_id in (select user_id from valides) and automate_nom in "
+            "(select nom_automate from propres)) union all select 'ST1', user_id from valides",
+        ),
     }
     return out

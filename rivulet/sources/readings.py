@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.functions.timegrain import time_between
+from rivulet.functions.timegrain import time_between, utc_naive
 from rivulet.schemas import SEQ, STATION, TIME
 
 Stations = Sequence[str] | DataFrame | None
@@ -44,9 +44,9 @@ def scan_readings(
     df = keep_stations(time_between(df, time_col, start, end), stations, station_col)
     if date_partition:
         if start is not None:
-            df = df.where(F.col(date_partition) >= F.lit(start.date()))
+            df = df.where(F.col(date_partition) >= F.lit(utc_naive(start).date()))
         if end is not None:
-            df = df.where(F.col(date_partition) <= F.lit(end.date()))
+            df = df.where(F.col(date_partition) <= F.lit(utc_naive(end).date()))
     return df.select(*columns) if columns else df
 
 
@@ -73,5 +73,4 @@ def station_universe(aggregated: DataFrame, readings: DataFrame, known: DataFram
 
 def reading_order(df: DataFrame) -> list[str]:
     """Time, then the tie-breaker where the table has one."""
-    time_col = TIME
-    return [time_col, SEQ] if SEQ in df.columns else [time_col]
+    return [TIME, SEQ] if SEQ in df.columns else [TIME]

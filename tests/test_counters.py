@@ -39,6 +39,11 @@ def test_equal_times_are_ordered_by_seq(readings):
     assert total(df) == {"A": 4.0}
 
 
+def test_readings_without_a_tie_breaker(readings):
+    df = readings({"horodatage": "2024-01-01 00:00", KWH: 1.0}, {"horodatage": "2024-01-01 00:09", KWH: 2.5})
+    assert total(df.drop("seq")) == {"A": 1.5}
+
+
 def test_slicing_equals_a_plain_walk_over_each_station(readings):
     rng = random.Random(7)
     rows, want = [], {}

@@ -153,3 +153,12 @@ def test_instants_and_wall_clock_readings_agree(readings):
     for tz in ("UTC", "Europe/Paris"):
         want = rows_of(hourly.hourly_energy(df, AS_OF, tz=tz), "heure", "conso_kwh")
         assert rows_of(hourly.hourly_energy(as_instants, AS_OF, tz=tz), "heure", "conso_kwh") == want
+
+
+def test_aware_as_of_counts_real_hours(readings):
+    from zoneinfo import ZoneInfo
+
+    df = readings(*[{"horodatage": f"2024-03-{d} {h:02d}:30", "chlore_mv": 3} for d in (30, 31) for h in range(24)])
+    as_of = datetime(2024, 3, 31, 12, tzinfo=ZoneInfo("Europe/Paris"))  # 10:00 UTC, after the clock change
+    hours = [r[0] for r in rows_of(hourly.hourly_disinfection_rate(df, as_of), "heure")]
+    assert (len(hours), hours[0], hours[-1]) == (24, datetime(2024, 3, 30, 10), datetime(2024, 3, 31, 9))
