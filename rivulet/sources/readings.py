@@ -59,15 +59,18 @@ def scan_pressure_avg(
     )
 
 
-def station_universe(aggregated: DataFrame, readings: DataFrame, known: DataFrame | None = None) -> DataFrame:
+def station_universe(
+    aggregated: DataFrame | None, readings: DataFrame, known: DataFrame | None = None
+) -> DataFrame:
     """Distinct station names seen in either table.
 
     A maintained list of ``known`` stations lets a job pass only the new readings
     instead of the whole history.
     """
-    names = aggregated.select(STATION).union(readings.select(STATION))
-    if known is not None:
-        names = names.union(known.select(STATION))
+    names = readings.select(STATION)
+    for others in (aggregated, known):
+        if others is not None:
+            names = names.union(others.select(STATION))
     return names.distinct()
 
 

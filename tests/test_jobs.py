@@ -93,3 +93,18 @@ def test_counter_cache_keeps_stale_stations(spark, readings, tmp_path):
     ]
     refresh_latest_counters(spark, second, base, datetime(2024, 1, 2, 12), rebuild=True)
     assert read_table(spark, base, "cache_volumes_total").count() == 1
+
+
+def test_command_line_runs_every_job(spark, inputs, tmp_path):
+    from rivulet.__main__ import main
+
+    readings, base = str(tmp_path / "mesures"), str(tmp_path / "base")
+    inputs["mesures"].write.parquet(readings)
+    common = ["--readings", readings, "--base", base, "--as-of", "2024-01-31", "--tz", "UTC"]
+    for job, rows in (("daily", 8 * 7), ("weekly", 8 * 4), ("counters", 8)):
+        path = main([job, *common])
+        assert spark.read.parquet(path).count() == rows
+    monthly = main(["monthly", *common, "--rebuild"])
+    assert spark.read.parquet(monthly).count() == 8
+    with pytest.raises(SystemExit):
+        main(["yearly", *common])

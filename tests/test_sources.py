@@ -39,6 +39,7 @@ def test_station_universe(spark):
     b = spark.createDataFrame([("B",), ("B",), ("C",)], "nom_automate string")
     assert rows_of(readings.station_universe(a, b), "nom_automate") == [("A",), ("B",), ("C",)]
     assert readings.station_universe(a, b.limit(0), known=b).count() == 3
+    assert readings.station_universe(None, b).count() == 2
 
 
 def test_empty_tables_have_their_schema(spark, tmp_path):
