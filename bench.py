@@ -1,7 +1,8 @@
 """Times the headline queries and prints one JSON line.
 
-``BENCH_SF_DIR`` names the table folder, ``BENCH_CPUS`` the local cores. Each query is planned and
-run twice, every row is computed, and the faster run counts (the first one pays for JVM warm-up).
+``BENCH_SF_DIR`` names the table folder, ``BENCH_CPUS`` the local cores. All queries are
+planned and run in three rounds, every row is computed, and the fastest run of each counts (the
+first round pays for JVM warm-up).
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from rivulet.plans.inputs import AS_OF, AS_OF_LONG, bench_readings, load_input
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 MONTH = 24 * 31
-RUNS = 2
+ROUNDS = 3
 
 
 def session() -> SparkSession:
@@ -80,14 +81,13 @@ def benchmarks(spark: SparkSession) -> dict[str, Callable[[], DataFrame]]:
 def main() -> None:
     spark = session()
     jobs = benchmarks(spark)
-    seconds = {}
-    for name, build in jobs.items():
-        runs = []
-        for _ in range(RUNS):
+    runs: dict[str, list[float]] = {name: [] for name in jobs}
+    for _ in range(ROUNDS):
+        for name, build in jobs.items():
             start = time.perf_counter()
             build().write.format("noop").mode("overwrite").save()
-            runs.append(time.perf_counter() - start)
-        seconds[name] = round(min(runs), 3)
+            runs[name].append(time.perf_counter() - start)
+    seconds = {name: round(min(taken), 3) for name, taken in runs.items()}
     print(
         json.dumps(
             {
