@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from rivulet.functions.numeric import from_micro, round_half_up, to_micro, wrap_delta
 from rivulet.functions.timegrain import local_time, time_between, utc_naive, with_hour
 from rivulet.operators.counters import TRANCHE, counter_slices
-from rivulet.operators.medians import exact_medians
 from rivulet.schemas import ENERGY_COUNTER, PERCENT_COUNTERS, PRESSURES, STATION, TIME, VOLUMES
 from rivulet.sources.readings import Stations, keep_stations
 
@@ -135,8 +134,14 @@ def hourly_disinfection_rate(
 def hourly_pressure_medians(
     readings: DataFrame, as_of: datetime, hours: int = 24, stations: Stations = None, tz: str = "UTC"
 ) -> DataFrame:
-    rows = with_hour(recent(readings, as_of, hours, stations), TIME, tz)
-    return exact_medians(rows, [STATION, HOUR], {c: f"p{i}_med_mbar" for i, c in enumerate(PRESSURES, 1)})
+    """Median of each pressure per hour.
+
+    An hour of one station is a small group, so Spark's own exact median is used: every input
+    split ships value counts, bounded by the sensor's integer range. The long rollup buckets go
+    through ``operators.medians`` instead.
+    """
+    medians = [F.median(c).alias(f"p{i}_med_mbar") for i, c in enumerate(PRESSURES, 1)]
+    return _per_hour(recent(readings, as_of, hours, stations), tz, *medians)
 
 
 def _median_in_range(
@@ -151,10 +156,10 @@ def _median_in_range(
     scale: float | None,
 ) -> DataFrame:
     rows = recent(readings, as_of, hours, stations).where(F.col(column).between(*allowed))
-    medians = exact_medians(with_hour(rows, TIME, tz), [STATION, HOUR], {column: name})
+    median = F.median(column)
     if scale:
-        medians = medians.withColumn(name, F.coalesce(name, F.lit(0.0)) / F.lit(scale))
-    return medians
+        median = F.coalesce(median, F.lit(0.0)) / F.lit(scale)
+    return _per_hour(rows, tz, median.alias(name))
 
 
 def hourly_temperature_median(

@@ -16,7 +16,8 @@ def exact_medians(
 
     Readings are first counted per (key, sensor, value), which shrinks on the map side and
     spreads a key with very many readings over its distinct values; the medians then come
-    from these counts. ``columns`` maps a column to its median's name, ``means`` to its mean's.
+    from these counts. Meant for long buckets; for groups of a few readings ``median`` alone is
+    cheaper. ``columns`` maps a column to its median's name, ``means`` to its mean's.
     """
     names = list(columns)
     whole = all(isinstance(rows.schema[c].dataType, T.IntegralType) for c in names)
