@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.functions.text import iso_timestamp
+from rivulet.operators.changes import append_rows, full_update
 from rivulet.operators.stations import site_stations
 from rivulet.schemas import STATION
 
@@ -91,3 +92,20 @@ def validate_incidents(new: DataFrame, stations: DataFrame) -> tuple[DataFrame,
     """(accepted, rejected with reason)."""
     checked = check_incidents(new, stations)
     return checked.where(F.col("reason").isNull()).drop("reason"), checked.where(F.col("reason").isNotNull())
+
+
+def record_incidents(
+    incidents: DataFrame, new: DataFrame, stations: DataFrame, author: str
+) -> tuple[DataFrame, DataFrame]:
+    """(log with the accepted incidents appended under ``author``, rejected with reason)."""
+    accepted, rejected = validate_incidents(new, stations)
+    return append_rows(incidents, accepted.withColumn("created_by", F.lit(author))), rejected
+
+
+def amend_incidents(incidents: DataFrame, edits: DataFrame, stations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(log with the accepted edits put over the incidents of the same id, rejected with reason).
+
+    All fields but the author are replaced, an empty end date included; unknown ids are ignored.
+    """
+    accepted, rejected = validate_incidents(edits, stations)
+    return full_update(incidents, accepted.drop("created_by"), ["id"]), rejected

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.functions.text import iso_timestamp
+from rivulet.operators.changes import append_rows
 
 # Sender ids of the two sides of a conversation.
 ADMIN_SENDERS = (0, 677)
@@ -47,3 +48,16 @@ def missing_conversations(clients: DataFrame, conversations: DataFrame, kind: st
     have = conversations.where(F.col("type") == F.lit(kind)).select("client_id")
     wanted = clients.where(F.col("client_id").isNotNull()).select("client_id").distinct()
     return wanted.join(have, "client_id", "left_anti").withColumn("type", F.lit(kind))
+
+
+def ensure_conversations(
+    conversations: DataFrame, clients: DataFrame, now: Column, kind: str = "support"
+) -> DataFrame:
+    """Conversations with one of this kind for every client."""
+    missing = missing_conversations(clients, conversations, kind)
+    return append_rows(conversations, missing.withColumn("created_at", now))
+
+
+def post_messages(messages: DataFrame, new: DataFrame, now: Column) -> DataFrame:
+    """Messages with the new ones appended, unread and stamped with the posting time."""
+    return append_rows(messages, new.withColumn("is_read", F.lit(False)).withColumn("created_at", now))

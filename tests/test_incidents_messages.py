@@ -1,6 +1,7 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from rivulet.operators import incidents as inc
 from rivulet.operators import messages as msg
@@ -86,3 +87,31 @@ def test_conversations(spark):
     assert [r["id"] for r in msg.list_conversations(convs, "a").collect()] == [1]
     clients = spark.createDataFrame([("a",), ("b",), ("b",), (None,), ("c",)], "client_id string")
     assert rows_of(msg.missing_conversations(clients, convs), "client_id", "type") == [("b", "support"), ("c", "support")]
+
+
+def test_posting_and_opening(spark, inbox):
+    now = F.expr("TIMESTAMP '2024-02-01 00:00:00'")
+    new = spark.createDataFrame([("c", 1, "hello"), ("d", 0, None)], "client_id string, sender_id int, content string")
+    posted = msg.post_messages(inbox, new, now)
+    fresh = posted.where("id > 8").collect()
+    assert posted.count() == 10 and {(r["client_id"], r["is_read"], r["created_at"]) for r in fresh} == {
+        ("c", False, datetime(2024, 2, 1)), ("d", False, datetime(2024, 2, 1)),
+    }
+    convs = spark.createDataFrame([(1, "a", "support", datetime(2024, 1, 1))], CONVERSATIONS)
+    clients = spark.createDataFrame([("a",), ("b",)], "client_id string")
+    once = msg.ensure_conversations(convs, clients, now)
+    assert rows_of(once, "client_id", "type") == [("a", "support"), ("b", "support")]
+    assert msg.ensure_conversations(once, clients, now).count() == 2
+
+
+def test_recording_and_amending(spark):
+    automate = spark.createDataFrame([("S1", 1, "Acme", "Nord", None, None, None, None)], STATIONS)
+    log = spark.createDataFrame([panne(5, "old", end=datetime(2024, 1, 3))], INCIDENTS)
+    new = spark.createDataFrame([panne(0, "Fuite cuve"), panne(0, "x", lieu="Sud")], INCIDENTS).drop("id", "created_by")
+    recorded, rejected = inc.record_incidents(log, new, automate, "me@site")
+    assert rows_of(rejected, "reason") == [("unknown_site",)]
+    (fresh,) = recorded.where("id <> 5").collect()
+    assert (fresh["panne"], fresh["created_by"]) == ("Fuite cuve", "me@site") and fresh["id"] > 5
+    edits = spark.createDataFrame([panne(5, "new"), panne(77, "z")], INCIDENTS).withColumn("created_by", F.lit("other"))
+    amended, _ = inc.amend_incidents(log, edits, automate)
+    assert rows_of(amended, "id", "panne", "date_fin", "created_by") == [(5, "new", None, "me@x")]
