@@ -11,7 +11,8 @@ from rivulet.functions.numeric import floor_zero, from_micro, to_micro
 from rivulet.schemas import STATION, TIME
 from rivulet.sources.readings import reading_order
 
-SLICE = "5 minutes"
+# Divides every bucket in every time zone (offsets are multiples of a quarter of an hour).
+SLICE = "15 minutes"
 TRANCHE = "tranche"
 
 
@@ -30,7 +31,8 @@ def counter_slices(
     The previous reading is looked up inside (station, slice), so a station holding a large
     share of all readings is spread over as many groups as it has slices. The steps across
     slice edges need only the first and last reading of each slice; that second window sees
-    one small row per slice (at most 288 a day).
+    one small row per slice (at most 96 a day). Choose a
+    shorter ``width`` for very dense readings.
     """
     order = reading_order(readings)
     sources = list(counters)
@@ -93,12 +95,14 @@ def counter_max_delta(readings: DataFrame, bucket_name: str, bucket: Column, cou
     return stepped.select(STATION, bucket_name, *[from_micro(F.col(n)).alias(n) for n in counters.values()])
 
 
-def counter_delta_sum(readings: DataFrame, counters: Mapping[str, str], bucket: Column) -> DataFrame:
+def counter_delta_sum(
+    readings: DataFrame, counters: Mapping[str, str], bucket: Column, slice_width: str = SLICE
+) -> DataFrame:
     """Sum of positive steps per station and bucket, in counter units.
 
     ``bucket`` is computed from the slice start ``tranche``, e.g. its day.
     """
-    slices = counter_slices(readings, counters)
+    slices = counter_slices(readings, counters, width=slice_width)
     sums = slices.groupBy(STATION, bucket).agg(*[F.sum(n).alias(n) for n in counters.values()])
     return sums.select(*[from_micro(F.col(c)).alias(c) if c in counters.values() else F.col(c) for c in sums.columns])
 

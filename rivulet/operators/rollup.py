@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from rivulet.functions.numeric import floor_zero, from_micro, recycling_rate, round_half_up, round_to_int, to_micro
 from rivulet.functions.timegrain import GRAINS, PARIS, bounds, bucket_of, buckets, grid, time_between
-from rivulet.operators.counters import TRANCHE, counter_max_steps, counter_slices
+from rivulet.operators.counters import SLICE, TRANCHE, counter_max_steps, counter_slices
 from rivulet.operators.medians import exact_medians
 from rivulet.schemas import (
     DAILY_ROLLUP,
@@ -46,6 +46,7 @@ def rollup_daily(
     tz: str = PARIS,
     lookback_buckets: int = 0,
     stations: DataFrame | None = None,
+    slice_width: str = SLICE,
 ) -> DataFrame:
     """The seven full days before ``as_of``, one row per station and day.
 
@@ -60,7 +61,7 @@ def rollup_daily(
 
     means = {"chlore": F.col("chlore_mv"), "ph": F.col("ph"), "temp": F.col("temperature_deg")}
     means |= {f"p{i}": F.col(c) for i, c in enumerate(PRESSURES, 1)}
-    slices = counter_slices(rows, _COUNTERS, means)
+    slices = counter_slices(rows, _COUNTERS, means, slice_width)
     sums = [F.sum(c).alias(c) for c in slices.columns if c not in (STATION, TRANCHE)]
     days = slices.groupBy(STATION, bucket_of(slices, TRANCHE, span).alias(bucket)).agg(*sums)
 

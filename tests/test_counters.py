@@ -30,7 +30,7 @@ def test_reset_null_and_first_reading(readings):
 def test_step_belongs_to_the_slice_of_the_later_reading(readings):
     df = readings({"horodatage": "2024-01-01 00:59", KWH: 1.0}, {"horodatage": "2024-01-01 01:00", KWH: 3.0})
     got = rows_of(counters.counter_slices(df, {KWH: "kwh"}), "tranche", "kwh")
-    assert got == [(datetime(2024, 1, 1, 0, 55), 0), (datetime(2024, 1, 1, 1, 0), 2_000_000)]
+    assert got == [(datetime(2024, 1, 1, 0, 45), 0), (datetime(2024, 1, 1, 1, 0), 2_000_000)]
 
 
 def test_equal_times_are_ordered_by_seq(readings):
@@ -51,7 +51,7 @@ def test_slicing_equals_a_plain_walk_over_each_station(readings):
         t, previous, first = datetime(2024, 1, 1), None, True
         want[station] = 0
         for _ in range(400 if station == "hot" else 40):
-            t += timedelta(seconds=rng.choice([0, 1, 20, 299, 300, 4000]))
+            t += timedelta(seconds=rng.choice([0, 1, 20, 299, 900, 4000]))
             value = None if rng.random() < 0.1 else rng.randrange(0, 5000) / 100
             if not first and value is not None and previous is not None:
                 want[station] += max(round(value * 100) - round(previous * 100), 0)
@@ -105,3 +105,18 @@ def test_no_window_over_a_whole_station_of_raw_readings(readings):
     plan = counters.counter_slices(df, {KWH: "kwh"})._jdf.queryExecution().executedPlan().toString()
     raw_window = plan.split("Window")[-1]
     assert "tranche" in raw_window.split("Exchange hashpartitioning(")[1].split(")")[0]
+
+
+def test_a_hot_station_is_spread_over_many_groups(spark):
+    rows = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("S"), F.col("id") % 500)).alias("nom_automate"),
+        F.expr("timestampadd(SECOND, CAST(id * 2 AS INT), TIMESTAMP_NTZ '2024-01-01 00:00:00')").alias("horodatage"),
+    )
+    sliced = rows.withColumn("tranche", F.window("horodatage", counters.SLICE)["start"])
+
+    def largest_share(df):
+        sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+        return max(sizes) / sum(sizes)
+
+    assert largest_share(sliced.repartition(16, "nom_automate")) > 1 / 3
+    assert largest_share(sliced.repartition(16, "nom_automate", "tranche")) < 1 / 6
