@@ -56,11 +56,12 @@ def hourly_wrap_delta_all(
         *[round_half_up(F.avg(c), 1).alias(out) for c, out in columns.items()],
     )
     w = Window.partitionBy(STATION).orderBy(HOUR)
+    previous = [F.lag(o).over(w).alias(f"_prev_{o}") for o in columns.values()]
+    steps = means.select(STATION, HOUR, *columns.values(), *previous, F.lag(F.lit(1)).over(w).alias("_seen"))
     deltas = [
-        round_half_up(wrap_delta(F.col(o), F.lag(o).over(w)) / F.lit(100), 3).alias(o) for o in columns.values()
+        round_half_up(wrap_delta(F.col(o), F.col(f"_prev_{o}")) / F.lit(100), 3).alias(o) for o in columns.values()
     ]
-    steps = means.select(STATION, HOUR, F.lag(F.lit(1)).over(w).alias("_seen"), *deltas)
-    return steps.where(F.col("_seen").isNotNull()).drop("_seen")
+    return steps.where(F.col("_seen").isNotNull()).select(STATION, HOUR, *deltas)
 
 
 def hourly_wrap_delta(
