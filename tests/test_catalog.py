@@ -8,10 +8,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from rivulet.plans.catalog import all_queries
+from rivulet.plans.oracle import all_oracles
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents conversations".split()
-QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 
 
 @pytest.fixture(scope="module")
