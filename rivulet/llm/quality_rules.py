@@ -49,7 +49,7 @@ def count_texts(raw: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     hashes, first = shingles(w, 3)
     order, new = grouped(w.doc[first], hashes)
     group = np.cumsum(new) - 1
-    twice = first[order][np.bincount(group, minlength=1)[group] > 1] if len(order) else first
+    twice = first[order][np.bincount(group)[group] > 1] if len(order) else first
     covered = np.zeros(len(w.hashes), bool)
     for k in range(3):
         covered[twice + k] = True

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rivulet.llm import chat, decontaminate, mixing, quality_rules
+from rivulet.llm import bagminhash, chat, decontaminate, mixing, quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         decontaminate.op5_decontamination,
         chat.op6_chat_formatting,
         quality_rules.op7_quality_rules,
+        bagminhash.op9_minhash_near_dedup,
     )
 }
 

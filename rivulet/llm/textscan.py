@@ -95,14 +95,16 @@ def shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def grouped(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order by the keys (the first counts most) and where in that order a new combination begins."""
-    order = np.lexsort(keys[::-1])
+    """An order in which equal combinations of keys stand together, and where in it a new one begins.
+
+    Sorts one 64-bit hash of the keys, which is several times faster than sorting by all of them.
+    """
+    hashed = np.zeros(len(keys[0]), np.uint64)
+    for k in keys:
+        hashed = mix(hashed + k.astype(np.uint64) + np.uint64(0x8CB92BA72F3D8DD7))
+    order = np.argsort(hashed)
     new = np.ones(len(order), bool)
-    if len(order):
-        new[1:] = False
-        for k in keys:
-            s = k[order]
-            new[1:] |= s[1:] != s[:-1]
+    new[1:] = hashed[order[1:]] != hashed[order[:-1]]
     return order, new
 
 
