@@ -9,47 +9,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import doc_key, flat_bytes, read, small_batches, staged, table_slices, text_of
-from rivulet.llm.components import components
-from rivulet.llm.textscan import grouped, mix, range_hashes, scan_words, shingles
+from rivulet.llm.common import doc_key, flat_bytes, read, small_batches, staged, text_of
+from rivulet.llm.families import counted, families_of, linked_classes, shingle_bags
+from rivulet.llm.textscan import mix
 
-SHINGLE = 5
 BANDS, ROWS = 32, 5  # a pair of similarity 0.8 shares no band with a chance of 3e-6
 SLOTS = BANDS * ROWS
-BLOCK_DOCS, BLOCK_BYTES = 2000, 16 << 20
 # Weights are cut into levels: exact for small counts, then three to an octave.
 LEVELS = np.array([0, 1, 2, 3, 4] + [m << e for e in range(1, 20) for m in (3, 4)], np.float64)
 SIGNATURE = "doc_id long, doc_key long, text_hash long, n_bytes long, f1 long, f2 long, bands array<long>"
 
 
-def shingle_bags(raw: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """Text number (ascending) and hash of each shingle, repeated as often as the shingle occurs.
-
-    A text of fewer words is one shingle; one without words is a shingle made of its bytes.
-    """
-    w, n = scan_words(raw, offsets), len(offsets) - 1
-    hashes, first = shingles(w, size)
-    doc = w.doc[first]
-    few = np.flatnonzero((w.counts > 0) & (w.counts < size))
-    last = np.cumsum(w.counts)
-    short = range_hashes(w.hashes, last[few] - w.counts[few], last[few]) if len(few) else np.zeros(0, np.uint64)
-    none = np.flatnonzero(w.counts == 0)
-    bare = range_hashes(raw, offsets[none], offsets[none + 1]) if len(none) else np.zeros(0, np.uint64)
-    doc = np.concatenate((doc, few, none)).astype(np.int64)
-    keys = np.concatenate((hashes, short, bare))
-    if len(few) or len(none):
-        order = np.argsort(doc, kind="stable")
-        doc, keys = doc[order], keys[order]
-    return doc, keys
-
-
-def _counts(doc: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Text, shingle and its count, in no order."""
-    order, new = grouped(keys, doc)
-    at = np.flatnonzero(new)
-    return doc[order[at]], keys[order[at]], np.diff(np.append(at, len(order)))
-
-
 def _gap(seed: np.ndarray) -> np.ndarray:
     """An exponential variable from a seed."""
     return -np.log1p(-((seed >> np.uint64(11)).astype(np.float64) * 2.0**-53))
@@ -98,7 +68,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, offsets = flat_bytes(b.column("text"))
         n = b.num_rows
         doc, keys = shingle_bags(raw, offsets)
-        sig = signatures(n, *_counts(doc, keys)).reshape(n, BANDS, ROWS)
+        sig = signatures(n, *counted(doc, keys)).reshape(n, BANDS, ROWS)
         bands = np.zeros((n, BANDS), np.uint64)
         for r in range(ROWS):
             bands = bands * np.uint64(0xD6E8FEB86659FD93) + sig[:, :, r]
@@ -120,64 +90,6 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def similar_groups(doc: np.ndarray, keys: np.ndarray, n: int, side: np.ndarray | None = None) -> np.ndarray:
-    """Least linked text number of each of n texts; linked: multiset overlap of at least 0.8 of the union.
-
-    The k-th occurrence of a shingle counts as an element of its own, so overlaps of multisets are
-    those of sets, and a product of matrices gives all of them. Given sides, only texts of different sides are compared.
-    """
-    d, k, c = _counts(doc, keys)
-    nth = np.arange(len(doc)) - np.repeat(np.cumsum(c) - c, c)
-    elements = mix(keys + nth.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
-    sizes = np.bincount(doc, minlength=n).astype(np.float64)
-    _, element, seen = np.unique(elements, return_inverse=True, return_counts=True)
-    shared = seen[element] > 1
-    column = np.cumsum(seen > 1)[element[shared]] - 1
-    row = doc[shared]
-    overlap = np.zeros((n, n))
-    wide = max(1, (4 << 20) // max(1, n))
-    order = np.argsort(column, kind="stable")
-    column, row = column[order], row[order]
-    for begin in range(0, int(column[-1]) + 1 if len(column) else 0, wide):
-        lo, hi = np.searchsorted(column, (begin, begin + wide))
-        part = np.zeros((n, wide), np.float32)
-        part[row[lo:hi], column[lo:hi] - begin] = 1
-        overlap += part @ part.T
-    linked = 9 * overlap >= 4 * (sizes[:, None] + sizes[None, :])
-    if side is not None:
-        linked &= side[:, None] != side[None, :]
-    np.fill_diagonal(linked, True)
-    root = np.arange(n)
-    while True:
-        least = np.where(linked, root[None, :], n).min(axis=1)
-        least = np.minimum(least, least[least])
-        if (least == root).all():
-            return root
-        root = least
-
-
-def _link(table: pa.Table) -> pa.Table:
-    """Links inside one task's families, or between two blocks of one family, as id -> least id."""
-    frame = table.select(["family", "id", "side"]).to_pandas()
-    order = np.lexsort((frame["id"].to_numpy(), frame["family"].to_numpy()))
-    table, frame = table.take(pa.array(order)), frame.iloc[order]
-    family, ids, side = (frame[c].to_numpy() for c in ("family", "id", "side"))
-    doc, keys, base = [], [], 0
-    for piece in table_slices(table, "text"):
-        d, k = shingle_bags(*flat_bytes(piece.column("text")))
-        doc.append(d + base)
-        keys.append(k)
-        base += piece.num_rows
-    doc, keys = np.concatenate(doc), np.concatenate(keys)
-    roots = ids.copy()
-    bounds = np.flatnonzero(np.append(True, family[1:] != family[:-1]))
-    for lo, hi in zip(bounds, np.append(bounds[1:], len(ids)), strict=True):
-        a, b = np.searchsorted(doc, (lo, hi))
-        sides = side[lo:hi] if len(np.unique(side[lo:hi])) > 1 else None
-        roots[lo:hi] = ids[lo + similar_groups(doc[a:b] - lo, keys[a:b], hi - lo, sides)]
-    return pa.table({"id": pa.array(ids), "root": pa.array(roots)})
-
-
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id doc_key text_hash class_id``, class_id being the least key of its class.
 
@@ -202,29 +114,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.min(F.struct("doc_key", "text_hash")).alias("r"), F.any_value("bands").alias("bands"), F.any_value("n_bytes").alias("n_bytes")
     )
     exact = staged(exact.select("f1", "f2", F.col("r.doc_key").alias("id"), F.col("r.text_hash").alias("text_hash"), "n_bytes", "bands"))
-    banded = exact.select("id", F.explode("bands").alias("band"))
-    leaders = banded.groupBy("band").agg(F.min("id").alias("leader"), F.max("id").alias("last")).where("leader < last")
-    edges = banded.join(leaders, "band").select(F.col("id").alias("a"), F.col("leader").alias("b"))
-    families = components(edges).withColumnRenamed("root", "family")
-
-    members = staged(exact.select("id", "text_hash", "n_bytes").join(families, "id"))
-    sizes = members.groupBy("family").agg(F.count("*").alias("n"), F.sum("n_bytes").alias("bytes"))
-    sizes = sizes.withColumn("blocks", F.ceil(F.greatest(F.col("n") / F.lit(BLOCK_DOCS), F.col("bytes") / F.lit(BLOCK_BYTES))))
-    told = sizes.agg(F.max("blocks").alias("most"), F.sum("bytes").alias("bytes")).first()
-    bins = max(1, (told["bytes"] or 0) // BLOCK_BYTES)
-    tasks = members.join(sizes.select("family", "blocks"), "family")
-    own = F.pmod(F.xxhash64("id", F.lit(1)), F.col("blocks"))
-    tasks = tasks.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    pair = F.xxhash64("family", F.least("own", "other"), F.greatest("own", "other"))
-    tasks = tasks.withColumn("task", F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("family"), F.lit(bins))).otherwise(pair))
+    tasks, split = families_of(exact)
     texts = rows.select(F.col("doc_key").alias("id"), "text_hash", "text")
-    texts = tasks.join(texts, ["id", "text_hash"]).select("task", "family", "id", F.col("own").alias("side"), "text")
-    links = texts.groupBy("task").applyInArrow(_link, "id long, root long")
-    if (told["most"] or 0) > 1:
-        classes = components(links.select(F.col("id").alias("a"), F.col("root").alias("b")))
-    else:
-        classes = links
-    classes = classes.groupBy("id").agg(F.min("root").alias("root"))
+    texts = tasks.join(exact.select("id", "text_hash"), "id").join(texts, ["id", "text_hash"])
+    classes = linked_classes(texts.select("task", "family", "side", "id", "text"), split, multiset=True)
     out = signed.join(exact.select("f1", "f2", "id"), ["f1", "f2"]).join(classes, "id", "left")
     return out.select("doc_id", "doc_key", "text_hash", F.coalesce("root", "id").alias("class_id"))
 

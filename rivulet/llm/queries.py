@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rivulet.llm import bagminhash, chat, decontaminate, mixing, quality_rules
+from rivulet.llm import bagminhash, chat, decontaminate, mixing, quality_rules, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         chat.op6_chat_formatting,
         quality_rules.op7_quality_rules,
         bagminhash.op9_minhash_near_dedup,
+        suffix_dedup.op10_suffix_array_dedup,
     )
 }
 
@@ -23,4 +24,5 @@ ORACLES: dict[str, str] = {
     "op4_mixing": mixing.OP4_SQL,
     "op5_decontamination": decontaminate.OP5_SQL,
     "op6_chat_formatting": chat.OP6_SQL,
+    "op10_suffix_array_dedup": suffix_dedup.OP10_SQL,
 }

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 
@@ -22,17 +21,23 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-@lru_cache(maxsize=1)
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    up, down = np.full(n, _M, np.uint64), np.full(n, _INVERSE, np.uint64)
-    up[0] = down[0] = 1
-    return np.multiply.accumulate(up), np.multiply.accumulate(down)
+    """The first n powers of the base and of its inverse at least; kept, and made longer when needed."""
+    if len(_POWERS[0]) < n:
+        size = 1 << max(16, n.bit_length())
+        for i, base in enumerate((_M, _INVERSE)):
+            grown = np.full(size, base, np.uint64)
+            grown[0] = 1
+            _POWERS[i] = np.multiply.accumulate(grown)
+    return _POWERS[0], _POWERS[1]
 
 
 def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A hash of values[start:end] for each range, whatever its place."""
-    n = 1 << max(16, int(len(values)).bit_length())
-    up, down = _powers(n)
+    up, down = _powers(len(values) + 1)
     sums = np.zeros(len(values) + 1, np.uint64)
     np.cumsum((values.astype(np.uint64) + np.uint64(1)) * up[: len(values)], out=sums[1:])
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
