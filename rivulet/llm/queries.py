@@ -6,21 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rivulet.llm import bagminhash, chat, decontaminate, mixing, quality_rules, suffix_dedup
+from rivulet.llm import bagminhash, chat, decontaminate, line_dedup, mixing, paragraph_dedup, quality_crf, quality_rules, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        line_dedup.op1_line_dedup,
+        quality_crf.op2_quality_classifier,
         mixing.op4_mixing,
         decontaminate.op5_decontamination,
         chat.op6_chat_formatting,
         quality_rules.op7_quality_rules,
+        paragraph_dedup.op8_substring_dedup,
         bagminhash.op9_minhash_near_dedup,
         suffix_dedup.op10_suffix_array_dedup,
     )
 }
 
 ORACLES: dict[str, str] = {
+    "op1_line_dedup": line_dedup.OP1_SQL,
     "op4_mixing": mixing.OP4_SQL,
     "op5_decontamination": decontaminate.OP5_SQL,
     "op6_chat_formatting": chat.OP6_SQL,
