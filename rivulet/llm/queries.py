@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rivulet.llm import bagminhash, chat, decontaminate, line_dedup, mixing, paragraph_dedup, quality_crf, quality_rules, suffix_dedup
+from rivulet.llm import bagminhash, chat, decontaminate, line_dedup, mixing, paragraph_dedup, pii, quality_crf, quality_rules, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         line_dedup.op1_line_dedup,
         quality_crf.op2_quality_classifier,
+        pii.op3_pii,
         mixing.op4_mixing,
         decontaminate.op5_decontamination,
         chat.op6_chat_formatting,
