@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import doc_key, read, text_of
+from rivulet.llm.common import doc_key, read, staged, text_of
 
 STEPS = 50
 ENTROPY = 0.97
@@ -25,12 +25,12 @@ def _chance(*parts: Column | str) -> Column:
 def exponent(totals: DataFrame, target_entropy: float, max_repeats: float) -> DataFrame:
     """One row ``tau``: source weights are shares to the power of tau.
 
-    ``totals`` has one row per source with its ``tokens``. Bisection finds the largest tau in [0, 1]
+    ``totals`` has one row per source with its ``total`` of tokens. Bisection finds the largest tau in [0, 1]
     whose entropy is at least ``target_entropy`` times the greatest possible one, and the smallest
     whose repetition (biggest share over a share, to the power of 1 - tau) is at most ``max_repeats``
     when the biggest source is read once; the larger of both is taken, so the limit goes first.
     """
-    shares = totals.agg(F.collect_list(F.col("tokens").cast("double")).alias("t")).select(
+    shares = totals.agg(F.collect_list(F.col("total").cast("double")).alias("t")).select(
         F.transform("t", lambda x: F.log(x / F.array_max("t"))).alias("logs")
     )
 
@@ -58,7 +58,7 @@ def exponent(totals: DataFrame, target_entropy: float, max_repeats: float) -> Da
     return shares.select(F.coalesce(F.greatest(by_entropy, by_repeats), F.lit(1.0)).alias("tau"))
 
 
-def mix_sources(
+def plan_mix(
     docs: DataFrame,
     budget_tokens: int | None = None,
     target_entropy: float = ENTROPY,
@@ -69,93 +69,101 @@ def mix_sources(
     text_col: str = "text",
     source_col: str = "source",
 ) -> DataFrame:
-    """The mix: a row of ``docs`` for each time it is read, with ``mix_tokens``, ``mix_epoch``, ``mix_block`` and ``mix_order``.
-
-    The default budget reads the biggest source once, so nothing is lost and smaller ones repeat.
-    A source's quota is its weight times the budget. Its documents fall into blocks of about
-    ``block_tokens`` by a hash of their key; every epoch permutes the blocks anew. Whole epochs are
-    read while the quota lasts, then whole blocks, then, in the block that crosses the quota,
-    the documents that still fit, in the order of a hash. ``mix_order`` interleaves the blocks of
-    all sources evenly within an epoch.
+    """What ``mix_sources`` decides, without the texts: a row for each time a document is read.
 
-    Only sums per block are ever ordered for a whole source, so a source with a third of all rows
-    is spread over its blocks. A document counts one token at least; null texts are empty, a null
-    source is a source of its own, rows without id are keyed by their text, repeated rows are kept
-    and fall into the same place; columns named ``mix_*`` are replaced. An empty table gives no rows.
+    Columns ``doc_id source key hash`` (of the document) and ``mix_tokens mix_epoch mix_block mix_order``.
     """
-    docs = docs.drop("mix_tokens", "mix_epoch", "mix_block", "mix_order")
-    key = doc_key(id_col, text_col).cast("string")
-    rows = docs.select(
-        F.struct("*").alias("_doc"),
-        F.col(source_col).alias("_source"),
-        F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("_name"),
-        F.greatest(n_tokens(text_col), F.lit(1)).alias("_tokens"),
-        _chance(F.lit(str(seed)), key).alias("_place"),
+    key = doc_key(id_col, text_col)
+    rows = staged(
+        docs.select(
+            F.col(id_col).alias("doc_id"),
+            F.col(source_col).cast("string").alias("source"),
+            key.alias("key"),
+            F.xxhash64(text_of(text_col)).alias("hash"),
+            F.greatest(n_tokens(text_col), F.lit(1)).alias("tokens"),
+            _chance(F.lit(str(seed)), key.cast("string")).alias("place"),
+        )
     )
-    sums = rows.groupBy("_source", "_name").agg(F.sum("_tokens").alias("tokens"))
-    biggest = sums.agg(F.max("tokens").alias("biggest"), F.sum("tokens").alias("all"))
+    name = F.coalesce("source", F.lit(""))
+    sums = rows.groupBy("source").agg(F.sum("tokens").alias("total"))
+    biggest = sums.agg(F.max("total").alias("biggest"))
     plan = sums.crossJoin(biggest).crossJoin(exponent(sums, target_entropy, max_repeats))  # both have one row
-    power = F.pow(F.col("tokens") / F.col("biggest"), F.col("tau"))
-    if budget_tokens is None:
-        quota = F.col("biggest") * power
-    else:
-        weights = sums.crossJoin(biggest).crossJoin(exponent(sums, target_entropy, max_repeats)).agg(F.sum(power).alias("weights"))
-        plan = plan.crossJoin(weights)
+    power = F.pow(F.col("total") / F.col("biggest"), F.col("tau"))
+    quota = F.col("biggest") * power
+    if budget_tokens is not None:
+        plan = plan.crossJoin(plan.agg(F.sum(power).alias("weights")))
         quota = F.lit(int(budget_tokens)) * power / F.col("weights")
     plan = plan.select(
-        F.col("_source").alias("source_"),
+        F.col("source").alias("source_"),
+        "total",
         F.round(quota).cast("long").alias("quota"),
-        F.col("tokens"),
-        F.ceil(F.col("tokens") / F.lit(block_tokens)).cast("long").alias("blocks"),
-    )
-    plan = plan.withColumn("whole", F.floor(F.col("quota") / F.col("tokens"))).withColumn(
-        "left", F.col("quota") - F.col("whole") * F.col("tokens")
+        F.ceil(F.col("total") / F.lit(block_tokens)).cast("long").alias("blocks"),
     )
-    rows = rows.join(plan, F.col("_source").eqNullSafe(F.col("source_"))).drop("source_").withColumn("_block", F.col("_place") % F.col("blocks"))
+    plan = plan.withColumn("whole", F.floor(F.col("quota") / F.col("total")))
+    plan = plan.withColumn("left", F.col("quota") - F.col("whole") * F.col("total")).drop("total", "quota")
+    rows = rows.join(plan, F.col("source").eqNullSafe(F.col("source_"))).drop("source_")
+    rows = rows.withColumn("block", F.col("place") % F.col("blocks"))
 
     # One small row per block: its turn in the last, partial epoch and what the quota leaves for it.
-    sums_of_blocks = rows.groupBy("_source", "_name", "_block", "whole", "left").agg(F.sum("_tokens").alias("block_sum"))
-    turn = Window.partitionBy("_source").orderBy("turn", "_block")
-    sums_of_blocks = sums_of_blocks.withColumn("turn", _chance(F.lit(str(seed)), "_name", F.col("whole"), F.col("_block"))).withColumn(
-        "room", F.col("left") - F.sum("block_sum").over(turn.rowsBetween(Window.unboundedPreceding, 0)) + F.col("block_sum")
-    )
-    last = sums_of_blocks.where("room > 0").select(
-        F.col("_source").alias("source_"), F.col("_block").alias("block_"), "room", "block_sum"
-    )
-    rows = rows.join(last, F.col("_source").eqNullSafe(F.col("source_")) & (F.col("_block") == F.col("block_")), "left")
-    rows = rows.drop("source_", "block_")
-
-    # In the crossing blocks: documents in the order of a hash while they fit.
+    sums_of_blocks = rows.groupBy("source", "block", "whole", "left").agg(F.sum("tokens").alias("block_sum"))
+    turn = Window.partitionBy("source").orderBy("turn", "block").rowsBetween(Window.unboundedPreceding, 0)
+    turns = sums_of_blocks.withColumn("turn", _chance(F.lit(str(seed)), name, F.col("whole"), F.col("block")))
+    room = F.col("left") - F.sum("block_sum").over(turn) + F.col("block_sum")
+    last = turns.withColumn("room", room).where("room > 0")
+    last = last.select(F.col("source").alias("source_"), F.col("block").alias("block_"), "room", "block_sum")
+    same_block = F.col("source").eqNullSafe(F.col("source_")) & (F.col("block") == F.col("block_"))
+    rows = rows.join(last, same_block, "left").drop("source_", "block_")
+
+    # In the block that crosses the quota: documents in the order of a hash while they fit.
     crossing = F.col("block_sum") > F.col("room")
-    fit = Window.partitionBy("_source", "_block").orderBy("_place", "key_")
-    partial = (
-        rows.where(crossing)
-        .select("_source", "_block", "_place", "_tokens", "room", doc_key(f"_doc.{id_col}", f"_doc.{text_col}").alias("key_"))
-        .withColumn("so_far", F.sum("_tokens").over(fit))
-        .where("so_far <= room")
-        .groupBy("_source", "_block")
-        .agg(F.max(F.struct("_place", "key_")).alias("until"))
-    )
-    partial = partial.select(F.col("_source").alias("source_"), F.col("_block").alias("block_"), "until")
-    rows = rows.join(partial, F.col("_source").eqNullSafe(F.col("source_")) & (F.col("_block") == F.col("block_")), "left")
-    here = F.struct(F.col("_place"), doc_key(f"_doc.{id_col}", f"_doc.{text_col}").alias("key_"))
-    again = F.when(F.col("room").isNull(), False).when(~crossing, True).otherwise(F.coalesce(here <= F.col("until"), F.lit(False)))
+    fit = Window.partitionBy("source", "block").orderBy("place", "key", "hash")
+    until = rows.where(crossing).withColumn("so_far", F.sum("tokens").over(fit)).where("so_far <= room")
+    until = until.groupBy("source", "block").agg(F.max(F.struct("place", "key", "hash")).alias("until"))
+    until = until.select(F.col("source").alias("source_"), F.col("block").alias("block_"), "until")
+    rows = rows.join(until, same_block, "left")
+    fits = F.coalesce(F.struct("place", "key", "hash") <= F.col("until"), F.lit(False))
+    again = F.when(F.col("room").isNull(), False).when(crossing, fits).otherwise(True)
     epochs = F.col("whole") + again.cast("long")
-    rows = rows.where(epochs > 0).withColumn("mix_epoch", F.explode(F.sequence(F.lit(0).cast("long"), epochs - 1)))
-    order = _chance(F.lit(str(seed)), F.col("_name"), F.col("mix_epoch"), F.col("_block"))
+    rows = rows.where(epochs > 0).withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), epochs - 1)))
     return rows.select(
-        "_doc.*",
-        F.col("_tokens").alias("mix_tokens"),
-        "mix_epoch",
-        F.col("_block").alias("mix_block"),
-        order.alias("mix_order"),
+        "doc_id",
+        "source",
+        "key",
+        "hash",
+        F.col("tokens").alias("mix_tokens"),
+        F.col("epoch").alias("mix_epoch"),
+        F.col("block").alias("mix_block"),
+        _chance(F.lit(str(seed)), name, F.col("epoch"), F.col("block")).alias("mix_order"),
     )
 
 
+def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
+    """The mix: a row of ``docs`` for each time it is read, with ``mix_tokens``, ``mix_epoch``, ``mix_block`` and ``mix_order``.
+
+    The default budget reads the biggest source once, so nothing is lost and smaller ones repeat.
+    A source's quota is its weight times the budget. Its documents fall into blocks of about
+    ``block_tokens`` by a hash of their key; every epoch permutes the blocks anew. Whole epochs are
+    read while the quota lasts, then whole blocks, then, in the block that crosses the quota,
+    the documents that still fit, in the order of a hash. Reading by ``mix_epoch, mix_order`` mingles the blocks
+    of all sources.
+
+    Only sums per block are ever ordered for a whole source, so a source with a third of all rows
+    is spread over its blocks, and texts are moved once. A document counts one token at least; null texts
+    are empty, a null source is one of its own, rows without id are keyed by their text, repeated rows are all
+    kept and fall into the same place; columns named ``mix_*`` are replaced. An empty table gives no rows.
+    """
+    mixed = ["mix_tokens", "mix_epoch", "mix_block", "mix_order"]
+    plan = plan_mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **how)
+    plan = plan.select(F.col("source").alias("_source"), F.col("key").alias("_key"), F.col("hash").alias("_hash"), *mixed).distinct()
+    same = (F.col("_key") == doc_key(id_col, text_col)) & (F.col("_hash") == F.xxhash64(text_of(text_col)))
+    same &= F.col("_source").eqNullSafe(F.col(source_col).cast("string"))
+    return docs.drop(*mixed).join(plan, same).drop("_source", "_key", "_hash")
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix of all documents by source: which document is read in which epoch and block."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mix_sources(docs).select("doc_id", "source", "mix_tokens", "mix_epoch", "mix_block", "mix_order")
+    return plan_mix(docs).select("doc_id", "source", "mix_tokens", "mix_epoch", "mix_block", "mix_order")
 
 
 def _sql() -> str:
