@@ -136,8 +136,8 @@ def _search(tokens: np.ndarray, groups: list, slop: int) -> tuple[np.ndarray, np
                 break
             offset = rarity[window, k]
             term, at = ranks[window, offset], start + offset
-            exact &= tokens[at] == term
-            close = exact.copy()
+            close = tokens[at] == term
+            exact &= close
             for shift in range(-slop, slop + 1):
                 if shift:
                     close |= tokens[np.clip(at + shift, 0, len(tokens) - 1)] == term
