@@ -50,45 +50,77 @@ def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
         spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
 
 
-def staging_path(spark: SparkSession, target: str) -> str:
-    """A fresh folder on shared storage: the cluster's checkpoint folder, else beside the target."""
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    name = f"staged-{uuid.uuid4().hex}"
-    return f"{shared.rstrip('/')}/{name}" if shared else f"{target.rstrip('/')}.{name}"
+def staging_path(target: str) -> str:
+    """A fresh folder beside the target, so that finished rows are renamed into place, not copied."""
+    return f"{target.rstrip('/')}.staged-{uuid.uuid4().hex}"
 
 
-def _staged(df: DataFrame, target: str) -> tuple[DataFrame, str]:
-    spark = df.sparkSession
-    path = staging_path(spark, target)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), path
+def _rename(spark: SparkSession, source: str, target: str) -> None:
+    fs, path = _hadoop_path(spark, target)
+    fs.mkdirs(path.getParent())
+    if not fs.rename(_hadoop_path(spark, source)[1], path):
+        raise OSError(f"could not rename {source} to {target}")
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    fs, target = _hadoop_path(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []
+
+
+def _put_aside(path: str) -> tuple[str, str]:
+    """Where a swap keeps the old table, and old buckets, until the new ones are in place."""
+    return f"{path.rstrip('/')}.old", f"{path.rstrip('/')}.old-buckets"
+
+
+def restore(spark: SparkSession, path: str) -> None:
+    """Finish or undo a swap that was interrupted: what is missing comes back, the rest of the old rows goes."""
+    table, buckets = _put_aside(path)
+    if path_exists(spark, table) and not path_exists(spark, path):
+        _rename(spark, table, path)
+    for name in _names(spark, buckets):
+        if not path_exists(spark, f"{path.rstrip('/')}/{name}"):
+            _rename(spark, f"{buckets}/{name}", f"{path.rstrip('/')}/{name}")
+    _drop_path(spark, table)
+    _drop_path(spark, buckets)
 
 
 def write_rollup(df: DataFrame, path: str, bucket: str, emptied: Sequence[date] = ()) -> None:
     """Replace exactly the buckets present in ``df``; ``emptied`` buckets go even if it has no rows for them.
 
-    ``df`` may read the table it replaces, so it is written aside first; the second step
-    moves finished rows only, and may be repeated after a failure. Rows are rebalanced by
-    bucket; adaptive execution splits a bucket that is too large for one file.
+    ``df`` may read the table it replaces: it is written aside first, and each finished bucket is
+    then renamed into the old one's place. After a failure in between, ``restore`` (called here at the
+    start, and before a job reads the table) brings back what is missing, and the run may be repeated. Rows are
+    rebalanced by bucket; adaptive execution splits a bucket that is too large for one file.
     """
-    staged, stage = _staged(df, path)
-    drop_buckets(df.sparkSession, path, bucket, list(emptied))
-    (
-        staged.hint("rebalance", bucket)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(bucket)
-        .parquet(path)
-    )
-    _drop_path(df.sparkSession, stage)
+    spark = df.sparkSession
+    restore(spark, path)
+    stage, aside = staging_path(path), _put_aside(path)[1]
+    try:
+        df.hint("rebalance", bucket).write.partitionBy(bucket).parquet(stage)
+        fresh = [n for n in _names(spark, stage) if n.startswith(f"{bucket}=")]
+        for name in dict.fromkeys([*(f"{bucket}={d.isoformat()}" for d in emptied), *fresh]):
+            if path_exists(spark, f"{path.rstrip('/')}/{name}"):
+                _rename(spark, f"{path.rstrip('/')}/{name}", f"{aside}/{name}")
+            if name in fresh:
+                _rename(spark, f"{stage}/{name}", f"{path.rstrip('/')}/{name}")
+        _drop_path(spark, aside)
+    finally:
+        _drop_path(spark, stage)
 
 
 def replace_table(df: DataFrame, path: str, bucket: str | None = None) -> None:
-    """Replace the whole table by ``df``, which may read it."""
-    staged, stage = _staged(df, path)
-    writer = staged.hint("rebalance", bucket).write.partitionBy(bucket) if bucket else staged.write
-    writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
-    _drop_path(df.sparkSession, stage)
+    """Replace the whole table by ``df``, which may read it: written aside, then swapped by two renames."""
+    spark = df.sparkSession
+    restore(spark, path)
+    stage, aside = staging_path(path), _put_aside(path)[0]
+    try:
+        (df.hint("rebalance", bucket).write.partitionBy(bucket) if bucket else df.write).parquet(stage)
+        if path_exists(spark, path):
+            _rename(spark, path, aside)
+        _rename(spark, stage, path)
+        _drop_path(spark, aside)
+    finally:
+        _drop_path(spark, stage)
 
 
 def drop_buckets(spark: SparkSession, path: str, bucket: str, days: list[date]) -> int:

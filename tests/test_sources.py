@@ -1,6 +1,7 @@
 import json
 from datetime import date, datetime
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -80,11 +81,9 @@ def test_write_rollup_replaces_only_its_buckets_even_from_itself(spark, tmp_path
     assert leftovers == []
 
 
-def test_staging_uses_the_shared_folder_when_one_is_set(spark):
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    want = f"{shared.rstrip('/')}/staged-" if shared else "/data/t.staged-"
-    first, second = tables.staging_path(spark, "/data/t"), tables.staging_path(spark, "/data/t")
-    assert first.startswith(want) and first != second
+def test_staging_is_beside_the_table():
+    first, second = tables.staging_path("/data/t"), tables.staging_path("/data/t/")
+    assert first.startswith("/data/t.staged-") and second.startswith("/data/t.staged-") and first != second
 
 
 def test_csv(spark, tmp_path):
@@ -114,3 +113,34 @@ def test_database_slices_cover_the_range_without_overlap():
 def test_declared_key_columns_exist():
     for name, schema in TABLES.items():
         assert isinstance(schema, T.StructType) and len(schema.names) == len(set(schema.names)), name
+
+
+@pytest.mark.parametrize("bucketed", [True, False])
+def test_interrupted_swap_is_undone_or_finished(spark, tmp_path, monkeypatch, bucketed):
+    base, path = str(tmp_path), str(tmp_path / "donnees_semaine")
+    d1, d2 = date(2024, 1, 1), date(2024, 1, 2)
+    tables.write_rollup(daily(spark, (d1, "A", 1.0), (d2, "A", 2.0)), path, "jour")
+    rename, calls = tables._rename, []
+
+    def broken(session, source, target):
+        calls.append(target)
+        if len(calls) == 2:  # the old rows are aside, the new ones not in place
+            raise RuntimeError("stopped")
+        rename(session, source, target)
+
+    def swap():
+        if bucketed:
+            tables.write_rollup(daily(spark, (d2, "B", 5.0)), path, "jour")
+        else:
+            tables.replace_table(daily(spark, (d2, "B", 5.0)), path, "jour")
+
+    monkeypatch.setattr(tables, "_rename", broken)
+    with pytest.raises(RuntimeError):
+        swap()
+    monkeypatch.setattr(tables, "_rename", rename)
+    tables.restore(spark, path)
+    assert rows_of(tables.read_rollup(spark, base, "daily"), "jour", "nom_automate") == [(d1, "A"), (d2, "A")]
+    swap()
+    want = [(d1, "A"), (d2, "B")] if bucketed else [(d2, "B")]
+    assert rows_of(tables.read_rollup(spark, base, "daily"), "jour", "nom_automate") == want
+    assert [p.name for p in tmp_path.iterdir()] == ["donnees_semaine"]
