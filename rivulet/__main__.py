@@ -9,6 +9,7 @@ from datetime import datetime, timezone
 from pyspark.sql import SparkSession
 
 from rivulet.functions.timegrain import GRAINS, PARIS
+from rivulet.operators.counters import SLICE
 from rivulet.plans.jobs import refresh_latest_counters, run_rollup
 from rivulet.schemas import STATION
 from rivulet.sources.readings import scan_readings
@@ -23,6 +24,7 @@ def parse(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--stations", help="Parquet path of a maintained station list, instead of a history search")
     parser.add_argument("--as-of", type=datetime.fromisoformat, help="reference time, naive = UTC (default: now)")
     parser.add_argument("--tz", default=PARIS)
+    parser.add_argument("--slice-width", default=SLICE, help="slices a busy station is spread over, e.g. '1 minute'")
     parser.add_argument("--rebuild", action="store_true", help="drop all rows first")
     return parser.parse_args(argv)
 
@@ -36,7 +38,7 @@ def main(argv: Sequence[str] | None = None) -> str:
         return refresh_latest_counters(spark, readings, args.base, as_of, args.rebuild)
     stations = spark.read.parquet(args.stations).select(STATION).distinct() if args.stations else None
     named = spark.read.parquet(args.aggregated) if args.aggregated else None
-    return run_rollup(spark, args.job, readings, named, args.base, as_of, args.tz, args.rebuild, stations)
+    return run_rollup(spark, args.job, readings, named, args.base, as_of, args.tz, args.rebuild, stations, args.slice_width)
 
 
 if __name__ == "__main__":

@@ -10,11 +10,12 @@ from dataclasses import dataclass
 from datetime import date, datetime, time, timedelta, timezone
 from zoneinfo import ZoneInfo
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PARIS = "Europe/Paris"
+HOUR_START = "debut_utc"
 
 
 @dataclass(frozen=True)
@@ -102,18 +103,15 @@ def _date_sequence(span: list[Bucket], unit: str) -> Column:
     return F.sequence(F.lit(first), F.lit(last), F.expr(f"INTERVAL 1 {unit.upper()}"))
 
 
-def bucket_calendar(spark: SparkSession, as_of: datetime, grain: str, tz: str = PARIS) -> DataFrame:
-    """The run's buckets as one date column."""
+def bucket_calendar(as_of: datetime, grain: str, tz: str = PARIS) -> Column:
+    """The run's buckets, one row each when selected."""
     g = GRAINS[grain]
-    span = buckets(as_of, grain, tz)
-    return spark.range(1).select(F.explode(_date_sequence(span, g.unit)).alias(g.bucket))
+    return F.explode(_date_sequence(buckets(as_of, grain, tz), g.unit)).alias(g.bucket)
 
 
 def grid(stations: DataFrame, as_of: datetime, grain: str, tz: str = PARIS) -> DataFrame:
     """Every station with every bucket of the run, by expanding each station row in place."""
-    g = GRAINS[grain]
-    span = buckets(as_of, grain, tz)
-    return stations.select("nom_automate", F.explode(_date_sequence(span, g.unit)).alias(g.bucket))
+    return stations.select("nom_automate", bucket_calendar(as_of, grain, tz))
 
 
 def instant(moment: datetime, dtype: T.DataType) -> Column:
@@ -143,9 +141,26 @@ def local_time(df: DataFrame, column: str, tz: str = "UTC") -> Column:
     return value if tz == "UTC" else F.convert_timezone(F.lit("UTC"), F.lit(tz), value)
 
 
+def epoch_micros(df: DataFrame, column: str) -> Column:
+    """Microseconds since 1970 in UTC, independent of the session time zone."""
+    if not isinstance(df.schema[column].dataType, T.TimestampNTZType):
+        return F.unix_micros(column)
+    c = f"`{column}`"
+    return F.expr(
+        f"unix_date(cast({c} as date)) * 86400000000L + hour({c}) * 3600000000L + minute({c}) * 60000000L"
+        f" + cast(extract(SECOND FROM {c}) * 1000000 as bigint)"
+    )
+
+
 def with_hour(df: DataFrame, column: str, tz: str = "UTC", name: str = "heure") -> DataFrame:
-    """Add the start of the local hour."""
-    return df.withColumn(name, F.window(local_time(df, column, tz), "1 hour")["start"])
+    """Add the start of the local hour, as a wall clock, and in ``debut_utc`` the instant at which it starts.
+
+    When clocks go back, two hours bear the same local label; their instants keep them apart.
+    """
+    rows = df.withColumns({"_utc": local_time(df, column), "_local": local_time(df, column, tz)})
+    inside = "minute(_local) * 60000000L + cast(extract(SECOND FROM _local) * 1000000 as bigint)"
+    rows = rows.withColumn(HOUR_START, F.expr(f"timestampadd(MICROSECOND, -({inside}), _utc)"))
+    return rows.withColumn(name, F.window("_local", "1 hour")["start"]).drop("_utc", "_local")
 
 
 def bucket_of(df: DataFrame, column: str, span: list[Bucket]) -> Column:

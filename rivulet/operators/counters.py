@@ -14,6 +14,21 @@ from rivulet.sources.readings import reading_order
 # Divides every bucket in every time zone (offsets are multiples of a quarter of an hour).
 SLICE = "15 minutes"
 TRANCHE = "tranche"
+_QUARTER = 900
+_UNITS = {"second": 1, "seconds": 1, "minute": 60, "minutes": 60}
+
+
+def slice_seconds(width: str) -> int:
+    """Seconds of a slice width such as ``5 minutes``.
+
+    Only whole seconds that divide a quarter of an hour are slices of every bucket; any other
+    width would book steps in the wrong one, so it is refused.
+    """
+    number, _, unit = width.strip().partition(" ")
+    seconds = int(number) * _UNITS.get(unit.strip().lower(), 0) if number.isdigit() else 0
+    if not seconds or _QUARTER % seconds:
+        raise ValueError(f"a slice must be whole seconds dividing {_QUARTER}, like '15 minutes' or '30 seconds', not {width!r}")
+    return seconds
 
 
 def counter_slices(
@@ -31,12 +46,12 @@ def counter_slices(
     The previous reading is looked up inside (station, slice), so a station holding a large
     share of all readings is spread over as many groups as it has slices. The steps across
     slice edges need only the first and last reading of each slice; that second window sees
-    one small row per slice (at most 96 a day). Choose a
-    shorter ``width`` for very dense readings.
+    one small row per slice (at most 96 a day by default). A shorter ``width`` spreads very dense
+    readings further and never changes a result.
     """
     order = reading_order(readings)
     sources = list(counters)
-    rows = readings.withColumn(TRANCHE, F.window(F.col(TIME), width)["start"])
+    rows = readings.withColumn(TRANCHE, F.window(F.col(TIME), f"{slice_seconds(width)} seconds")["start"])
     rows = rows.select(
         STATION,
         TRANCHE,

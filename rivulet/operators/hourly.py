@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rivulet.functions.numeric import from_micro, round_half_up, to_micro, wrap_delta
-from rivulet.functions.timegrain import local_time, time_between, utc_naive, with_hour
-from rivulet.operators.counters import TRANCHE, counter_slices
+from rivulet.functions.timegrain import HOUR_START, local_time, time_between, utc_naive, with_hour
+from rivulet.operators.counters import SLICE, TRANCHE, counter_slices
 from rivulet.schemas import ENERGY_COUNTER, PERCENT_COUNTERS, PRESSURES, STATION, TIME, VOLUMES
 from rivulet.sources.readings import Stations, keep_stations
 
@@ -32,8 +32,13 @@ def recent(
     return keep_stations(time_between(readings, column, now - timedelta(hours=hours), end), stations)
 
 
+def _hours(rows: DataFrame, column: str, tz: str, *aggs: Column) -> DataFrame:
+    """One row per real hour: the hour that autumn repeats gives two rows with one label, in order of their instants."""
+    return with_hour(rows, column, tz).groupBy(STATION, HOUR, HOUR_START).agg(*aggs)
+
+
 def _per_hour(readings: DataFrame, tz: str, *aggs: Column) -> DataFrame:
-    return with_hour(readings, TIME, tz).groupBy(STATION, HOUR).agg(*aggs)
+    return _hours(readings, TIME, tz, *aggs).drop(HOUR_START)
 
 
 def hourly_wrap_delta_all(
@@ -50,12 +55,13 @@ def hourly_wrap_delta_all(
     the first hour has none and is dropped.
     """
     columns = columns or dict(zip(PERCENT_COUNTERS, VOLUMES))
-    means = _per_hour(
+    means = _hours(
         recent(readings, as_of, hours, stations),
+        TIME,
         tz,
         *[round_half_up(F.avg(c), 1).alias(out) for c, out in columns.items()],
     )
-    w = Window.partitionBy(STATION).orderBy(HOUR)
+    w = Window.partitionBy(STATION).orderBy(HOUR_START)
     previous = [F.lag(o).over(w).alias(f"_prev_{o}") for o in columns.values()]
     steps = means.select(STATION, HOUR, *columns.values(), *previous, F.lag(F.lit(1)).over(w).alias("_seen"))
     deltas = [
@@ -83,7 +89,9 @@ def hour_of_day_mean(
     """Mean per hour number 0-23; the two ends of the window share their hour."""
     rows = recent(series, as_of, hours, stations, open_end=True, column=time_col)
     hour = F.hour(local_time(rows, time_col, tz)).alias("heure_num")
-    means = rows.groupBy(STATION, hour).agg(F.avg(value).alias("moyenne_pression"))
+    # Whole millionths, so that the mean does not depend on the order of partial sums.
+    mean = F.sum(to_micro(F.col(value))).cast("double") / F.count(value) / F.lit(1e6)
+    means = rows.groupBy(STATION, hour).agg(F.when(F.count(value) > 0, mean).alias("moyenne_pression"))
     return means.select(
         STATION, "heure_num", F.format_string("%02d:00", "heure_num").alias("label"), "moyenne_pression"
     )
@@ -185,28 +193,44 @@ def hourly_ph_median(
 
 
 def _hourly_steps(
-    readings: DataFrame, as_of: datetime, hours: int, stations: Stations, tz: str, counters: Mapping[str, str]
+    readings: DataFrame,
+    as_of: datetime,
+    hours: int,
+    stations: Stations,
+    tz: str,
+    counters: Mapping[str, str],
+    slice_width: str,
 ) -> DataFrame:
-    slices = counter_slices(recent(readings, as_of, hours, stations), counters)
+    slices = counter_slices(recent(readings, as_of, hours, stations), counters, width=slice_width)
     sums: Sequence[Column] = [F.sum(n).alias(n) for n in counters.values()]
-    return with_hour(slices, TRANCHE, tz).groupBy(STATION, HOUR).agg(*sums)
+    return _hours(slices, TRANCHE, tz, *sums)
 
 
 def hourly_energy(
-    readings: DataFrame, as_of: datetime, hours: int = 24, stations: Stations = None, tz: str = "UTC"
+    readings: DataFrame,
+    as_of: datetime,
+    hours: int = 24,
+    stations: Stations = None,
+    tz: str = "UTC",
+    slice_width: str = SLICE,
 ) -> DataFrame:
     """kWh per hour: positive counter steps, booked in the hour of the later reading."""
-    steps = _hourly_steps(readings, as_of, hours, stations, tz, {ENERGY_COUNTER: "kwh"})
+    steps = _hourly_steps(readings, as_of, hours, stations, tz, {ENERGY_COUNTER: "kwh"}, slice_width)
     return steps.select(STATION, HOUR, round_half_up(from_micro(F.col("kwh")), 2).alias("conso_kwh"))
 
 
 def hourly_energy_ratio(
-    readings: DataFrame, as_of: datetime, hours: int = 24, stations: Stations = None, tz: str = "UTC"
+    readings: DataFrame,
+    as_of: datetime,
+    hours: int = 24,
+    stations: Stations = None,
+    tz: str = "UTC",
+    slice_width: str = SLICE,
 ) -> DataFrame:
     """kWh per m3 lifted, averaged over the hour and the two before it; null without any lifting."""
     counters = {ENERGY_COUNTER: "kwh", "compteur_eau_relevage_m3": "m3"}
-    steps = _hourly_steps(readings, as_of, hours, stations, tz, counters)
+    steps = _hourly_steps(readings, as_of, hours, stations, tz, counters, slice_width)
     raw = F.when(F.col("m3") > 0, F.col("kwh").cast("double") / F.col("m3").cast("double"))
-    trailing = Window.partitionBy(STATION).orderBy(HOUR).rowsBetween(-2, Window.currentRow)
-    ratios = steps.select(STATION, HOUR, raw.alias("brut"))
+    trailing = Window.partitionBy(STATION).orderBy(HOUR_START).rowsBetween(-2, Window.currentRow)
+    ratios = steps.select(STATION, HOUR, HOUR_START, raw.alias("brut"))
     return ratios.select(STATION, HOUR, round_half_up(F.avg("brut").over(trailing), 3).alias("ratio"))

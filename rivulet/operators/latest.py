@@ -6,19 +6,41 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rivulet.functions.numeric import clamp
-from rivulet.functions.timegrain import instant, local_time
+from rivulet.functions.timegrain import epoch_micros, instant, local_time
 from rivulet.schemas import STATION, TIME
 from rivulet.sources.readings import Stations, keep_stations, reading_order
 
 
+# Beyond every 64-bit tie-breaker, so that the time always counts more.
+_SHIFT = "10000000000000000000BD"
+_FIXED = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def _recency(readings: DataFrame) -> Column:
+    """One number per reading, greater for newer ones; a missing time or tie-breaker comes last."""
+    order = reading_order(readings)
+    micros = epoch_micros(readings, TIME)
+    if len(order) == 1:
+        return F.coalesce(micros, F.expr("-9223372036854775808L"))
+    time = F.coalesce(micros.cast("decimal(38,0)"), F.expr("-9300000000000000000BD").cast("decimal(38,0)"))
+    tie = F.coalesce(F.col(order[1]).cast("long").cast("decimal(38,0)"), F.expr("-9300000000000000000BD").cast("decimal(38,0)"))
+    return (time * F.expr(_SHIFT)).cast("decimal(38,0)") + tie
+
+
 def latest_rows(readings: DataFrame) -> DataFrame:
     """Newest reading of each station.
 
-    The rank filter is applied to every input split before the shuffle, which then carries
-    at most one row per station and split.
+    Columns of fixed width are aggregated by hash, so nothing is sorted and every input split
+    sends one row per station. Other columns (text) need a rank within each split instead.
     """
+    values = [c for c in readings.columns if c != STATION]
+    if all(isinstance(readings.schema[c].dataType, _FIXED) for c in values):
+        keyed = readings.withColumn("_recency", _recency(readings))
+        newest = keyed.groupBy(STATION).agg(*[F.max_by(c, "_recency").alias(c) for c in values])
+        return newest.select(*readings.columns)
     order = [F.col(c).desc_nulls_last() for c in reading_order(readings)]
     ranked = readings.withColumn("_rank", F.row_number().over(Window.partitionBy(STATION).orderBy(*order)))
     return ranked.where(F.col("_rank") == 1).drop("_rank")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rivulet.functions.timegrain import GRAINS, PARIS, buckets, current_bucket, instant, retention_cutoff
 from rivulet.operators.changes import upsert
+from rivulet.operators.counters import SLICE, slice_seconds
 from rivulet.operators.latest import latest_counters
 from rivulet.operators.rollup import rollup_daily, rollup_monthly, rollup_weekly
 from rivulet.schemas import COUNTER_CACHE, STATION, TABLES
@@ -20,6 +21,7 @@ from rivulet.sources.tables import (
     read_rollup,
     read_table,
     replace_table,
+    restore,
     table_path,
     write_rollup,
 )
@@ -40,13 +42,16 @@ def run_rollup(
     tz: str = PARIS,
     rebuild: bool = False,
     stations: DataFrame | None = None,
+    slice_width: str = SLICE,
 ) -> str:
     """Bring one rollup table under ``base`` up to date; returns its path.
 
     Daily and weekly runs merge into the run's buckets (daily also drops the current day),
     monthly runs delete their window and insert it anew; then buckets past retention go.
-    Only the affected bucket directories are rewritten. A run may be repeated.
+    Only the affected bucket directories are rewritten. A run may be repeated. ``slice_width``
+    is that of ``counter_slices``.
     """
+    slice_seconds(slice_width)  # only daily runs cut slices, but a wrong width is refused by all
     g = GRAINS[grain]
     schema = TABLES[g.table]
     path = table_path(base, g.table)
@@ -54,10 +59,12 @@ def run_rollup(
     days = [b.day for b in buckets(as_of, grain, tz)]
     if grain == "monthly":
         fresh = rollup_monthly(readings, as_of, tz)
+    elif grain == "daily":
+        fresh = rollup_daily(readings, aggregated, as_of, tz, stations=stations, slice_width=slice_width)
     else:
-        job = rollup_daily if grain == "daily" else rollup_weekly
-        fresh = job(readings, aggregated, as_of, tz, stations=stations)
+        fresh = rollup_weekly(readings, aggregated, as_of, tz, stations=stations)
 
+    restore(spark, path)
     ensure_table(spark, path, schema)
     if rebuild:
         replace_table(_stamped(fresh, schema, now), path, g.bucket)
@@ -67,7 +74,7 @@ def run_rollup(
         if grain == "daily":
             drop_buckets(spark, path, g.bucket, [current_bucket(as_of, grain, tz)])
         current = read_rollup(spark, base, grain).where(F.col(g.bucket).isin(days))
-        write_rollup(upsert(current, fresh, [g.bucket, STATION], now), path, g.bucket)
+        write_rollup(upsert(current, fresh, [g.bucket, STATION], now, unique=True), path, g.bucket)
     purge_buckets(spark, path, g.bucket, retention_cutoff(as_of, grain, tz))
     return path
 
@@ -77,9 +84,10 @@ def refresh_latest_counters(spark: SparkSession, readings: DataFrame, base: str,
     path = table_path(base, "cache_volumes_total")
     now = instant(as_of, COUNTER_CACHE["updated_at"].dataType)
     fresh = latest_counters(readings, as_of).withColumn("updated_at", now)
+    restore(spark, path)
     if rebuild or not path_exists(spark, path):
         replace_table(fresh.select(*COUNTER_CACHE.names), path)
     else:
         cache = read_table(spark, base, "cache_volumes_total")
-        replace_table(upsert(cache, fresh, [STATION], now), path)
+        replace_table(upsert(cache, fresh, [STATION], now, unique=True), path)
     return path

@@ -1,9 +1,10 @@
 import random
 from datetime import date, datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
-from rivulet.operators import counters
+from rivulet.operators import counters, hourly, rollup
 from tests.conftest import rows_of
 
 KWH = "compteur_electrique_kwh"
@@ -120,3 +121,25 @@ def test_a_hot_station_is_spread_over_many_groups(spark):
 
     assert largest_share(sliced.repartition(16, "nom_automate")) > 1 / 3
     assert largest_share(sliced.repartition(16, "nom_automate", "tranche")) < 1 / 6
+
+
+@pytest.mark.parametrize("width", ["7 minutes", "1 hour", "0 minutes", "90 minutes", "-5 minutes", "15", "1.5 minutes", ""])
+def test_a_width_that_would_change_results_is_refused(readings, width):
+    with pytest.raises(ValueError, match="slice"):
+        counters.counter_slices(readings({"horodatage": "2024-01-01 00:00", KWH: 1.0}), {KWH: "kwh"}, width=width)
+
+
+@pytest.mark.parametrize("width", ["1 minute", "30 seconds", "5 minutes"])
+def test_a_narrower_slice_gives_the_same_hours_and_days(readings, width):
+    rng = random.Random(4)
+    start, rows, value = datetime(2024, 1, 29, 22), [], 0.0
+    for _ in range(300):
+        start += timedelta(seconds=rng.randint(1, 900))
+        value = rng.choice([0.0, value + rng.random()])
+        rows.append({"horodatage": start.isoformat(" "), KWH: value, "compteur_eau_relevage_m3": value * 2})
+    rows += rows[:40]  # copies of a reading
+    df, now = readings(*rows), datetime(2024, 1, 31)
+    for op, column in ((hourly.hourly_energy, "conso_kwh"), (hourly.hourly_energy_ratio, "ratio")):
+        assert rows_of(op(df, now, slice_width=width), "heure", column) == rows_of(op(df, now), "heure", column)
+    days = [rows_of(rollup.rollup_daily(df, None, now, slice_width=w), "jour", "conso_kwh") for w in (width, counters.SLICE)]
+    assert days[0] == days[1]

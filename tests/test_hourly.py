@@ -1,4 +1,4 @@
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -162,3 +162,26 @@ def test_aware_as_of_counts_real_hours(readings):
     as_of = datetime(2024, 3, 31, 12, tzinfo=ZoneInfo("Europe/Paris"))  # 10:00 UTC, after the clock change
     hours = [r[0] for r in rows_of(hourly.hourly_disinfection_rate(df, as_of), "heure")]
     assert (len(hours), hours[0], hours[-1]) == (24, datetime(2024, 3, 30, 10), datetime(2024, 3, 31, 9))
+
+
+def _day(spark, readings, day: str, offset_hours: int, hours: int, **columns):
+    """A reading each half hour of a local day that starts offset_hours before UTC midnight."""
+    start = datetime.fromisoformat(day) - timedelta(hours=offset_hours)
+    rows = []
+    for k in range(2 * hours):
+        rows.append({"horodatage": (start + timedelta(minutes=30 * k)).isoformat(" "), **{c: f(k) for c, f in columns.items()}})
+    return readings(*rows), start + timedelta(hours=hours)
+
+
+@pytest.mark.parametrize(("day", "offset", "hours"), [("2024-10-27", 2, 25), ("2024-03-31", 1, 23)])
+def test_days_of_the_clock_change_have_their_real_hours(spark, readings, day, offset, hours):
+    df, end = _day(spark, readings, day, offset, hours, **{KWH: lambda k: float(k), REL: lambda k: 2.0 * k, PC: lambda k: k % 100, "ph": lambda k: 700 + k // 2})
+    energy = hourly.hourly_energy(df, end, hours, tz="Europe/Paris").collect()
+    assert len(energy) == hours and sorted(r["conso_kwh"] for r in energy) == [1.0] + [2.0] * (hours - 1)
+    assert len({r["heure"] for r in energy}) == min(hours, 24)
+    ratio = hourly.hourly_energy_ratio(df, end, hours, tz="Europe/Paris").collect()
+    assert len(ratio) == hours and {r["ratio"] for r in ratio} == {0.5}
+    wrap = hourly.hourly_wrap_delta(df, end, PC, hours, tz="Europe/Paris").collect()
+    assert len(wrap) == hours - 1 and {r["delta_m3"] for r in wrap} == {0.02}
+    medians = hourly.hourly_ph_median(df, end, hours, tz="Europe/Paris").collect()
+    assert sorted(r["ph_mediane"] for r in medians) == [7.0 + k / 100 for k in range(hours)]

@@ -43,9 +43,28 @@ def test_latest_positive_and_counters(readings):
     assert got == [("A", 2.0, 1.0, as_of)]
 
 
-def test_rank_filter_runs_before_the_shuffle(readings):
+def test_text_columns_are_ranked_before_the_shuffle(readings):
     df = readings({"horodatage": "2024-01-01 10:00", PC: 5}).repartition(3)
-    plan = latest.latest_value(df, PC)._jdf.queryExecution().executedPlan().toString()
-    assert plan.index("WindowGroupLimit") < plan.rindex("Exchange hashpartitioning(nom_automate") < plan.rindex(
-        "WindowGroupLimit"
+    texts = latest.latest_rows(df.select("nom_automate", "horodatage", df["nom_automate"].alias("t")))
+    plan = texts._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("WindowGroupLimit") < plan.rindex("Exchange hashpartitioning(nom_automate") < plan.rindex("WindowGroupLimit")
+
+
+def test_missing_and_early_times_come_last_in_order(readings):
+    df = readings(
+        {"horodatage": None, KWH: 1.0},
+        {"horodatage": "1960-05-05 10:00:00.000001", KWH: 2.0},
+        {"horodatage": None, KWH: 3.0, "nom_automate": "B"},
+        {"horodatage": "1960-05-05 10:00", KWH: 4.0, "seq": 10**18},
+        {"horodatage": "1960-05-05 10:00", KWH: 5.0, "seq": None},
     )
+    assert rows_of(latest.latest_rows(df.select("nom_automate", "horodatage", "seq", KWH)), "nom_automate", KWH) == [("A", 2.0), ("B", 3.0)]
+
+
+def test_nothing_is_sorted_before_the_shuffle(readings):
+    df = readings({"horodatage": "2024-01-01", KWH: 1.0})
+    for frame in (latest.latest_positive(df), latest.latest_counters(df, datetime(2024, 1, 2)), latest.latest_clamped(df, H)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "Sort" not in plan and plan.count("HashAggregate") == 2
+    text = latest.latest_rows(df.select("nom_automate", "horodatage", df["nom_automate"].alias("t")))
+    assert text.collect()[0]["t"] == "A"

@@ -45,7 +45,7 @@ def test_retention_cutoffs():
 
 @pytest.mark.parametrize("grain", ["daily", "weekly", "monthly"])
 def test_calendar_matches_the_driver_side_buckets(spark, grain):
-    rows = [r[0] for r in tg.bucket_calendar(spark, AS_OF, grain).collect()]
+    rows = [r[0] for r in spark.range(1).select(tg.bucket_calendar(AS_OF, grain)).collect()]
     assert rows == [b.day for b in tg.buckets(AS_OF, grain)]
 
 
