@@ -55,7 +55,7 @@ def benchmarks(spark: SparkSession) -> dict[str, Callable[[], DataFrame]]:
     def merged() -> DataFrame:
         stored = daily(datetime(2024, 1, 29)).withColumn("created_at", F.lit("2024-01-29").cast("timestamp_ntz"))
         stored = stored.withColumn("updated_at", F.col("created_at"))
-        return upsert(stored, daily(), ["jour", "nom_automate"], F.lit("2024-01-31").cast("timestamp_ntz"))
+        return upsert(stored, daily(), ["jour", "nom_automate"], F.lit("2024-01-31").cast("timestamp_ntz"), unique=True)
 
     jobs: dict[str, Callable[[], DataFrame]] = {
         "rollup_daily": daily,

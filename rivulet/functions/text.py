@@ -6,14 +6,22 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+WHITE = " \t\n\r\x0b\f"
+
+
+def strip(value: Column) -> Column:
+    """Without white space at both ends (blanks, tabs, line breaks)."""
+    return F.trim(value, F.lit(WHITE))
+
+
 def norm_email(value: Column) -> Column:
     """Trimmed lower-case address; blank becomes null."""
-    return F.nullif(F.lower(F.trim(value)), F.lit(""))
+    return F.nullif(F.lower(strip(value)), F.lit(""))
 
 
 def normalize_email_items(items: Column) -> Column:
     """Clean an array of addresses: trim, lower, drop blanks, keep the first of each."""
-    cleaned = F.transform(items, lambda x: F.lower(F.trim(F.coalesce(x, F.lit("")))))
+    cleaned = F.transform(items, lambda x: F.lower(strip(F.coalesce(x, F.lit("")))))
     return F.array_distinct(F.filter(cleaned, lambda x: x != F.lit("")))
 
 

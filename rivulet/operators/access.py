@@ -1,7 +1,7 @@
 """Batches of access-right changes: each returns the next state of the tables it touches.
 
-Requests carry arrays the way a form submits them. Within a batch a user, station or
-organization appears once.
+Requests carry arrays the way a form submits them. Where a batch names a user or a membership
+several times, the greatest role and client name count, so results don't depend on row order.
 """
 
 from __future__ import annotations
@@ -9,10 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.functions.text import norm_email, normalize_email_items
+from rivulet.functions.text import norm_email, normalize_email_items, strip
 from rivulet.operators.changes import (
     append_rows,
     delete_keys,
+    last_per_key,
     demote_other_admins,
     link_stations,
     replace_set,
@@ -27,12 +28,12 @@ _MEMBER = ["user_id", "organization_id"]
 
 
 def _trimmed(names: Column) -> Column:
-    return F.filter(F.transform(names, lambda x: F.trim(x)), lambda x: x.isNotNull() & (x != F.lit("")))
+    return F.filter(F.transform(names, strip), lambda x: x.isNotNull() & (x != F.lit("")))
 
 
 def _set_roles(org_users: DataFrame, given: DataFrame) -> DataFrame:
     """Memberships with the roles of ``given`` (user_id, organization_id, org_role) put in or over."""
-    new = given.select(*_MEMBER, "org_role")
+    new = last_per_key(given.select(*_MEMBER, "org_role"), _MEMBER)
     return delete_keys(org_users, new.select(*_MEMBER)).unionByName(
         new.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in org_users.schema])
     )
@@ -62,7 +63,7 @@ def assign_access(
         "user_id",
         _trimmed(F.col("organization_names")).alias("names"),
         F.col("client_id").isNotNull().alias("has_client"),
-        F.nullif(F.trim("client_id"), F.lit("")).alias("client_id"),
+        F.nullif(strip(F.col("client_id")), F.lit("")).alias("client_id"),
         F.transform(_trimmed(F.col("roles")), lambda x: F.lower(x)).alias("roles"),
     )
     listed = asked.where(F.col("names").isNotNull())
@@ -91,7 +92,7 @@ def create_organizations(
     name is reused. The account becomes administrator and belongs to the organization as its
     client; unlinked stations whose client has that name are linked.
     """
-    asked = requests.select(F.trim("name").alias("name"), norm_email(F.col("admin_email")).alias("email"))
+    asked = requests.select(strip(F.col("name")).alias("name"), norm_email(F.col("admin_email")).alias("email"))
     accounts = users.select(F.col("id").alias("user_id"), "email")
     valid = asked.where((F.col("name") != F.lit("")) & F.contains("email", F.lit("@"))).join(accounts, "email")
     fresh = valid.select("name").distinct().join(orgs.select("name"), "name", "left_anti")
@@ -112,7 +113,7 @@ def add_members(
     Requests with an unknown role or address are ignored.
     """
     asked = requests.select(
-        "organization_id", norm_email(F.col("email")).alias("email"), F.lower(F.trim("org_role")).alias("org_role")
+        "organization_id", norm_email(F.col("email")).alias("email"), F.lower(strip(F.col("org_role"))).alias("org_role")
     )
     accounts = users.select(F.col("id").alias("user_id"), "email")
     valid = asked.where(F.col("org_role").isin(*ORG_ROLES)).join(accounts, "email")

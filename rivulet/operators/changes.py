@@ -1,6 +1,8 @@
 """Set-level table changes: each operator returns the next state of its target.
 
-Keys of a target are unique; batches of changes are joined to it, never looped over.
+Keys of a target are unique; batches of changes are joined to it, never looped over. A batch may
+name a key several times: the last change by ``order`` counts, or, without an order, the greatest by
+all of its columns, so that a result never depends on how rows arrive.
 """
 
 from __future__ import annotations
@@ -11,8 +13,9 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rivulet.schemas import STATION
+
 CREATED, UPDATED = "created_at", "updated_at"
-ID_GROUPS = 4096
 
 
 def _aligned(target: DataFrame, rows: DataFrame) -> DataFrame:
@@ -25,23 +28,40 @@ def _aligned(target: DataFrame, rows: DataFrame) -> DataFrame:
     )
 
 
+def _ranked(order: str | None, others: Sequence[str]) -> Column:
+    return F.struct(*([order] if order else []), *[c for c in others if c != order])
+
+
+def last_per_key(changes: DataFrame, keys: Sequence[str], order: str | None = None) -> DataFrame:
+    """One row per key: the last change."""
+    others = [c for c in changes.columns if c not in keys]
+    if not others:
+        return changes.distinct()
+    last = changes.groupBy(*keys).agg(F.max(_ranked(order, others)).alias("_row"))
+    return last.select(*keys, "_row.*").select(*changes.columns)
+
+
 def insert_absent(target: DataFrame, new: DataFrame, keys: Sequence[str], order: str | None = None) -> DataFrame:
-    """Add rows whose key is not there yet; among equal new keys the first by ``order`` wins."""
-    if order:
-        others = [c for c in new.columns if c not in keys]
-        first = new.groupBy(*keys).agg(F.min_by(F.struct(*others), order).alias("_row"))
+    """Add rows whose key is not there yet; among equal new keys the first by ``order``, then by all columns, wins."""
+    others = [c for c in new.columns if c not in keys]
+    if others:
+        first = new.groupBy(*keys).agg(F.min(_ranked(order, others)).alias("_row"))
         new = first.select(*keys, "_row.*")
     else:
-        new = new.dropDuplicates(list(keys))
+        new = new.distinct()
     return target.unionByName(_aligned(target, new.join(target.select(*keys), list(keys), "left_anti")))
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], now: Column) -> DataFrame:
+def upsert(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], now: Column, order: str | None = None, unique: bool = False
+) -> DataFrame:
     """Insert or overwrite by key; ``created_at`` is kept, ``updated_at`` set on every source row.
 
-    Target columns missing from ``source`` keep their value.
+    Target columns missing from ``source`` keep their value. ``unique`` says that no key occurs
+    twice in ``source``, as in an aggregate, and saves looking for the last change.
     """
     values = [c for c in source.columns if c not in keys and c not in (CREATED, UPDATED)]
+    source = source if unique else last_per_key(source, keys, order)
     fresh = source.select(*keys, F.struct(*values, F.lit(True).alias("_hit")).alias("_new"))
     both = target.withColumn("_known", F.lit(True)).join(fresh, list(keys), "full_outer")
     hit, known = F.col("_new._hit").isNotNull(), F.col("_known").isNotNull()
@@ -91,14 +111,16 @@ def partial_update(
     changes: DataFrame,
     keys: Sequence[str],
     clean: Mapping[str, Callable[[Column], Column]] | None = None,
+    order: str | None = None,
 ) -> DataFrame:
     """Overwrite only the fields that a change supplies; a null field is not supplied.
 
+    Of several changes of a key only the last one counts, as a whole.
     ``clean`` maps a column to the function applied to a supplied value, whose result may be null.
     """
     clean = clean or {}
     fields = [c for c in changes.columns if c not in keys]
-    new = changes.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in fields])
+    new = last_per_key(changes, keys, order).select(*keys, *[F.col(c).alias(f"_new_{c}") for c in fields])
     joined = target.join(new, list(keys), "left")
 
     def column(name: str) -> Column:
@@ -111,10 +133,10 @@ def partial_update(
     return joined.select(*[column(c) for c in target.columns])
 
 
-def full_update(target: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+def full_update(target: DataFrame, changes: DataFrame, keys: Sequence[str], order: str | None = None) -> DataFrame:
     """Overwrite all supplied columns of matching rows, nulls included; unknown keys are ignored."""
     fields = [c for c in changes.columns if c not in keys]
-    new = changes.select(*keys, F.struct(*fields, F.lit(True).alias("_hit")).alias("_new"))
+    new = last_per_key(changes, keys, order).select(*keys, F.struct(*fields, F.lit(True).alias("_hit")).alias("_new"))
     joined = target.join(new, list(keys), "left")
     hit = F.col("_new._hit").isNotNull()
     return joined.select(
@@ -125,10 +147,18 @@ def full_update(target: DataFrame, changes: DataFrame, keys: Sequence[str]) -> D
     )
 
 
+def _spread(key: Column, row: str) -> Column:
+    """The join key; where it is null, a value that matches nothing and differs from row to row.
+
+    So rows without a key stay spread over all tasks instead of meeting in one.
+    """
+    return F.coalesce(key, F.concat(F.lit("\0"), F.col(row).cast("string")))
+
+
 def mark_read(messages: DataFrame, clients: DataFrame, senders: Sequence[int]) -> DataFrame:
     """Set ``is_read`` on unread messages of the given clients that the sender group wrote."""
-    wanted = clients.select("client_id").distinct().withColumn("_asked", F.lit(True))
-    joined = messages.join(wanted, "client_id", "left")
+    wanted = clients.where(F.col("client_id").isNotNull()).select(F.col("client_id").alias("_asked")).distinct()
+    joined = messages.join(wanted, _spread(F.col("client_id"), "id") == F.col("_asked"), "left")
     hit = F.col("_asked").isNotNull() & (F.col("is_read") == F.lit(False)) & F.col("sender_id").isin(list(senders))
     return joined.withColumn("is_read", F.when(hit, F.lit(True)).otherwise(F.col("is_read"))).select(
         *messages.columns
@@ -138,9 +168,10 @@ def mark_read(messages: DataFrame, clients: DataFrame, senders: Sequence[int]) -
 def demote_other_admins(org_users: DataFrame, appointed: DataFrame) -> DataFrame:
     """Where an organization got a new admin, everyone else in it becomes an employee.
 
-    ``appointed`` holds one (organization_id, user_id) per organization.
+    ``appointed`` holds (organization_id, user_id); of several for one organization the greatest
+    ``user_id`` counts.
     """
-    new = appointed.select("organization_id", F.col("user_id").alias("_admin"))
+    new = appointed.groupBy("organization_id").agg(F.max("user_id").alias("_admin"))
     joined = org_users.join(new, "organization_id", "left")
     other = F.col("_admin").isNotNull() & (F.col("user_id") != F.col("_admin"))
     role = F.when(other, F.lit("employee")).otherwise(F.col("org_role"))
@@ -150,7 +181,7 @@ def demote_other_admins(org_users: DataFrame, appointed: DataFrame) -> DataFrame
 def link_stations(stations: DataFrame, orgs: DataFrame) -> DataFrame:
     """Give stations without an organization the one named like their client, ignoring case."""
     named = orgs.groupBy(F.lower("name").alias("_client")).agg(F.min("id").alias("_org"))
-    joined = stations.withColumn("_client", F.lower("client")).join(named, "_client", "left")
+    joined = stations.join(named, _spread(F.lower("client"), STATION) == F.col("_client"), "left")
     return joined.withColumn("organization_id", F.coalesce("organization_id", "_org")).select(*stations.columns)
 
 
@@ -193,17 +224,21 @@ def replace_set(
     return staying.unionByName(_aligned(target, wanted))
 
 
-def append_rows(target: DataFrame, new: DataFrame, key: str = "id") -> DataFrame:
+def append_rows(target: DataFrame, new: DataFrame, key: str = "id", groups: int | None = None) -> DataFrame:
     """Append rows with generated ids above every existing one.
 
-    Rows are numbered inside hash groups and the groups' numbers interleaved, so there is no
-    global sort, and evaluating the result again gives the same ids. They are unique but not
-    dense, like a database sequence after rollbacks.
+    Rows are numbered inside groups and the groups' numbers interleaved, so there is no global sort.
+    A row's group comes from a hash of its content and of its number among equal rows, which are counted
+    instead of sorted; evaluating the result again gives the same ids. Ids are unique but not
+    dense, like a database sequence after rollbacks. ``groups`` defaults to 64 for each shuffle
+    partition. Nothing runs before the result is read.
     """
-    top = target.agg(F.coalesce(F.max(key), F.lit(0)).cast("long").alias("top")).first()["top"]
+    groups = groups or 64 * int(target.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    top = target.agg(F.coalesce(F.max(key), F.lit(0)).cast("long")).scalar()
     content = [c for c in new.columns if c != key]
-    group = F.pmod(F.xxhash64(*content), F.lit(ID_GROUPS))
-    rank = F.row_number().over(Window.partitionBy("_group").orderBy(*content))
-    numbered = new.select(*content, group.alias("_group"))
-    numbered = numbered.withColumn(key, F.lit(top) + (rank.cast("long") - 1) * ID_GROUPS + F.col("_group") + 1)
+    counted = new.groupBy(*content).agg(F.count("*").alias("_copies"))
+    each = counted.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).drop("_copies")
+    each = each.withColumn("_group", F.pmod(F.xxhash64(*content, "_copy"), F.lit(groups)))
+    rank = F.row_number().over(Window.partitionBy("_group").orderBy(*content, "_copy"))
+    numbered = each.withColumn(key, top + (rank.cast("long") - 1) * F.lit(groups).cast("long") + F.col("_group") + 1)
     return target.unionByName(_aligned(target, numbered))

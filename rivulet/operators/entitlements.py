@@ -44,26 +44,27 @@ def station_scope(
     return admins.withColumn("client_key", F.lit(EVERYTHING)).unionByName(everyone_else)
 
 
-def _keyed(stations: DataFrame) -> DataFrame:
-    """Each station under its client key and under the key that stands for all stations."""
-    return stations.withColumn("client_key", F.explode(F.array(station_key(), F.lit(EVERYTHING))))
-
-
 def visible_stations(stations: DataFrame, scope: DataFrame, user_id: int) -> DataFrame:
-    """Stations a user may see; none without a matching rule."""
-    mine = scope.where(F.col("user_id") == F.lit(user_id)).select("client_key")
-    seen = with_emails(_keyed(stations).join(mine, "client_key", "left_semi"))
+    """Stations a user may see; none without a matching rule.
+
+    An administrator's rule is one value that decides for all stations at once; the others join by client.
+    """
+    mine = scope.where(F.col("user_id") == F.lit(user_id)).select(F.col("client_key").alias("_rule"))
+    sees_all = mine.agg(F.coalesce(F.max(F.col("_rule") == F.lit(EVERYTHING)), F.lit(False))).scalar()
+    rows = stations.withColumn("_all", sees_all)
+    named = rows.where(~F.col("_all") & F.col("client").isNotNull())
+    named = named.join(mine, station_key() == F.col("_rule"), "left_semi")
+    seen = with_emails(rows.where("_all").unionByName(named))
     return seen.select(STATION, "client", "lieu", "email", "email2", "email3", "emails")
 
 
 def visible_station_counts(stations: DataFrame, scope: DataFrame) -> DataFrame:
     """Number of visible stations per user with a rule, without listing user-station pairs."""
-    sizes = _keyed(stations).groupBy("client_key").agg(F.count("*").alias("n"))
+    sizes = stations.groupBy(station_key().alias("client_key")).agg(F.count("*").alias("n"))
     counted = scope.join(sizes, "client_key", "left").groupBy("user_id")
-    return counted.agg(
-        F.max(F.col("client_key") == F.lit(EVERYTHING)).alias("sees_all"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("nb_stations"),
-    )
+    counted = counted.agg(F.max(F.col("client_key") == F.lit(EVERYTHING)).alias("sees_all"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+    everything = stations.agg(F.count("*")).scalar()
+    return counted.select("user_id", "sees_all", F.when(F.col("sees_all"), everything).otherwise(F.col("n")).alias("nb_stations"))
 
 
 def user_directory(

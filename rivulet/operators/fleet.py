@@ -11,25 +11,15 @@ from pyspark.sql import functions as F
 from rivulet.functions.numeric import from_micro, round_half_up, to_micro
 from rivulet.functions.timegrain import GRAINS
 from rivulet.operators.fill import bfill_leading_zero, ffill_zero
-from rivulet.schemas import ROLLUP_PRESSURES, STATION, VOLUMES
+from rivulet.schemas import DAILY_ROLLUP, MONTHLY_ROLLUP, STATION, WEEKLY_ROLLUP
 from rivulet.sources.readings import Stations, keep_stations
 
+# All metrics of the three rollups.
 EXPORT_COLUMNS = frozenset(
-    {
-        *VOLUMES,
-        *ROLLUP_PRESSURES,
-        "taux_recyclage",
-        "taux_desinfection",
-        "taux_desinfection_avg",
-        "taux_desinfection_med",
-        "temp_moy_c",
-        "temp_med_c",
-        "chlore_moy_mg_l",
-        "chlore_med_mg_l",
-        "ph_moyen",
-        "ph_med",
-        "conso_kwh",
-    }
+    f.name
+    for schema in (DAILY_ROLLUP, WEEKLY_ROLLUP, MONTHLY_ROLLUP)
+    for f in schema
+    if f.name not in {STATION, "created_at", "updated_at", *(g.bucket for g in GRAINS.values())}
 )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.functions.text import iso_timestamp
+from rivulet.functions.text import iso_timestamp, strip
 from rivulet.operators.changes import append_rows, full_update
 from rivulet.operators.stations import site_stations
 from rivulet.schemas import STATION
@@ -48,7 +48,7 @@ def incident_types(incidents: DataFrame, defaults: tuple[str, ...] = INCIDENT_TY
     The built-in spelling wins, then the first recorded one in binary order.
     """
     builtin = F.array(*[F.lit(t) for t in defaults])
-    recorded = incidents.select(F.trim("panne").alias("type")).where(F.col("type") != F.lit("")).distinct()
+    recorded = incidents.select(strip(F.col("panne")).alias("type")).where(F.col("type") != F.lit("")).distinct()
     found = recorded.groupBy(F.lower("type").alias("cle")).agg(F.min("type").alias("saisi"))
     known = incidents.sparkSession.range(1).select(F.explode(builtin).alias("officiel"))
     known = known.withColumn("cle", F.lower("officiel"))

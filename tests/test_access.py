@@ -106,3 +106,14 @@ def test_station_and_member_access(spark, world):
     grants, outside = ac.set_member_access(world["access"], *args, bad, 1)
     assert rows_of(grants, "automate_nom", "user_id") == rows_of(world["access"], "automate_nom", "user_id")
     assert rows_of(outside, "automate_nom") == [("S2",)]
+
+
+def test_a_user_added_to_two_organizations_stays_one_user(spark, world):
+    requests = spark.createDataFrame(
+        [(1, "\tc@x\n", "employee"), (2, "C@X ", "org_admin"), (2, "b@x", "org_admin"), (2, "c@x", "employee")],
+        "organization_id int, email string, org_role string",
+    )
+    memberships, users = ac.add_members(world["org_users"], world["users"], world["orgs"], requests)
+    assert rows_of(users, "id", "client_id") == [(1, "acme"), (2, "beta"), (3, "beta")]
+    rows = members(memberships)
+    assert len(rows) == len({r[:2] for r in rows}) and (3, 2, "org_admin") in rows and (1, 2, "employee") in rows

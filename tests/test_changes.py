@@ -115,3 +115,27 @@ def test_append_rows_generates_unique_repeatable_ids(spark):
     assert sorted(r["id"] for r in again.collect()) == sorted(ids)
     assert sorted(r["v"] for r in again.collect())[-1] == "a"
     assert ch.append_rows(target.limit(0), new.limit(1)).first()["id"] >= 1
+
+
+def test_the_last_change_of_a_repeated_key_counts_once(spark):
+    target = spark.createDataFrame([(1, 1.0, "a", OLD, OLD), (2, 2.0, "b", OLD, OLD)], SCHEMA)
+    twice = spark.createDataFrame([(1, 5.0, "x", 1), (1, 4.0, "y", 2), (1, 9.0, "w", 1)], "k int, v double, w string, o int")
+    assert rows_of(ch.full_update(target, twice, ["k"], order="o"), "k", "v", "w") == [(1, 4.0, "y"), (2, 2.0, "b")]
+    assert rows_of(ch.partial_update(target, twice, ["k"], order="o"), "k", "v", "w") == [(1, 4.0, "y"), (2, 2.0, "b")]
+    assert rows_of(ch.upsert(target, twice.drop("o"), ["k"], now()), "k", "v", "w") == [(1, 9.0, "w"), (2, 2.0, "b")]
+    two = spark.createDataFrame([(1, 7), (1, 8)], "organization_id int, user_id bigint")
+    members = spark.createDataFrame([(7, 1, "org_admin"), (8, 1, "employee"), (9, 2, "employee")], ORGANIZATION_USERS)
+    assert rows_of(ch.demote_other_admins(members, two), "user_id", "org_role") == [(7, "employee"), (8, "employee"), (9, "employee")]
+    stations = spark.createDataFrame([("S1", 4), ("S1", 3), ("S2", 1)], "k string, v int")
+    assert rows_of(ch.insert_absent(stations.where("v = 1"), stations, ["k"]), "k", "v") == [("S1", 3), ("S2", 1)]
+
+
+def test_append_runs_nothing_early_and_spreads_equal_rows(spark):
+    target = spark.createDataFrame([(5, "a")], "id bigint, w string")
+    new = spark.range(300).selectExpr("'same' as w")
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup())
+    out = ch.append_rows(target, new, groups=16)
+    assert set(tracker.getJobIdsForGroup()) == before
+    ids = [r["id"] for r in out.collect() if r["w"] == "same"]
+    assert len(set(ids)) == 300 and min(ids) > 5 and len({(i - 6) % 16 for i in ids}) == 16

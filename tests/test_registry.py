@@ -139,3 +139,12 @@ def test_grants(spark, people, orgs, automate):
     assert rows_of(ent.invalid_grants(asked, valid, "nom_automate"), "nom_automate") == [("S4",)]
     removed = spark.createDataFrame([(2, 2), (3, 2)], "user_id long, organization_id int")
     assert rows_of(ent.fallback_org(removed, members, orgs), "user_id", "client_id") == [(2, "acme"), (3, None)]
+
+
+def test_visible_stations_are_not_doubled(spark):
+    automate = spark.createDataFrame([("S1", 1, "Acme", "l", None, None, None, None), ("S2", 2, None, "l", None, None, None, None)], STATIONS)
+    scope = spark.createDataFrame([(1, "acme"), (2, "*")], "user_id long, client_key string")
+    plan = ent.visible_stations(automate, scope, 1)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan
+    assert {r[0] for r in ent.visible_stations(automate, scope, 2).select("nom_automate").collect()} == {"S1", "S2"}
+    assert ent.visible_stations(automate, scope, 3).count() == 0
