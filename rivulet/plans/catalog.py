@@ -511,15 +511,12 @@ def _(t: Tables) -> DataFrame:
 
 @query("list_roles")
 def _(t: Tables) -> DataFrame:
-    """Roles in use."""
-    return entitlements.list_roles(t.roles.join(t.user_roles, F.col("id") == F.col("role_id"), "left_semi"))
+    return entitlements.list_roles(t.roles)
 
 
 @query("list_orgs")
 def _(t: Tables) -> DataFrame:
-    """Organizations with members."""
-    used = t.organization_users.select(F.col("organization_id").alias("id"))
-    return entitlements.list_orgs(t.organizations.join(used, "id", "left_semi"))
+    return entitlements.list_orgs(t.organizations)
 
 
 # --- incidents and messages ---------------------------------------------------------------
@@ -593,13 +590,12 @@ def _(t: Tables) -> DataFrame:
 
 @query("insert_absent")
 def _(t: Tables) -> DataFrame:
-    grants = t.automate_access.where(F.col("user_id") % 2 == 0)
-    return changes.insert_absent(grants, t.automate_access, ["automate_nom", "user_id"])
+    return changes.insert_absent(t.automate_access, t.acces_demandes, ["automate_nom", "user_id"])
 
 
 @query("upsert_daily")
 def _(t: Tables) -> DataFrame:
-    return changes.upsert(t.stored_daily(), t.rollup("daily"), ["jour", STATION], F.expr(NOW))
+    return changes.upsert(t.stored_daily(), t.rollup("daily"), ["jour", STATION], F.expr(NOW), unique=True)
 
 
 @query("replace_window_monthly")
@@ -673,19 +669,23 @@ def _(t: Tables) -> DataFrame:
 
 @query("replace_set_scoped")
 def _(t: Tables) -> DataFrame:
-    """Grants of even users are renewed, but only for stations linked to an organization."""
+    """Grants of even users are renewed, some with station 1 besides, but only for stations linked to an organization."""
     owners = t.users.where(F.col("id") % 2 == 0).select(F.col("id").alias("user_id"))
     scope = t.automate.where("organization_id is not null").select(F.col(STATION).alias("automate_nom"))
     wanted = t.automate_access.where(F.col("user_id") % 4 == 0).join(scope, "automate_nom", "left_semi")
+    wanted = wanted.unionByName(owners.where(F.col("user_id") % 4 == 0).withColumn("automate_nom", F.lit("ST1")))
     return changes.replace_set(t.automate_access, owners, wanted, "user_id", "automate_nom", scope=scope)
 
 
 @query("append_rows")
 def _(t: Tables) -> DataFrame:
-    """Support conversations created for clients without one; ids are unique, not dense."""
+    """Support conversations created for clients without one: all rows, whether above the old ids, and how many bear their id."""
     clients = t.automate.select(F.col("numero_automate").cast("string").alias("client_id"))
     missing = messages.missing_conversations(clients, t.fils)
-    return changes.append_rows(t.fils, missing.withColumn("created_at", F.expr(NOW)))
+    rows = changes.append_rows(t.fils, missing.withColumn("created_at", F.expr(NOW)))
+    bearers = rows.groupBy("id").agg(F.count("*").alias("porteurs"))
+    old = t.fils.agg(F.max("id")).scalar()
+    return rows.join(bearers, "id").select("client_id", "type", "created_at", (F.col("id") > old).alias("nouveau"), "porteurs")
 
 
 # --- access changes -----------------------------------------------------------------------
@@ -743,14 +743,32 @@ def _(t: Tables) -> DataFrame:
     return access.add_members(t.organization_users, t.users, t.organizations, requests)[0]
 
 
-@query("remove_members")
+@query("add_members_users")
 def _(t: Tables) -> DataFrame:
+    """A user added to two organizations at once stays one row, with the greater name as client."""
+    user = F.col("id")
+    email = F.concat(F.lit("\t"), F.col("email"), F.lit("\n"))
+    first = t.users.select((user % 25).cast("int").alias("organization_id"), email.alias("email"), F.lit("employee").alias("org_role"))
+    second = t.users.select(((user + 3) % 25).cast("int").alias("organization_id"), email.alias("email"), F.lit("employee").alias("org_role"))
+    return access.add_members(t.organization_users, t.users, t.organizations, first.unionByName(second))[1]
+
+
+def _removed(t: Tables) -> tuple[DataFrame, DataFrame]:
     removed = t.organization_users.where((F.col("user_id") + F.col("organization_id")) % 5 == 0)
-    return access.remove_members(t.organization_users, t.users, t.organizations, removed)[1]
+    return access.remove_members(t.organization_users, t.users, t.organizations, removed)
 
 
-@query("set_station_access")
+@query("remove_members")
+def _(t: Tables) -> DataFrame:
+    return _removed(t)[1]
+
+
+@query("remove_members_left")
 def _(t: Tables) -> DataFrame:
+    return _removed(t)[0]
+
+
+def _station_access(t: Tables) -> tuple[DataFrame, DataFrame]:
     """Every registered station is granted to two accounts, one of which may not exist."""
     number = F.col("numero_automate") - 100
 
@@ -759,12 +777,36 @@ def _(t: Tables) -> DataFrame:
 
     second = F.when(number % 5 == 0, F.lit("nobody@user.example")).otherwise(address(number + 1))
     requests = t.automate.select(F.col(STATION).alias("automate_nom"), F.array(address(number), second).alias("emails"))
-    return access.set_station_access(t.automate_access, t.users, requests)[0]
+    return access.set_station_access(t.automate_access, t.users, requests)
 
 
-@query("set_member_access")
+@query("set_station_access")
+def _(t: Tables) -> DataFrame:
+    return _station_access(t)[0]
+
+
+@query("set_station_access_unknown")
 def _(t: Tables) -> DataFrame:
+    return _station_access(t)[1]
+
+
+def _member_access(t: Tables) -> tuple[DataFrame, DataFrame]:
     """Members of one organization renew their grants; a third of them name a foreign station."""
     own = F.array(F.lit("ST1"), F.when(F.col("user_id") % 3 == 0, F.lit("elsewhere")).otherwise(F.lit("ST1")))
     requests = t.organization_users.where("organization_id = 1").select("user_id", own.alias("automate_noms"))
-    return access.set_member_access(t.automate_access, t.organization_users, t.organizations, t.automate, requests, 1)[0]
+    return access.set_member_access(t.automate_access, t.organization_users, t.organizations, t.automate, requests, 1)
+
+
+@query("set_member_access")
+def _(t: Tables) -> DataFrame:
+    return _member_access(t)[0]
+
+
+@query("set_member_access_foreign")
+def _(t: Tables) -> DataFrame:
+    return _member_access(t)[1]
+
+
+@query("lookup_station_one")
+def _(t: Tables) -> DataFrame:
+    return stations.lookup_station(t.automate, "ST3").withColumn("emails", F.array_join("emails", ","))

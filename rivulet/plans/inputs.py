@@ -51,7 +51,7 @@ INPUTS: dict[str, str] = {
 select nom_automate, horodatage as rounded_timestamp, cast(pression5_mbar as double) as avg_pression5 from mesures
 """,
     "mesures_aggregate": "select 'ST' || cast(s_suppkey as string) as nom_automate from supplier",
-    # Six years of readings; station 7 has none in June 2001.
+    # Six years of readings; station 7 has none in June 2001, since station 8 takes them over.
     "mesures_longues": """
 select 'ST' || cast(station as string) as nom_automate, l_shipdate as horodatage, seq,
   case when seq % 53 = 0 then null else cast(h * 10 % 20000000 as double) / 1e3 end as compteur_eau_renvoi_m3,
@@ -64,11 +64,11 @@ select 'ST' || cast(station as string) as nom_automate, l_shipdate as horodatage
   cast(c % 700 as int) as temperature_deg,
   case when seq % 67 = 0 then null else cast(c % 2100 as int) end as chlore_mv,
   cast(100 + c % 1200 as int) as ph
-from (select l_suppkey % 20 as station, l_shipdate, l_orderkey * 10 + l_linenumber as seq,
+from (select case when l_suppkey % 20 = 7 and year(l_shipdate) = 2001 and month(l_shipdate) = 6 then 8
+          else l_suppkey % 20 end as station, l_shipdate, l_orderkey * 10 + l_linenumber as seq,
         ((year(l_shipdate) - 1995) * 372 + month(l_shipdate) * 31 + day(l_shipdate)) * 1000
           + cast(round(l_quantity * 100) as bigint) as h,
         cast(round(l_extendedprice) as bigint) as c from lineitem) b
-where not (station = 7 and year(l_shipdate) = 2001 and month(l_shipdate) = 6)
 """,
     "automate": """
 select 'ST' || cast(s_suppkey as string) as nom_automate, cast(s_suppkey + 100 as int) as numero_automate,
@@ -84,12 +84,20 @@ from supplier join nation on n_nationkey = s_nationkey join region on r_regionke
 select c_custkey as id, lower(c_name) || '@user.example' as email, c_custkey % 11 <> 0 as is_active,
   case when c_custkey % 5 = 0 then c_mktsegment end as client_id from customer
 """,
-    "roles": "select cast(id as int) as id, name from (values (1,'admin'),(2,'super_admin'),(3,'client')) as t(id, name)",
+    # The roles that the rules of user_roles give to someone.
+    "roles": """
+select cast(3 as int) as id, 'client' as name from customer where c_custkey % 7 <> 0
+union select cast(1 as int), 'admin' from customer where c_custkey % 50 = 0
+union select cast(2 as int), 'super_admin' from customer where c_custkey % 75 = 0
+""",
+    # Every customer is in users. Multiples of 7 have no client role, and mostly none at all (empty role lists);
+    # multiples of 50 and 75 are administrators, of 150 both (several roles of one user).
     "user_roles": """
 select c_custkey as user_id, cast(3 as int) as role_id from customer where c_custkey % 7 <> 0
 union all select c_custkey, cast(1 as int) from customer where c_custkey % 50 = 0
 union all select c_custkey, cast(2 as int) from customer where c_custkey % 75 = 0
 """,
+    # Multiples of 4 are in no first organization, so some users have none; multiples of 3 are in a second one.
     "organization_users": """
 select c_custkey as user_id, n_nationkey as organization_id,
   case when c_custkey % 10 = 0 then 'org_admin' else 'employee' end as org_role
@@ -97,6 +105,11 @@ from customer join nation on n_nationkey = c_nationkey where c_custkey % 4 <> 0
 union all select c_custkey, cast((n_nationkey + 7) % 25 as int),
   case when c_custkey % 6 = 0 then 'org_admin' else 'employee' end
 from customer join nation on n_nationkey = c_nationkey where c_custkey % 3 = 0
+""",
+    # Grants that other orders ask for: partly there already, partly new.
+    "acces_demandes": """
+select 'ST' || cast(o_orderkey % 97 as string) as automate_nom, o_custkey as user_id
+from orders group by 1, 2
 """,
     "automate_access": """
 select 'ST' || cast(o_orderkey % 100 as string) as automate_nom, o_custkey as user_id
@@ -124,7 +137,7 @@ select event_id as id, cast(user_id % 8 as string) as client, 'site ' || cast(us
     when 4 then null else 'CAPTEUR DÉRIVE' end as panne,
   'voir ' || event_type as probleme, ts as date_debut,
   case when event_id % 4 = 0 then ts end as date_fin, 'admin@site.example' as created_by
-from events where event_type = 'error'
+from events
 """,
 }
 

@@ -575,6 +575,7 @@ def all_oracles() -> dict[str, str]:
             f"select client, numero_automate, nom_automate, lieu, email, email2, email3, {_EMAIL_TEXT} as emails from automate",
         ),
         "lookup_stations": sql(inputs("automate"), f"select {_STATION_COLUMNS} from automate"),
+        "lookup_station_one": sql(inputs("automate"), f"select {_STATION_COLUMNS} from automate where nom_automate = 'ST3'"),
         "distinct_clients": sql(inputs("automate"), "select distinct client from automate where client is not null"),
         "distinct_sites": sql(
             inputs("automate"),
@@ -690,13 +691,8 @@ def all_oracles() -> dict[str, str]:
             "select r.user_id, min(o.name) as client_id from retraits r left join organization_users m on m.user_id = r.user_id "
             "and m.organization_id <> r.organization_id left join organizations o on o.id = m.organization_id group by 1",
         ),
-        "list_roles": sql(
-            inputs("roles", "user_roles"), "select name from roles where id in (select role_id from user_roles)"
-        ),
-        "list_orgs": sql(
-            inputs("organizations", "organization_users"),
-            "select id, name from organizations where id in (select organization_id from organization_users)",
-        ),
+        "list_roles": sql(inputs("roles"), "select name from roles"),
+        "list_orgs": sql(inputs("organizations"), "select id, name from organizations"),
         # incidents, messages
         "incident_types": _types(),
         "list_incidents": sql(
@@ -747,7 +743,9 @@ def all_oracles() -> dict[str, str]:
             "f.client_id = c.client_id and f.type = 'support')",
         ),
         # changes
-        "insert_absent": sql(inputs("automate_access"), "select * from automate_access"),
+        "insert_absent": sql(
+            inputs("automate_access", "acces_demandes"), "select * from automate_access union select * from acces_demandes"
+        ),
         "upsert_daily": sql(_upserted(), "select * from fusion"),
         "replace_window_monthly": sql(
             [*rollup("monthly", EARLIER_LONG, "ancien"), *rollup("monthly", AS_OF_LONG, "nouveau")],
@@ -796,14 +794,26 @@ def all_oracles() -> dict[str, str]:
         ),
         "replace_set_scoped": sql(
             [
-                *inputs("automate", "automate_access"),
+                *inputs("automate", "automate_access", "users"),
                 (
                     "liees",
                     "select nom_automate from automate where organization_id is not null",
                 ),
             ],
             "select * from automate_access where user_id % 2 <> 0 or user_id % 4 = 0 "
-            "or automate_nom not in (select nom_automate from liees)",
+            "or automate_nom not in (select nom_automate from liees) union select 'ST1', id from users where id % 4 = 0",
+        ),
+        "append_rows": sql(
+            [
+                *inputs("automate", "fils"),
+                (
+                    "manquants",
+                    "select distinct cast(numero_automate as varchar) as client_id from automate where not exists (select 1 from "
+                    "fils f where f.client_id = cast(numero_automate as varchar) and f.type = 'support')",
+                ),
+            ],
+            "select client_id, type, created_at, false as nouveau, cast(1 as bigint) as porteurs from fils union all "
+            "select client_id, 'support', timestamp '2024-01-31', true, 1 from manquants",
         ),
         # access
         "assign_access_users": sql(
@@ -858,6 +868,37 @@ def all_oracles() -> dict[str, str]:
             "from organization_users o where not exists (select 1 from ajouts a where a.user_id = o.user_id and "
             "a.organization_id = o.organization_id) union all select user_id, organization_id, org_role from ajouts",
         ),
+        "add_members_users": sql(
+            [
+                *inputs("users", "organizations"),
+                (
+                    "noms",
+                    "select u.id as user_id, max(o.name) as name from users u join organizations o on o.id = u.id % 25 or "
+                    "o.id = (u.id + 3) % 25 group by 1",
+                ),
+            ],
+            "select id, email, is_active, name as client_id from users join noms on user_id = id",
+        ),
+        "remove_members_left": sql(
+            inputs("organization_users"), "select * from organization_users where (user_id + organization_id) % 5 <> 0"
+        ),
+        "set_station_access_unknown": sql(
+            [
+                *inputs("automate", "users"),
+                (
+                    "demandes",
+                    "select nom_automate, numero_automate - 100 as n from automate union "
+                    "select nom_automate, numero_automate - 99 from automate where (numero_automate - 100) % 5 <> 0",
+                ),
+            ],
+            "select nom_automate as automate_nom, 'customer#' || lpad(cast(n as varchar), 9, '0') || '@user.example' as email "
+            "from demandes where n not in (select id from users) union all "
+            "select nom_automate, 'nobody@user.example' from automate where (numero_automate - 100) % 5 = 0",
+        ),
+        "set_member_access_foreign": sql(
+            inputs("organization_users"),
+            "select user_id, 'elsewhere' as automate_nom from organization_users where organization_id = 1 and user_id % 3 = 0",
+        ),
         "remove_members": sql(
             [
                 *inputs("users", "organization_users", "organizations"),
