@@ -86,13 +86,11 @@ def plan_mix(
     )
     name = F.coalesce("source", F.lit(""))
     sums = rows.groupBy("source").agg(F.sum("tokens").alias("total"))
-    biggest = sums.agg(F.max("total").alias("biggest"))
-    plan = sums.crossJoin(biggest).crossJoin(exponent(sums, target_entropy, max_repeats))  # both have one row
-    power = F.pow(F.col("total") / F.col("biggest"), F.col("tau"))
-    quota = F.col("biggest") * power
+    biggest, tau = sums.agg(F.max("total")).scalar(), exponent(sums, target_entropy, max_repeats).scalar()
+    plan = sums.withColumn("biggest", biggest).withColumn("power", F.pow(F.col("total") / F.col("biggest"), tau))
+    quota = F.col("biggest") * F.col("power")
     if budget_tokens is not None:
-        plan = plan.crossJoin(plan.agg(F.sum(power).alias("weights")))
-        quota = F.lit(int(budget_tokens)) * power / F.col("weights")
+        quota = F.lit(int(budget_tokens)) * F.col("power") / plan.agg(F.sum("power")).scalar()
     plan = plan.select(
         F.col("source").alias("source_"),
         "total",

@@ -117,9 +117,9 @@ def disclosing_terms(found: DataFrame, docs: DataFrame, text_col: str, min_suppo
     text = text_of(text_col)
     hashes = F.transform(words_of(text), lambda x: F.xxhash64(x))
     counts = docs.select(F.explode(hashes).alias("word")).groupBy("word").agg(F.count("*").alias("n_t"))
-    total = docs.agg(F.greatest(F.count("*"), F.lit(2)).alias("n"))
-    share = 1 - F.log(F.greatest(F.col("n_t") / F.col("n_et"), F.lit(1.0))) / F.log(F.col("n") / F.col("n_e"))
-    scored = pairs.join(counts, "word").crossJoin(total)  # total has one row
+    total = docs.agg(F.greatest(F.count("*"), F.lit(2))).scalar()
+    share = 1 - F.log(F.greatest(F.col("n_t") / F.col("n_et"), F.lit(1.0))) / F.log(total / F.col("n_e"))
+    scored = pairs.join(counts, "word")
     return scored.select("entity", "term", share.alias("share")).where(F.col("share") >= generalise)
 
 
