@@ -11,6 +11,11 @@ WINDOW = 3
 LONG_LINE = 300
 
 
+def _let(value: Column, body) -> Column:
+    """body(value), with the value computed once however often the body or lambdas in it use it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
@@ -92,17 +97,21 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", t
     gone = repeated_runs(docs, window, id_col, text_col).select(F.col("key").alias("_key"), F.col("hash").alias("_hash"), F.col("gone").alias("_gone"))
     marked = docs.withColumns({"_own": doc_key(id_col, text_col), "_text": F.xxhash64(text_of(text_col))})
     joined = marked.join(gone, (F.col("_own") == F.col("_key")) & (F.col("_text") == F.col("_hash")), "left")
-    joined = joined.withColumn("_lines", F.when(F.col("_gone").isNotNull(), _filled(text_of(text_col))))
-    at = F.transform("_gone", lambda i: F.get("_lines", i)["at"])
-    places = F.map_from_entries(F.transform(at, lambda x: F.struct(x, F.lit(True))))
-    joined = joined.withColumn("_places", F.when(F.col("_gone").isNotNull(), places))
-    kept = F.filter(_lines(F.col(text_col)), lambda x, i: ~F.map_contains_key("_places", i))
-    text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
-    n_lines = F.when(F.col(text_col).isNull(), 0).otherwise(F.regexp_count(F.col(text_col), F.lit(r"(?m)^[^\n]*[^ \t\r\x0B\f\n]")))
+
+    def kept(s: Column) -> Column:
+        """The stretches of lines between those that go."""
+        at = F.array_sort(F.transform(s["gone"], lambda i: F.get(s["filled"], i)["at"]))
+        edges = F.concat(F.array(F.lit(-1)), at, F.array(F.size(s["lines"])))
+        gaps = F.sequence(F.lit(0), F.size(s["gone"]))
+        return _let(edges, lambda e: F.flatten(F.transform(gaps, lambda k: F.slice(s["lines"], F.get(e, k) + 2, F.get(e, k + 1) - F.get(e, k) - 1))))
+
+    parts = F.struct(F.col("_gone").alias("gone"), _filled(F.col(text_col)).alias("filled"), _lines(F.col(text_col)).alias("lines"))
+    text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(_let(parts, kept), "\n"))
+    n_lines = F.when(F.col(text_col).isNull(), 0).otherwise(F.regexp_count(F.col(text_col), F.lit(r"(?md)^[^\n]*[^ \t\r\x0B\f\n]")))
     n_lines = n_lines.cast("long")
     out = joined.withColumns({"n_lines": n_lines, "n_deleted": F.coalesce(F.size("_gone"), F.lit(0)).cast("long")})
     out = out.withColumn("n_deleted", F.when(F.col("_gone").isNull(), 0).otherwise(F.col("n_deleted")).cast("long"))
-    return out.withColumn(text_col, text).drop("_key", "_hash", "_gone", "_own", "_text", "_lines", "_places")
+    return out.withColumn(text_col, text).drop("_key", "_hash", "_gone", "_own", "_text")
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
