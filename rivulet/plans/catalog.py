@@ -146,6 +146,13 @@ def _(t: Tables) -> DataFrame:
     return hourly.hourly_energy(t.mesures, AS_OF, hours=24 * 31, tz="Europe/Paris")
 
 
+@query("hourly_energy_autumn")
+def _(t: Tables) -> DataFrame:
+    """Readings moved to the weekend on which clocks go back: one label stands for two hours."""
+    moved = t.mesures.withColumn("horodatage", F.expr("horodatage + INTERVAL 271 DAYS"))
+    return hourly.hourly_energy(moved, AS_OF + timedelta(days=271), hours=48, tz="Europe/Paris")
+
+
 # --- latest values ------------------------------------------------------------------------
 
 for _kind, _column in (

@@ -464,6 +464,11 @@ def all_oracles() -> dict[str, str]:
             _steps({"kwh": COUNTERS["conso_kwh"]}, day_window(24 * 31), PARIS),
             f"select nom_automate, heure, {rnd('sum(kwh) / 1000000.0', 2)} as conso_kwh from pas group by 1, 2",
         ),
+        "hourly_energy_autumn": sql(
+            _steps({"kwh": COUNTERS["conso_kwh"]}, day_window(48), "horodatage + interval 271 day"),
+            "select nom_automate, pas.heure + case when pas.heure < timestamp '2024-10-27 01:00:00' then interval 2 hour else interval 1 "
+            f"hour end as heure, {rnd('sum(kwh) / 1000000.0', 2)} as conso_kwh from pas group by nom_automate, pas.heure",
+        ),
         "hourly_energy_ratio": sql(
             [
                 *_steps({"kwh": COUNTERS["conso_kwh"], "m3": COUNTERS["vol_relevage_m3"]}, day_window()),
