@@ -18,8 +18,8 @@ from rivulet.llm.textscan import grouped, scan_words, shingles
 WINDOW = 13
 SLOP = 2
 BLOCK_WINDOWS = 200_000
-INDEX = "row_id long, doc_id long, text_hash long, n_words long, terms binary, positions binary"
-MATCHES = "row_id long, starts array<int>, ends array<int>, items array<string>, near_items array<string>"
+INDEX = "doc_id long, text_hash long, n_words long, terms binary, positions binary"
+MATCHES = "doc_id long, text_hash long, starts array<int>, ends array<int>, items array<string>, near_items array<string>"
 
 
 class ItemWindows:
@@ -59,7 +59,6 @@ def build_index(docs: DataFrame, vocabulary: np.ndarray, id_col: str = "doc_id",
     A document's row is self-contained, so the index is spread as its documents are and searching needs no shuffle.
     """
     rows = docs.select(
-        F.monotonically_increasing_id().alias("row_id"),
         F.col(id_col).cast("long").alias("doc_id"),
         F.xxhash64(text_of(text_col)).alias("text_hash"),
         text_of(text_col).alias("text"),
@@ -78,14 +77,13 @@ def build_index(docs: DataFrame, vocabulary: np.ndarray, id_col: str = "doc_id",
             terms, places = rank[known].astype(np.int32), place[known].astype(np.int32)
             yield pa.record_batch(
                 [
-                    b.column("row_id"),
                     b.column("doc_id"),
                     b.column("text_hash"),
                     pa.array(w.counts.astype(np.int64)),
                     pa.array([packed(x) for x in np.split(terms, cut)], pa.binary()),
                     pa.array([packed(x) for x in np.split(places, cut)], pa.binary()),
                 ],
-                names=["row_id", "doc_id", "text_hash", "n_words", "terms", "positions"],
+                names=["doc_id", "text_hash", "n_words", "terms", "positions"],
             )
 
     return staged(rows.mapInArrow(scan, INDEX))
@@ -151,15 +149,10 @@ def _search(tokens: np.ndarray, groups: list, slop: int) -> tuple[np.ndarray, np
     return tuple(joined)
 
 
-def search_index(index: DataFrame, block: ItemWindows, ranks: np.ndarray, frequency: np.ndarray, slop: int = SLOP) -> DataFrame:
-    """Documents with matches: word ranges of exact phrases, items found exactly, items found in proximity.
-
-    ``ranks`` maps the block's words to those of the index.
-    """
-    groups = []
-    for words, item in block.groups:
-        words = ranks[words].astype(np.int32)
-        groups.append((words, item, np.argsort(frequency[words], axis=1, kind="stable").astype(np.int32)))
+def search_index(index: DataFrame, block: ItemWindows, slop: int = SLOP) -> DataFrame:
+    """Documents with matches: word ranges of exact phrases, items found exactly, items found in proximity."""
+    frequency = term_frequencies(index, len(block.vocabulary))
+    groups = [(words, item, np.argsort(frequency[words], axis=1, kind="stable").astype(np.int32)) for words, item in block.groups]
     ids = np.array(block.ids, object)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,16 +177,17 @@ def search_index(index: DataFrame, block: ItemWindows, ranks: np.ndarray, freque
             nlo, nhi = np.searchsorted(near_doc, found), np.searchsorted(near_doc, found, side="right")
             yield pa.record_batch(
                 [
-                    b.column("row_id").take(pa.array(found)),
+                    b.column("doc_id").take(pa.array(found)),
+                    b.column("text_hash").take(pa.array(found)),
                     pa.array([s[i:j] for i, j in zip(lo, hi, strict=True)], pa.list_(pa.int32())),
                     pa.array([e[i:j] for i, j in zip(lo, hi, strict=True)], pa.list_(pa.int32())),
                     pa.array([list(ids[np.unique(it[i:j])]) for i, j in zip(lo, hi, strict=True)], pa.list_(pa.string())),
                     pa.array([list(ids[np.unique(near_it[i:j])]) for i, j in zip(nlo, nhi, strict=True)], pa.list_(pa.string())),
                 ],
-                names=["row_id", "starts", "ends", "items", "near_items"],
+                names=["doc_id", "text_hash", "starts", "ends", "items", "near_items"],
             )
 
-    return index.select("row_id", "n_words", "terms", "positions").mapInArrow(search, MATCHES)
+    return index.select("doc_id", "text_hash", "n_words", "terms", "positions").mapInArrow(search, MATCHES)
 
 
 @F.pandas_udf(T.LongType())
@@ -230,27 +224,29 @@ def find_contamination(
     match nothing; other columns are ignored.
     """
     items = benchmark.select("item_id", text_of("text").alias("text"))
-    blocks = list(item_blocks(items, window, block_windows))
-    vocabulary = np.unique(np.concatenate([b.vocabulary for b in blocks])) if blocks else np.zeros(0, np.uint64)
-    index = build_index(docs, vocabulary, id_col, text_col)
-    frequency = term_frequencies(index, len(vocabulary))
-    found = [search_index(index, b, np.searchsorted(vocabulary, b.vocabulary), frequency, slop) for b in blocks]
-    merged = reduce(DataFrame.unionAll, found).groupBy("row_id").agg(
+    # One block of the benchmark at a time is held: an index of its words, and what it finds.
+    found, index = [], None
+    for block in item_blocks(items, window, block_windows):
+        postings = build_index(docs, block.vocabulary, id_col, text_col)
+        index = index or postings
+        found.append(staged(search_index(postings, block, slop).dropDuplicates(["doc_id", "text_hash"])))
+    merged = reduce(DataFrame.unionAll, found).groupBy("doc_id", "text_hash").agg(
         F.flatten(F.collect_list("starts")).alias("starts"),
         F.flatten(F.collect_list("ends")).alias("ends"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("near_items")))).alias("near_items"),
     )
-    merged = merged.select("row_id", covered("starts", "ends").alias("n_hit"), "items", "near_items")
+    merged = merged.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), covered("starts", "ends").alias("n_hit"), "items", "near_items")
     none = F.array().cast("array<string>")
-    out = index.select("row_id", "doc_id", "text_hash", "n_words").join(merged, "row_id", "left")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
+    out = index.select("doc_id", "text_hash", "n_words").join(merged, same, "left")
     out = out.withColumns(
         {
             "n_hit": F.coalesce("n_hit", F.lit(0)),
             "items": F.coalesce("items", none),
             "near_items": F.coalesce("near_items", none),
         }
-    ).drop("row_id")
+    ).drop("_id", "_hash")
     return out.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 
 
