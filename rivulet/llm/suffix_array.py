@@ -9,8 +9,8 @@ from rivulet.llm.textscan import range_hashes
 
 def _smaller_than_next(text: np.ndarray) -> np.ndarray:
     """For each suffix whether it is smaller than the next one (S-type); the last one, the sentinel, is."""
-    step = np.sign(np.diff(text.astype(np.int32)))
-    place = np.where(step != 0, np.arange(len(step)), len(step))
+    step = np.sign(np.diff(text.astype(np.int32))).astype(np.int8)
+    place = np.where(step != 0, np.arange(len(step), dtype=np.int32), np.int32(len(step)))
     place = np.minimum.accumulate(place[::-1])[::-1]
     kinds = np.ones(len(text), bool)
     inside = place < len(step)

@@ -21,7 +21,7 @@ from rivulet.llm.suffix_array import permuted_prefixes, suffix_array
 from rivulet.llm.textscan import grouped, mix, range_hashes, runs
 
 MATCH, MER = 50, 16
-BLOCK_BYTES, SHARD_BYTES = 8 << 20, 8 << 20
+BLOCK_BYTES, SHARD_BYTES, SLICE_BYTES = 4 << 20, 2 << 20, 1 << 20
 ANCHORS = "shard int, block long, anchors binary, repeated binary"
 FOUND = "block long, shard int, anchors binary"
 SEGMENTS = "shard int, block long, bytes binary, lengths binary, keys binary, docs binary, starts binary, copy_docs binary, copy_starts binary, copy_ends binary"
@@ -81,7 +81,7 @@ def _send_anchors(shards: int):
         block = table["block"][0].as_py()
         table = _ordered(table)
         anchors, docs = [], []
-        for b in small_batches(table.combine_chunks().to_batches(), "text"):
+        for b in small_batches(table.combine_chunks().to_batches(), "text", SLICE_BYTES):
             s = Segments(*flat_bytes(b.column("text")))
             anchors.append(s.anchor)
             docs.append(b.column("doc_key").to_numpy()[s.doc])
@@ -143,7 +143,7 @@ def _send_segments(shards: int):
         parts: dict[str, list] = {k: [] for k in ("shard", "hash", "key", "doc", "start", "end", "text")}
         base = place = 0
         chunks = []
-        for b in small_batches(texts.combine_chunks().to_batches(), "text"):
+        for b in small_batches(texts.combine_chunks().to_batches(), "text", SLICE_BYTES):
             raw, offsets = flat_bytes(b.column("text"))
             s = Segments(raw, offsets)
             shard, rest = _shard_of(s.anchor, shards)

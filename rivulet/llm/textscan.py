@@ -8,6 +8,7 @@ import numpy as np
 
 _M = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_M, -1, 1 << 64)
+_PART = 1 << 19
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -36,7 +37,22 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A hash of values[start:end] for each range, whatever its place."""
+    """A hash of values[start:end] for each range, whatever its place; starts ascend.
+
+    Long inputs are done in parts, so that what is needed beside them stays small.
+    """
+    if len(values) > _PART and len(starts):
+        out = np.empty(len(starts), np.uint64)
+        for at in range(0, len(values) + 1, _PART):
+            i, j = np.searchsorted(starts, (at, at + _PART))
+            if i < j:
+                part = values[at : max(at, int(ends[i:j].max()))]
+                out[i:j] = _range_hashes(part, starts[i:j] - at, ends[i:j] - at)
+        return out
+    return _range_hashes(values, starts, ends)
+
+
+def _range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     up, down = _powers(len(values) + 1)
     sums = np.zeros(len(values) + 1, np.uint64)
     np.cumsum((values.astype(np.uint64) + np.uint64(1)) * up[: len(values)], out=sums[1:])
