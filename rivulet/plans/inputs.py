@@ -84,18 +84,16 @@ from supplier join nation on n_nationkey = s_nationkey join region on r_regionke
 select c_custkey as id, lower(c_name) || '@user.example' as email, c_custkey % 11 <> 0 as is_active,
   case when c_custkey % 5 = 0 then c_mktsegment end as client_id from customer
 """,
-    # The roles that the rules of user_roles give to someone.
     "roles": """
-select cast(3 as int) as id, 'client' as name from customer where c_custkey % 7 <> 0
-union select cast(1 as int), 'admin' from customer where c_custkey % 50 = 0
-union select cast(2 as int), 'super_admin' from customer where c_custkey % 75 = 0
+select distinct cast(1 + c_custkey % 3 as int) as id,
+  case c_custkey % 3 when 0 then 'admin' when 1 then 'super_admin' else 'client' end as name from customer
 """,
     # Every customer is in users. Multiples of 7 have no client role, and mostly none at all (empty role lists);
     # multiples of 50 and 75 are administrators, of 150 both (several roles of one user).
     "user_roles": """
-select c_custkey as user_id, cast(3 as int) as role_id from customer where c_custkey % 7 <> 0
-union all select c_custkey, cast(1 as int) from customer where c_custkey % 50 = 0
-union all select c_custkey, cast(2 as int) from customer where c_custkey % 75 = 0
+select c_custkey as user_id, cast(case when c_custkey % 7 > 0 then 3 end as int) as role_id from customer where c_custkey % 7 <> 0
+union all select c_custkey, cast(case c_custkey % 50 when 0 then 1 end as int) from customer where c_custkey % 50 = 0
+union all select c_custkey, cast(case c_custkey % 75 when 0 then 2 end as int) from customer where c_custkey % 75 = 0
 """,
     # Multiples of 4 are in no first organization, so some users have none; multiples of 3 are in a second one.
     "organization_users": """
