@@ -12,7 +12,8 @@ from rivulet.llm.components import components
 from rivulet.llm.textscan import grouped, mix, range_hashes, scan_words, shingles
 
 SHINGLE = 5
-BLOCK_DOCS, BLOCK_BYTES = 2000, 16 << 20
+BLOCK_DOCS, BLOCK_BYTES = 1000, 16 << 20
+TASK_DOCS = 200  # of small families, which share tasks
 
 
 def shingle_bags(raw: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -59,10 +60,11 @@ def similar_groups(doc: np.ndarray, keys: np.ndarray, n: int, multiset: bool, si
     column = np.cumsum(seen > 1)[element[shared]] - 1
     row = doc[shared]
     overlap = np.zeros((n, n))
-    wide = max(1, (4 << 20) // max(1, n))
     order = np.argsort(column, kind="stable")
     column, row = column[order], row[order]
-    for begin in range(0, int(column[-1]) + 1 if len(column) else 0, wide):
+    columns = int(column[-1]) + 1 if len(column) else 0
+    wide = max(1, min(columns, (4 << 20) // max(1, n)))
+    for begin in range(0, columns, wide):
         lo, hi = np.searchsorted(column, (begin, begin + wide))
         part = np.zeros((n, wide), np.float32)
         part[row[lo:hi], column[lo:hi] - begin] = 1
@@ -115,8 +117,8 @@ def families_of(units: DataFrame) -> tuple[DataFrame, bool]:
     sizes = members.groupBy("family").agg(F.count("*").alias("n"), F.sum("n_bytes").alias("bytes"))
     wanted = F.ceil(F.greatest(F.col("n") / F.lit(BLOCK_DOCS), F.col("bytes") / F.lit(BLOCK_BYTES), F.lit(1)))
     sizes = sizes.withColumn("blocks", wanted.cast("long"))
-    told = sizes.agg(F.max("blocks").alias("most"), F.sum("bytes").alias("bytes")).first()
-    bins = max(1, (told["bytes"] or 0) // BLOCK_BYTES)
+    told = sizes.agg(F.max("blocks").alias("most"), F.sum("bytes").alias("bytes"), F.sum("n").alias("n")).first()
+    bins = max(1, (told["bytes"] or 0) // BLOCK_BYTES, (told["n"] or 0) // TASK_DOCS)
     tasks = members.join(sizes.select("family", "blocks"), "family").withColumn("side", F.pmod(F.xxhash64("id", F.lit(1)), F.col("blocks")))
     tasks = tasks.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     pair = F.xxhash64("family", F.least("side", "other"), F.greatest("side", "other"))
