@@ -114,10 +114,11 @@ def disclosing_terms(found: DataFrame, docs: DataFrame, text_col: str, min_suppo
     pairs = pairs.join(seen, "entity").groupBy("entity", "term").agg(F.count("*").alias("n_et"), F.max("n_e").alias("n_e"))
     pairs = pairs.where(F.col("n_et") >= min_support).withColumn("word", F.xxhash64("term"))
     # A word is counted once per text; counts are summed in each input split before they are shuffled.
-    text = text_of(text_col)
-    hashes = F.transform(words_of(text), lambda x: F.xxhash64(x))
-    counts = docs.select(F.explode(hashes).alias("word")).groupBy("word").agg(F.count("*").alias("n_t"))
-    total = docs.agg(F.greatest(F.count("*"), F.lit(2))).scalar()
+    texts = docs.select(F.xxhash64(text_of(text_col)).alias("hash"), text_of(text_col).alias("text"))
+    once = texts.dropDuplicates(["hash"])  # copies leave each input split once
+    hashes = F.transform(words_of(F.col("text")), lambda x: F.xxhash64(x))
+    counts = once.select(F.explode(hashes).alias("word")).groupBy("word").agg(F.count("*").alias("n_t"))
+    total = texts.agg(F.greatest(F.count_distinct("hash"), F.lit(2))).scalar()
     share = 1 - F.log(F.greatest(F.col("n_t") / F.col("n_et"), F.lit(1.0))) / F.log(total / F.col("n_e"))
     scored = pairs.join(counts, "word")
     return scored.select("entity", "term", share.alias("share")).where(F.col("share") >= generalise)
@@ -136,8 +137,7 @@ def find_personal_data(
     Luhn check) and phone numbers (9 to 15 digits); ``extra`` the occurrences of terms that disclose an
     entity of the document, ``strong_terms`` those of them that disclose nearly all. Terms need
     ``min_support`` different texts in which they stand beside the entity. Null texts are empty; null ids stay null;
-    repeated rows are treated alike and count as often as they occur for n_t only, which can only lower
-    shares; other columns are ignored; an empty table gives no rows.
+    repeated rows are treated alike and copies of a text count once; other columns are ignored; an empty table gives no rows.
     """
     rows = docs.select(
         F.col(id_col).alias("doc_id"), doc_key(id_col, text_col).alias("key"), F.xxhash64(text_of(text_col)).alias("hash"), text_of(text_col).alias("text")

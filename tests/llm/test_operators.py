@@ -114,6 +114,14 @@ def test_disclosing_terms_are_found_and_sanitised(spark, no_docs):
     assert pii.find_personal_data(no_docs).count() == 0 and pii.sanitise(no_docs).count() == 0
 
 
+def test_copies_of_a_text_do_not_hide_a_term(spark):
+    rows = [(i, f"{prose(500 + i, 40)} agent Zorblax uses spy@secret.example.org now") for i in range(3)]
+    rows += [(100 + i, rows[0][1]) for i in range(200)] + [(1000 + i, prose(600 + i, 20)) for i in range(97)]
+    found = {r["doc_id"]: r for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i in (0, 2, 150):
+        assert "zorblax" in {s["found"].lower() for s in found[i]["extra"]} and "zorblax" in found[i]["strong_terms"]
+
+
 # 4, mixing
 
 
