@@ -4,6 +4,9 @@ After finding e-mail addresses, IP addresses, card and phone numbers, the corpus
 reveal them: with N texts, a word in n_t of them, an entity in n_e, and the word beside the entity in n_et,
 PMI = log(N n_et / (n_e n_t)) is what the word tells of the entity, out of IC = log(N / n_e) in all. A word
 whose share PMI / IC reaches a threshold is generalised where the entity occurs, and removed beyond a second one.
+Besides the exact value, an entity stands for its class: the domain of an address, the prefix of a number. (The
+kind is no class: the mark that replaces the entity tells it.) A word seen beside an entity in few texts may be there by chance, so for
+it n_et / n_t, the chance of the entity given the word, is drawn towards n_e / N as if ``PRIOR`` more texts had the word.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ PATTERNS = {
 KINDS = [*PATTERNS, "term"]
 WORD = r"[\p{L}\p{N}]+"
 CONTEXT = 80
-MIN_SUPPORT, GENERALISE, REMOVE = 3, 0.9, 0.999
+MIN_SUPPORT, PRIOR, GENERALISE, REMOVE = 3, 2, 0.9, 0.999
 SPANS = "array<struct<start:int,kind:int,end:int,found:string>>"
 
 
@@ -91,6 +94,14 @@ def _entity(s: Column) -> Column:
     return F.concat_ws(":", name, value)
 
 
+def _stands_for(s: Column) -> Column:
+    """The entity of a span and its class: e-mail domain, first three parts of an IP address, issuer digits of a card, phone number without the last four digits."""
+    name, digits = F.get(F.array(*map(F.lit, KINDS)), s["kind"]), _digits(s["found"])
+    part = F.when(name == "email", F.substring_index(F.lower(s["found"]), "@", -1)).when(name == "ip", F.substring_index(s["found"], ".", 3))
+    part = part.when(name == "card", F.substr(digits, F.lit(1), F.lit(6))).otherwise(F.substr(digits, F.lit(1), F.length(digits) - 4))
+    return F.array(_entity(s), F.concat_ws("/", name, part))
+
+
 def words_of(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)))
 
@@ -104,24 +115,33 @@ def _beside(text: Column, s: Column) -> Column:
 
 
 def disclosing_terms(found: DataFrame, docs: DataFrame, text_col: str, min_support: int, generalise: float) -> DataFrame:
-    """``entity term share`` of the words that reveal an entity; counts are of distinct texts of the whole corpus."""
+    """``entity term share`` of the words that reveal an entity or class; counts are of distinct texts of the whole corpus.
+
+    With fewer than ``min_support`` texts that have the word beside the entity the share is a smoothed one.
+    """
     beside = found.where(F.size("base") > 0).dropDuplicates(["hash"])
-    beside = beside.select(
-        "hash", F.explode(F.transform("base", lambda s: F.struct(_entity(s).alias("entity"), _beside(F.col("text"), s).alias("terms")))).alias("e")
-    )
-    seen = beside.groupBy("e.entity").agg(F.count_distinct("hash").alias("n_e")).where(F.col("n_e") >= min_support)
-    pairs = beside.select("hash", "e.entity", F.explode("e.terms").alias("term")).where(F.length("term") >= 3).distinct()
-    pairs = pairs.join(seen, "entity").groupBy("entity", "term").agg(F.count("*").alias("n_et"), F.max("n_e").alias("n_e"))
-    pairs = pairs.where(F.col("n_et") >= min_support).withColumn("word", F.xxhash64("term"))
+    near = F.transform("base", lambda s: F.struct(_stands_for(s).alias("entities"), _beside(F.col("text"), s).alias("terms")))
+    beside = beside.select("hash", F.explode(near).alias("e")).select("hash", F.explode("e.entities").alias("entity"), "e.terms")
+    seen = beside.groupBy("entity").agg(F.count_distinct("hash").alias("n_e"))
+    pairs = beside.select("hash", "entity", F.explode("terms").alias("term")).where(F.length("term") >= 3).distinct()
+    pairs = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_et")).join(seen, "entity").withColumn("word", F.xxhash64("term"))
     # A word is counted once per text; counts are summed in each input split before they are shuffled.
     texts = docs.select(F.xxhash64(text_of(text_col)).alias("hash"), text_of(text_col).alias("text"))
     once = texts.dropDuplicates(["hash"])  # copies leave each input split once
     hashes = F.transform(words_of(F.col("text")), lambda x: F.xxhash64(x))
     counts = once.select(F.explode(hashes).alias("word")).groupBy("word").agg(F.count("*").alias("n_t"))
     total = texts.agg(F.greatest(F.count_distinct("hash"), F.lit(2))).scalar()
-    share = 1 - F.log(F.greatest(F.col("n_t") / F.col("n_et"), F.lit(1.0))) / F.log(total / F.col("n_e"))
-    scored = pairs.join(counts, "word")
-    return scored.select("entity", "term", share.alias("share")).where(F.col("share") >= generalise)
+    few = F.col("n_et") < min_support
+    pairs = pairs.withColumn("of", total).where(F.col("of") > F.col("n_e"))  # what all texts have can't be told
+    pairs = pairs.withColumn("hits", F.col("n_et") + F.when(few, PRIOR * F.col("n_e") / F.col("of")).otherwise(0.0))
+
+    def share(n_t: Column) -> Column:
+        rest = (n_t + F.when(few, PRIOR).otherwise(0)) / F.col("hits")
+        return 1 - F.log(F.greatest(rest, F.lit(1.0))) / F.log(F.col("of") / F.col("n_e"))
+
+    # The share is greatest where the word stands nowhere else: pairs that fail even then need no count.
+    scored = pairs.where(share(F.col("n_et")) >= generalise).join(counts, "word")
+    return scored.select("entity", "term", share(F.col("n_t")).alias("share")).where(F.col("share") >= generalise)
 
 
 def find_personal_data(
@@ -135,8 +155,8 @@ def find_personal_data(
 
     ``base`` holds e-mail addresses, IP addresses (parts up to 255), card numbers (12 to 19 digits that pass the
     Luhn check) and phone numbers (9 to 15 digits); ``extra`` the occurrences of terms that disclose an
-    entity of the document, ``strong_terms`` those of them that disclose nearly all. Terms need
-    ``min_support`` different texts in which they stand beside the entity. Null texts are empty; null ids stay null;
+    entity of the document or its class, ``strong_terms`` those of them that disclose nearly all. Of terms that
+    stand beside the entity in fewer than ``min_support`` different texts the share is smoothed. Null texts are empty; null ids stay null;
     repeated rows are treated alike and copies of a text count once; other columns are ignored; an empty table gives no rows.
     """
     rows = docs.select(
@@ -146,11 +166,14 @@ def find_personal_data(
     # Texts without an entity are not needed any more.
     found = staged(rows.withColumn("text", F.when(F.size("base") > 0, F.col("text"))))
     terms = disclosing_terms(found, docs, text_col, min_support, generalise)
-    terms = terms.groupBy("entity").agg(F.collect_list(F.struct("term", "share")).alias("terms"))
-    told = found.where(F.size("base") > 0).select("key", "hash", F.explode(F.array_distinct(F.transform("base", _entity))).alias("entity")).distinct()
-    told = told.join(terms, "entity").groupBy("key", "hash").agg(F.flatten(F.collect_list("terms")).alias("terms"))
+    having = found.where(F.size("base") > 0)
+    told = having.select("key", "hash", F.explode(F.array_distinct(F.flatten(F.transform("base", _stands_for)))).alias("entity")).distinct()
+    # Words meet terms first: few entities have a term, while a class may have many terms that most of its texts lack.
+    told = having.select("key", "hash", F.explode(words_of(F.col("text"))).alias("term")).distinct().join(terms, "term").join(told, ["key", "hash", "entity"])
+    told = told.groupBy("key", "hash", "term").agg(F.max("share").alias("share"))
+    told = told.groupBy("key", "hash").agg(F.collect_list(F.struct("term", "share")).alias("terms"))
     out = found.join(told, ["key", "hash"], "left")
-    own = F.array_intersect(F.transform("terms", lambda t: t["term"]), words_of(F.col("text")))
+    own = F.transform("terms", lambda t: t["term"])
     pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), F.array_join(own, "|"), F.lit(r")(?![\p{L}\p{N}])"))
     extra = F.filter(matches(F.col("text"), pattern, "term"), lambda s: ~F.exists("base", lambda b: (s["start"] < b["end"]) & (b["start"] < s["end"])))
     out = out.withColumn("extra", F.when(F.size(own) > 0, extra).otherwise(F.array().cast(SPANS)))

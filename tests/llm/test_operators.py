@@ -122,6 +122,19 @@ def test_copies_of_a_text_do_not_hide_a_term(spark):
         assert "zorblax" in {s["found"].lower() for s in found[i]["extra"]} and "zorblax" in found[i]["strong_terms"]
 
 
+def test_terms_of_rare_entities_and_classes(spark):
+    """No address stands in more than two texts; their domain stands in four."""
+    rows = [(i, f"{prose(700 + i, 40)} agent Zorblax uses spy{i}@secret.example.org now and {prose(720 + i, 20)}") for i in range(4)]
+    rows += [(10 + i, f"{prose(740 + i, 40)} Quuxley asks jo@other.example.org there {prose(760 + i, 20)}") for i in range(2)]
+    rows += [(20, f"{prose(780, 40)} Onceler at once@third.example.org {prose(781, 20)}")]
+    rows += [(100 + i, prose(800 + i, 30) + " now and there") for i in range(3000)]
+    found = {r["doc_id"]: r for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    terms = {i: {s["found"].lower() for s in found[i]["extra"]} for i in found}
+    assert all("zorblax" in terms[i] and "zorblax" in found[i]["strong_terms"] and "now" not in terms[i] for i in range(4))
+    assert all("quuxley" in terms[i] and "quuxley" not in found[i]["strong_terms"] and "there" not in terms[i] for i in (10, 11))
+    assert not terms[20]  # one text proves too little among 3,000
+
+
 # 4, mixing
 
 
