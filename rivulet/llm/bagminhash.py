@@ -15,8 +15,9 @@ from rivulet.llm.textscan import mix
 
 BANDS, ROWS = 32, 5  # a pair of similarity 0.8 shares no band with a chance of 3e-6
 SLOTS = BANDS * ROWS
-# Weights are cut into levels: exact for small counts, then three to an octave.
-LEVELS = np.array([0, 1, 2, 3, 4] + [m << e for e in range(1, 20) for m in (3, 4)], np.float64)
+# Weights are cut into levels: exact for counts up to 512, then 256 to an octave, between which a hash of the shingle rounds without
+# bias. That moves a count by 1/256 at most: at 0.8 no band is shared with a chance of 6e-6 at most.
+LEVELS = np.array([*range(513)] + [m << e for e in range(1, 23) for m in range(257, 513)], np.float64)
 SIGNATURE = "doc_id long, doc_key long, text_hash long, n_bytes long, f1 long, f2 long, bands array<long>"
 
 
@@ -34,6 +35,8 @@ def signatures(n: int, doc: np.ndarray, keys: np.ndarray, counts: np.ndarray, sl
     points. Each point draws a slot, and a level stops once its next point is later than all slots' first.
     """
     top = np.minimum(np.searchsorted(LEVELS, counts, side="right") - 1, len(LEVELS) - 2)
+    draw = (mix(mix(keys ^ np.uint64(0xE7037ED1A0B428DB)) + top.astype(np.uint64)) >> np.uint64(11)).astype(np.float64) * 2.0**-53
+    top = np.minimum(top + (draw * (LEVELS[top + 1] - LEVELS[top]) < counts - LEVELS[top]), len(LEVELS) - 2)
     x = _gap(mix(keys)) / LEVELS[-1]
     leaves: list[tuple[np.ndarray, ...]] = []
     for level in range(len(LEVELS) - 1):

@@ -334,6 +334,16 @@ def test_components(spark):
     assert got == {**{i: 1 for i in range(1, 41)}, **{k: 100 for k in range(100, 120)}, 200: 150, 150: 150}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
+def test_signatures_keep_large_counts():
+    for a, b in ((95, 96), (510, 640), (5000, 5200), (1 << 20, 1300000)):
+        same = []
+        for salt in range(20):
+            keys = bagminhash.mix(np.array([7, 7], np.uint64) + np.uint64(salt * 1000))
+            s = bagminhash.signatures(2, np.array([0, 1]), keys, np.array([a, b]))
+            same.append((s[0] == s[1]).mean())
+        assert abs(np.mean(same) - a / b) < 0.03, (a, b)
+
+
 
 # 10, suffix arrays
 
