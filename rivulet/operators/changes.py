@@ -13,6 +13,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rivulet.operators.numbering import dense_numbers
 from rivulet.schemas import STATION
 
 CREATED, UPDATED = "created_at", "updated_at"
@@ -242,3 +243,14 @@ def append_rows(target: DataFrame, new: DataFrame, key: str = "id", groups: int
     rank = F.row_number().over(Window.partitionBy("_group").orderBy(*content, "_copy"))
     numbered = each.withColumn(key, top + (rank.cast("long") - 1) * F.lit(groups).cast("long") + F.col("_group") + 1)
     return target.unionByName(_aligned(target, numbered))
+
+
+def append_rows_dense(target: DataFrame, new: DataFrame, key: str = "id") -> DataFrame:
+    """Append rows with the ids that follow the greatest existing one, without gaps: max + 1 to max + n.
+
+    Numbers come from a distributed prefix sum (``dense_numbers``) in the order of a digest of the rows,
+    so no task sorts them all; the same rows always get the same ids. Nothing runs before the result is read.
+    """
+    top = target.agg(F.coalesce(F.max(key), F.lit(0)).cast("long")).scalar()
+    numbered = dense_numbers(new, [c for c in new.columns if c != key], "_number")
+    return target.unionByName(_aligned(target, numbered.withColumn(key, top + F.col("_number"))))

@@ -695,6 +695,14 @@ def _(t: Tables) -> DataFrame:
     return rows.join(bearers, "id").select("client_id", "type", "created_at", (F.col("id") > old).alias("nouveau"), "porteurs")
 
 
+@query("append_rows_dense")
+def _(t: Tables) -> DataFrame:
+    """Every event becomes a notice among the messages, many of them alike; ids follow the greatest old one without gaps."""
+    events = t.spark.read.parquet(f"{t.sf_dir}/events.parquet")
+    notices = events.select(F.col("event_type").alias("content"), (F.col("user_id") % 8).cast("string").alias("client_id"))
+    return changes.append_rows_dense(t.messages, notices)
+
+
 # --- access changes -----------------------------------------------------------------------
 
 

@@ -820,6 +820,12 @@ def all_oracles() -> dict[str, str]:
             "select client_id, type, created_at, false as nouveau, cast(1 as bigint) as porteurs from fils union all "
             "select client_id, 'support', timestamp '2024-01-31', true, 1 from manquants",
         ),
+        "append_rows_dense": sql(
+            inputs("messages"),
+            "select * from messages union all by name select (select max(id) from messages) + row_number() over "
+            "(order by md5(event_type || chr(31) || cast(user_id % 8 as varchar))) as id, event_type as content, "
+            "cast(user_id % 8 as varchar) as client_id from events",
+        ),
         # access
         "assign_access_users": sql(
             inputs("users"),

@@ -3,6 +3,7 @@ from datetime import date, datetime
 from pyspark.sql import functions as F
 
 from rivulet.operators import changes as ch
+from rivulet.operators.numbering import running_offsets
 from rivulet.schemas import MESSAGES, ORGANIZATION_USERS, ORGANIZATIONS, STATION_ACCESS, STATIONS, USERS
 from tests.conftest import rows_of
 
@@ -139,3 +140,26 @@ def test_append_runs_nothing_early_and_spreads_equal_rows(spark):
     assert set(tracker.getJobIdsForGroup()) == before
     ids = [r["id"] for r in out.collect() if r["w"] == "same"]
     assert len(set(ids)) == 300 and min(ids) > 5 and len({(i - 6) % 16 for i in ids}) == 16
+
+
+def test_dense_ids_have_no_gaps_and_need_no_sort_in_one_task(spark):
+    target = spark.createDataFrame([(41, "a"), (7, "b")], "id long, v string")
+    new = spark.range(5000).select(F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.col("id").cast("string")).alias("v"))
+    out = ch.append_rows_dense(target, new)
+    added = {r["id"]: r["v"] for r in out.collect() if r["id"] > 41}
+    assert sorted(added) == list(range(42, 5042)) and list(added.values()).count("hot") == 1667
+    assert list(added.values()).count(None) == 1666
+    again = ch.append_rows_dense(target, new.repartition(5, F.rand(3)))
+    assert {r["id"]: r["v"] for r in again.collect() if r["id"] > 41} == added
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "RangePartitioning" not in plan and "rangepartitioning" not in plan
+    assert [r["id"] for r in ch.append_rows_dense(target.limit(0), new.limit(1)).collect()] == [1]
+    assert ch.append_rows_dense(target, new.limit(0)).count() == 2
+
+
+def test_running_offsets_over_blocks_and_groups(spark):
+    rows = spark.range(1000).selectExpr("id % 3 as g", "id * 7 as p", "id as n")
+    out = running_offsets(rows, "p", "n", "before", ["g"], block=64).collect()
+    for r in out:
+        assert r["before"] == sum(i for i in range(r["n"]) if i % 3 == r["g"])
+    assert running_offsets(rows.limit(0), "p", "n").count() == 0
