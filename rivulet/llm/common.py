@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -33,8 +34,12 @@ def doc_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
 
 
 def stage_dir(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``; a local one only where that is unset, as in tests."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "rivulet-checkpoints")
+    """A new folder below ``spark.checkpoint.dir``; where that is unset, a local one, which only a local session may use."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = os.path.join(tempfile.gettempdir(), "rivulet-checkpoints")
     return f"{base.rstrip('/')}/stage-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
 
 
@@ -88,3 +93,14 @@ def table_slices(table: pa.Table, column: str, limit: int = 2 << 20) -> Iterator
 
 def packed(values: np.ndarray) -> bytes:
     return np.ascontiguousarray(values).tobytes()
+
+
+# DuckDB: a one-row table whose list ``steps`` has CRC-32's 256 steps, made by its rule.
+_STEP = "list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)"
+CRC32_STEPS = f"(SELECT list_transform(range(256), lambda i: {_STEP}) AS steps)"
+
+
+def crc32_sql(text: str) -> str:
+    """CRC-32 of a text's UTF-8 bytes as a DuckDB expression over a FROM that holds ``CRC32_STEPS``."""
+    values = f"list_transform(regexp_extract_all(hex({text}), '..'), lambda h: ('0x' || h)::BIGINT)"
+    return f"xor(list_reduce({values}, lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)"

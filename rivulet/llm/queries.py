@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rivulet.llm import bagminhash, chat, decontaminate, line_dedup, mixing, paragraph_dedup, pii, quality_crf, quality_rules, suffix_dedup
+from rivulet.llm import bagminhash, chat, decontaminate, line_dedup, mixing, paragraph_dedup, pii, quality_crf, quality_rules, sharding, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         paragraph_dedup.op8_substring_dedup,
         bagminhash.op9_minhash_near_dedup,
         suffix_dedup.op10_suffix_array_dedup,
+        sharding.op11_sharding,
     )
 }
 
@@ -30,4 +31,5 @@ ORACLES: dict[str, str] = {
     "op5_decontamination": decontaminate.OP5_SQL,
     "op6_chat_formatting": chat.OP6_SQL,
     "op10_suffix_array_dedup": suffix_dedup.OP10_SQL,
+    "op11_sharding": sharding.OP11_SQL,
 }
