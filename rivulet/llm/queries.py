@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rivulet.llm import bagminhash, chat, decontaminate, line_dedup, mixing, paragraph_dedup, pii, quality_crf, quality_rules, ranked_search, sharding, suffix_dedup
+from rivulet.llm import bagminhash, chat, decontaminate, line_dedup, mixing, paragraph_dedup, pii, prefix_trie, quality_crf, quality_rules, ranked_search, sharding, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
@@ -22,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         bagminhash.op9_minhash_near_dedup,
         suffix_dedup.op10_suffix_array_dedup,
         sharding.op11_sharding,
+        prefix_trie.op12_conversation_trie,
         ranked_search.op13_ranked_search,
     )
 }
@@ -33,5 +34,6 @@ ORACLES: dict[str, str] = {
     "op6_chat_formatting": chat.OP6_SQL,
     "op10_suffix_array_dedup": suffix_dedup.OP10_SQL,
     "op11_sharding": sharding.OP11_SQL,
+    "op12_conversation_trie": prefix_trie.OP12_SQL,
     "op13_ranked_search": ranked_search.OP13_SQL,
 }
