@@ -31,7 +31,7 @@ def _described(docs: DataFrame, id_col: str, text_col: str, source_col: str) ->
 
 def _copies(rows: DataFrame) -> DataFrame:
     """Rows that are alike are counted, then written out with a number each; a row with very many copies by several tasks."""
-    counted = rows.groupBy(*_SAME).agg(F.count("*").alias("n"))
+    counted = staged(rows.groupBy(*_SAME).agg(F.count("*").alias("n")))
 
     def numbers(first: Column, last: Column) -> Column:
         return F.explode(F.sequence(first, last)).alias("copy")
