@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 
 from rivulet.functions.timegrain import GRAINS, PARIS
 from rivulet.operators.counters import SLICE
-from rivulet.plans.jobs import refresh_latest_counters, run_rollup
+from rivulet.plans.jobs import refresh_latest_counters, refresh_states, refresh_stations, refresh_summaries, run_rollup
 from rivulet.schemas import STATION
 from rivulet.sources.readings import scan_readings
 
@@ -25,6 +25,9 @@ def parse(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--as-of", type=datetime.fromisoformat, help="reference time, naive = UTC (default: now)")
     parser.add_argument("--tz", default=PARIS)
     parser.add_argument("--slice-width", default=SLICE, help="slices a busy station is spread over, e.g. '1 minute'")
+    parser.add_argument(
+        "--arrivals", help="Parquet path of readings new since the last run: kept slices, day states and station list are used"
+    )
     parser.add_argument("--rebuild", action="store_true", help="drop all rows first")
     return parser.parse_args(argv)
 
@@ -38,7 +41,18 @@ def main(argv: Sequence[str] | None = None) -> str:
         return refresh_latest_counters(spark, readings, args.base, as_of, args.rebuild)
     stations = spark.read.parquet(args.stations).select(STATION).distinct() if args.stations else None
     named = spark.read.parquet(args.aggregated) if args.aggregated else None
-    return run_rollup(spark, args.job, readings, named, args.base, as_of, args.tz, args.rebuild, stations, args.slice_width)
+    if args.arrivals:
+        arrivals = scan_readings(spark, args.arrivals)
+        if args.job == "daily":
+            refresh_summaries(spark, readings, arrivals, args.base, args.slice_width)
+        else:
+            refresh_states(spark, readings, arrivals, args.base, args.tz)
+        if stations is None:
+            kept = refresh_stations(spark, readings, args.base)
+            stations = kept if named is None else kept.union(named.select(STATION)).distinct()
+    return run_rollup(
+        spark, args.job, readings, named, args.base, as_of, args.tz, args.rebuild, stations, args.slice_width, stored=bool(args.arrivals)
+    )
 
 
 if __name__ == "__main__":

@@ -6,14 +6,23 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-WHITE = " \t\n\r\x0b\f"
+# The characters that count as white space, no-break and other Unicode blanks included.
+WHITE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip(value: Column) -> Column:
-    """Without white space at both ends (blanks, tabs, line breaks)."""
+    """Without white space at both ends (blanks of any kind, tabs, line breaks)."""
     return F.trim(value, F.lit(WHITE))
 
 
+def folded(value: Column) -> Column:
+    """A key under which spellings that differ in case only are equal, also where upper case has more letters (``ß``)."""
+    return F.lower(F.concat(F.upper(value), F.lit("")))  # Spark would simplify lower(upper(x)) to lower(x)
+
+
 def norm_email(value: Column) -> Column:
     """Trimmed lower-case address; blank becomes null."""
     return F.nullif(F.lower(strip(value)), F.lit(""))

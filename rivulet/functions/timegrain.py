@@ -74,6 +74,11 @@ def _midnight_utc(day: date, tz: str) -> datetime:
     return utc_naive(datetime.combine(day, time.min, tzinfo=ZoneInfo(tz)))
 
 
+def day_bounds(day: date, tz: str) -> tuple[datetime, datetime]:
+    """UTC edges of a local day."""
+    return _midnight_utc(day, tz), _midnight_utc(day + timedelta(days=1), tz)
+
+
 def current_bucket(as_of: datetime, grain: str, tz: str = PARIS) -> date:
     return _current_bucket(as_of, GRAINS[grain].unit, tz)
 
@@ -93,6 +98,11 @@ def bounds(as_of: datetime, grain: str, tz: str = PARIS, lookback: int = 0) -> t
     return span[0].start, span[-1].end
 
 
+def day_after(span: list[Bucket], grain: str) -> date:
+    """The first day after the buckets of a run."""
+    return _shift(span[-1].day, GRAINS[grain].unit, 1)
+
+
 def retention_cutoff(as_of: datetime, grain: str, tz: str = PARIS) -> date:
     g = GRAINS[grain]
     return _shift(_current_bucket(as_of, g.unit, tz), g.unit, g.keep_from)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from rivulet.functions.numeric import floor_zero, from_micro, to_micro
@@ -14,6 +14,7 @@ from rivulet.sources.readings import reading_order
 # Divides every bucket in every time zone (offsets are multiples of a quarter of an hour).
 SLICE = "15 minutes"
 TRANCHE = "tranche"
+DAY = "jour"
 _QUARTER = 900
 _UNITS = {"second": 1, "seconds": 1, "minute": 60, "minutes": 60}
 
@@ -31,64 +32,110 @@ def slice_seconds(width: str) -> int:
     return seconds
 
 
-def counter_slices(
+def slice_summaries(
     readings: DataFrame,
     counters: Mapping[str, str],
     extra: Mapping[str, Column] | None = None,
     width: str = SLICE,
 ) -> DataFrame:
-    """Positive reading-to-reading steps, summed per station and short time slice.
+    """What has to be known of each station's short time slices, whatever comes before and after them.
 
-    One row per (station, slice) with, for every ``counters`` item source -> name, the sum of
-    ``max(reading - previous reading, 0)`` in millionths. The step into a slice is counted in
-    that slice. ``extra`` adds further aggregates of the same rows.
+    One row per (station, slice) with its number of readings ``n`` and, for every ``counters`` item source -> name, the
+    first and last counter (``name_open``, ``name_close``) and the sum of the positive steps between
+    (``name_steps``), in millionths; ``extra`` adds sum and count of further columns. Summaries of neighbouring slices
+    combine to that of both (``combine_slices``), so they can be stored and only new readings be read.
 
     The previous reading is looked up inside (station, slice), so a station holding a large
-    share of all readings is spread over as many groups as it has slices. The steps across
-    slice edges need only the first and last reading of each slice; that second window sees
-    one small row per slice (at most 96 a day by default). A shorter ``width`` spreads very dense
-    readings further and never changes a result.
+    share of all readings is spread over as many groups as it has slices. Readings that are bucketed by
+    station, or by station and day (``jour``), are not shuffled for it.
     """
     order = reading_order(readings)
-    sources = list(counters)
+    day = [DAY] if DAY in readings.columns else []
     rows = readings.withColumn(TRANCHE, F.window(F.col(TIME), f"{slice_seconds(width)} seconds")["start"])
     rows = rows.select(
         STATION,
+        *day,
         TRANCHE,
         *order,
-        *[to_micro(F.col(c)).alias(f"_c{i}") for i, c in enumerate(sources)],
-        *[e.alias(f"_x{i}") for i, e in enumerate((extra or {}).values())],
+        *[to_micro(F.col(c)).alias(f"_{n}") for c, n in counters.items()],
+        *[e.alias(f"_x_{n}") for n, e in (extra or {}).items()],
     )
-    within = Window.partitionBy(STATION, TRANCHE).orderBy(*order)
-    indices = range(len(sources))
+    keys = [STATION, *day, TRANCHE]
+    within = Window.partitionBy(*keys).orderBy(*order)
+    names = list(counters.values())
     rows = rows.select(
-        STATION,
-        TRANCHE,
+        *keys,
         F.lag(F.lit(1)).over(within).isNull().alias("_first"),
         F.lead(F.lit(1)).over(within).isNull().alias("_last"),
-        *[f"_c{i}" for i in indices],
-        *[floor_zero(F.col(f"_c{i}") - F.lag(f"_c{i}").over(within)).alias(f"_d{i}") for i in indices],
-        *[f"_x{i}" for i in range(len(extra or {}))],
+        *[f"_{n}" for n in names],
+        *[floor_zero(F.col(f"_{n}") - F.lag(f"_{n}").over(within)).alias(f"_d_{n}") for n in names],
+        *[f"_x_{n}" for n in extra or {}],
     )
+    aggs: list[Column] = [F.count("*").alias("n")]
+    for n in names:
+        aggs += [
+            F.max(F.when(F.col("_first"), F.col(f"_{n}"))).alias(f"{n}_open"),
+            F.max(F.when(F.col("_last"), F.col(f"_{n}"))).alias(f"{n}_close"),
+            F.sum(f"_d_{n}").alias(f"{n}_steps"),
+        ]
+    for n in extra or {}:
+        aggs += [F.sum(f"_x_{n}").alias(f"{n}_sum"), F.count(f"_x_{n}").alias(f"{n}_n")]
+    return rows.groupBy(*keys).agg(*aggs).drop(*day)
+
 
-    aggs: list[Column] = []
-    for i in indices:
+def combine_slices(summaries: DataFrame, names: Sequence[str], start: Column, extra: Sequence[str] = ()) -> DataFrame:
+    """Summaries of longer stretches from those of the slices in them; ``start`` gives the stretch of a slice.
+
+    First of the first, last of the last, the sums and the steps from one slice into the next: the same as summing up the
+    readings themselves, in whatever portions (the operation is associative).
+    """
+    rows = summaries.withColumn("_stretch", start)
+    inside = Window.partitionBy(STATION, "_stretch").orderBy(TRANCHE)
+    first, last = F.lag(F.lit(1)).over(inside).isNull(), F.lead(F.lit(1)).over(inside).isNull()
+    steps = [(F.col(f"{n}_steps") + _step_into(n, inside)).alias(f"{n}_steps") for n in names]
+    others = [c for n in names for c in (f"{n}_open", f"{n}_close")] + [c for x in extra for c in (f"{x}_sum", f"{x}_n")]
+    rows = rows.select(STATION, "_stretch", "n", first.alias("_first"), last.alias("_last"), *others, *steps)
+    aggs: list[Column] = [F.sum("n").alias("n")]
+    for n in names:
         aggs += [
-            F.sum(f"_d{i}").alias(f"_sum{i}"),
-            F.max(F.when(F.col("_first"), F.col(f"_c{i}"))).alias(f"_open{i}"),
-            F.max(F.when(F.col("_last"), F.col(f"_c{i}"))).alias(f"_close{i}"),
+            F.max(F.when(F.col("_first"), F.col(f"{n}_open"))).alias(f"{n}_open"),
+            F.max(F.when(F.col("_last"), F.col(f"{n}_close"))).alias(f"{n}_close"),
+            F.sum(f"{n}_steps").alias(f"{n}_steps"),
         ]
-    for i, name in enumerate(extra or {}):
-        aggs += [F.sum(f"_x{i}").alias(f"{name}_sum"), F.count(f"_x{i}").alias(f"{name}_n")]
-    slices = rows.groupBy(STATION, TRANCHE).agg(*aggs)
+    aggs += [F.sum(c).alias(c) for x in extra for c in (f"{x}_sum", f"{x}_n")]
+    return rows.groupBy(STATION, F.col("_stretch").alias(TRANCHE)).agg(*aggs)
+
+
+def _step_into(name: str, order: WindowSpec) -> Column:
+    return floor_zero(F.col(f"{name}_open") - F.lag(f"{name}_close").over(order))
+
+
+def summed_steps(summaries: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Per (station, slice) the positive steps in it, the one into it included; further columns stay.
 
+    The window over a station sees one small row per slice (at most 96 a day by default).
+    """
     across = Window.partitionBy(STATION).orderBy(TRANCHE)
-    steps = [
-        (F.col(f"_sum{i}") + floor_zero(F.col(f"_open{i}") - F.lag(f"_close{i}").over(across))).alias(counters[c])
-        for i, c in enumerate(sources)
-    ]
-    carried = [c for name in (extra or {}) for c in (f"{name}_sum", f"{name}_n")]
-    return slices.select(STATION, TRANCHE, *steps, *carried)
+    used = {f"{n}_{part}" for n in names for part in ("open", "close", "steps")} | {"n"}
+    carried = [c for c in summaries.columns if c not in used and c not in (STATION, TRANCHE)]
+    steps = [(F.col(f"{n}_steps") + _step_into(n, across)).alias(n) for n in names]
+    return summaries.select(STATION, TRANCHE, *steps, *carried)
+
+
+def counter_slices(
+    readings: DataFrame,
+    counters: Mapping[str, str],
+    extra: Mapping[str, Column] | None = None,
+    width: str = SLICE,
+) -> DataFrame:
+    """Positive reading-to-reading steps, summed per station and short time slice.
+
+    One row per (station, slice) with, for every ``counters`` item source -> name, the sum of
+    ``max(reading - previous reading, 0)`` in millionths. The step into a slice is counted in
+    that slice. ``extra`` adds further aggregates of the same rows. A shorter ``width`` spreads very dense
+    readings further and never changes a result.
+    """
+    return summed_steps(slice_summaries(readings, counters, extra, width), list(counters.values()))
 
 
 def counter_max_steps(buckets: DataFrame, bucket: str, maxima: Mapping[str, str]) -> list[Column]:

@@ -10,6 +10,7 @@ from rivulet.schemas import STATION
 
 ADMIN_ROLES = ("admin", "super_admin")
 EVERYTHING = "*"
+_COPIES = 16  # of the total that administrators join
 
 
 def user_roles(memberships: DataFrame, roles: DataFrame) -> DataFrame:
@@ -47,24 +48,58 @@ def station_scope(
 def visible_stations(stations: DataFrame, scope: DataFrame, user_id: int) -> DataFrame:
     """Stations a user may see; none without a matching rule.
 
-    An administrator's rule is one value that decides for all stations at once; the others join by client.
+    An administrator's rule is one value that decides for all stations at once; the others join by client. Stations
+    are read once.
     """
-    mine = scope.where(F.col("user_id") == F.lit(user_id)).select(F.col("client_key").alias("_rule"))
+    mine = scope.where(F.col("user_id") == F.lit(user_id)).select(F.col("client_key").alias("_rule")).distinct()
     sees_all = mine.agg(F.coalesce(F.max(F.col("_rule") == F.lit(EVERYTHING)), F.lit(False))).scalar()
-    rows = stations.withColumn("_all", sees_all)
-    named = rows.where(~F.col("_all") & F.col("client").isNotNull())
-    named = named.join(mine, station_key() == F.col("_rule"), "left_semi")
-    seen = with_emails(rows.where("_all").unionByName(named))
+    rows = stations.join(mine, station_key() == F.col("_rule"), "left").where(sees_all | F.col("_rule").isNotNull())
+    seen = with_emails(rows)
     return seen.select(STATION, "client", "lieu", "email", "email2", "email3", "emails")
 
 
 def visible_station_counts(stations: DataFrame, scope: DataFrame) -> DataFrame:
-    """Number of visible stations per user with a rule, without listing user-station pairs."""
-    sizes = stations.groupBy(station_key().alias("client_key")).agg(F.count("*").alias("n"))
-    counted = scope.join(sizes, "client_key", "left").groupBy("user_id")
-    counted = counted.agg(F.max(F.col("client_key") == F.lit(EVERYTHING)).alias("sees_all"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
-    everything = stations.agg(F.count("*")).scalar()
-    return counted.select("user_id", "sees_all", F.when(F.col("sees_all"), everything).otherwise(F.col("n")).alias("nb_stations"))
+    """Number of visible stations per user with a rule, without listing user-station pairs.
+
+    One aggregation counts the stations of each client and of all; administrators share one rule, which is dealt over
+    several copies of the total so that they don't meet in one task.
+    """
+    sizes = stations.select(station_key().alias("client_key")).groupingSets([["client_key"], []], "client_key")
+    sizes = sizes.agg(F.count("*").alias("n"), F.grouping_id().alias("_all"))
+    is_total = F.col("_all") == 1
+    copies = F.when(is_total, F.sequence(F.lit(0), F.lit(_COPIES - 1))).otherwise(F.array(F.lit(0)))
+    sizes = sizes.select(F.when(is_total, F.lit(EVERYTHING)).otherwise(F.col("client_key")).alias("client_key"), "n", F.explode(copies).alias("_copy"))
+    everyone = F.col("client_key") == F.lit(EVERYTHING)
+    copy = F.when(everyone, F.pmod(F.xxhash64("user_id"), F.lit(_COPIES)).cast("int")).otherwise(F.lit(0))
+    counted = scope.withColumn("_copy", copy).join(sizes, ["client_key", "_copy"], "left").groupBy("user_id")
+    total = F.max(F.when(everyone, F.col("n")))
+    counted = counted.agg(F.max(everyone).alias("sees_all"), F.coalesce(total, F.sum("n"), F.lit(0)).alias("nb_stations"))
+    return counted.select("user_id", "sees_all", "nb_stations")
+
+
+def interned_scopes(scope: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Equal sets of rules once: (user_id, set_id) and (set_id, client_key); a set bears its smallest user's id.
+
+    Sets are compared by their size and two sums of hashes over their rules, so nothing is collected. All administrators
+    share one set. Together with ``stations_of_sets`` it is the complete answer to who sees what, without a row per user and
+    station.
+    """
+    rules = scope.select("user_id", "client_key").distinct()
+    salted = F.xxhash64(F.lit("rule"), "client_key").cast("decimal(38,0)")
+    sums = [F.count("*").alias("_n"), F.sum(F.xxhash64("client_key").cast("decimal(38,0)")).alias("_a"), F.sum(salted).alias("_b")]
+    users = rules.groupBy("user_id").agg(*sums)
+    sets = users.groupBy("_n", "_a", "_b").agg(F.min("user_id").alias("set_id"))
+    members = users.join(sets, ["_n", "_a", "_b"]).select("user_id", "set_id")
+    rules_of = rules.join(sets.select(F.col("set_id").alias("user_id")), "user_id", "left_semi")
+    return members, rules_of.select(F.col("user_id").alias("set_id"), "client_key")
+
+
+def stations_of_sets(stations: DataFrame, sets: DataFrame) -> DataFrame:
+    """(set_id, station) for every set of rules; the set of administrators has all stations."""
+    admins = sets.where(F.col("client_key") == F.lit(EVERYTHING)).agg(F.min("set_id")).scalar()
+    everything = stations.select(admins.alias("set_id"), STATION).where("set_id is not null")
+    clients = stations.where(F.col("client").isNotNull()).select(station_key().alias("client_key"), STATION)
+    return sets.join(clients, "client_key").select("set_id", STATION).unionByName(everything)
 
 
 def user_directory(

@@ -146,8 +146,7 @@ def hourly_pressure_medians(
     """Median of each pressure per hour.
 
     An hour of one station is a small group, so Spark's own exact median is used: every input
-    split ships value counts, bounded by the sensor's integer range. The long rollup buckets go
-    through ``operators.medians`` instead.
+    split ships value counts, bounded by the sensor's integer range.
     """
     medians = [F.median(c).alias(f"p{i}_med_mbar") for i, c in enumerate(PRESSURES, 1)]
     return _per_hour(recent(readings, as_of, hours, stations), tz, *medians)

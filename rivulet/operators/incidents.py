@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.functions.text import iso_timestamp, strip
+from rivulet.functions.text import folded, iso_timestamp, strip
 from rivulet.operators.changes import append_rows, full_update
 from rivulet.operators.stations import site_stations
 from rivulet.schemas import STATION
@@ -45,13 +45,14 @@ _REQUIRED = ("client", "lieu", STATION, "panne", "probleme")
 def incident_types(incidents: DataFrame, defaults: tuple[str, ...] = INCIDENT_TYPES) -> DataFrame:
     """Built-in and recorded incident types, one spelling per case-insensitive name, sorted.
 
-    The built-in spelling wins, then the first recorded one in binary order.
+    The built-in spelling wins, then the first recorded one in binary order. Case is folded fully: ``Straße`` and
+    ``STRASSE`` are one name; rows are sorted by the folded name.
     """
     builtin = F.array(*[F.lit(t) for t in defaults])
     recorded = incidents.select(strip(F.col("panne")).alias("type")).where(F.col("type") != F.lit("")).distinct()
-    found = recorded.groupBy(F.lower("type").alias("cle")).agg(F.min("type").alias("saisi"))
+    found = recorded.groupBy(folded(F.col("type")).alias("cle")).agg(F.min("type").alias("saisi"))
     known = incidents.sparkSession.range(1).select(F.explode(builtin).alias("officiel"))
-    known = known.withColumn("cle", F.lower("officiel"))
+    known = known.withColumn("cle", folded(F.col("officiel")))
     merged = found.join(known, "cle", "full_outer")
     return merged.select("cle", F.coalesce("officiel", "saisi").alias("type")).orderBy("cle").select("type")
 

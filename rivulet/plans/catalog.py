@@ -17,10 +17,20 @@ from rivulet.functions.text import emails_csv, normalize_emails
 from rivulet.functions.timegrain import GRAINS, buckets, grid, retention_cutoff
 from rivulet.operators import access, changes, counters, entitlements, fill, fleet, hourly, incidents, latest, messages, rollup
 from rivulet.operators import series, stations
+from rivulet.functions.timegrain import PARIS, local_time
+from rivulet.plans import jobs
 from rivulet.plans.inputs import AS_OF, AS_OF_LONG, load_input
-from rivulet.schemas import ENERGY_COUNTER, PERCENT_COUNTERS, STATION, VOLUMES, WATER_COUNTERS
-from rivulet.sources.readings import scan_readings, station_universe
-from rivulet.sources.sinks import csv_columns, json_rows
+from rivulet.schemas import COUNTER_CACHE, ENERGY_COUNTER, INCIDENTS, PERCENT_COUNTERS, SEQ, STATION, TIME, VOLUMES, WATER_COUNTERS
+from rivulet.sources.readings import (
+    scan_pressure_avg,
+    scan_readings,
+    station_universe,
+    with_day,
+    write_bucketed,
+    write_by_station,
+)
+from rivulet.sources.sinks import csv_columns, json_rows, write_csv_file
+from rivulet.sources.tables import change_keyed, read_keyed, read_rollup, read_table, scratch_path, table_path, write_keyed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,6 +51,10 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return load_input(self.spark, self.sf_dir, name)
 
+    def folder(self) -> str:
+        """A new folder for tables that a query keeps and reads again."""
+        return scratch_path(self.spark)
+
     def rollup(self, grain: str, as_of: datetime | None = None) -> DataFrame:
         if grain == "daily":
             return rollup.rollup_daily(self.mesures, self.mesures_aggregate, as_of or AS_OF)
@@ -825,3 +839,266 @@ def _(t: Tables) -> DataFrame:
 @query("lookup_station_one")
 def _(t: Tables) -> DataFrame:
     return stations.lookup_station(t.automate, "ST3").withColumn("emails", F.array_join("emails", ","))
+
+
+# --- stored tables ------------------------------------------------------------------------
+
+
+def _utc(df: DataFrame, *columns: str) -> DataFrame:
+    """Stored instants as UTC wall clock, whatever the session zone."""
+    return df.withColumns({c: local_time(df, c) for c in columns})
+
+
+@query("hour_of_day_mean_stored")
+def _(t: Tables) -> DataFrame:
+    """The averaged-pressure table read from Parquet, restricted by time in the scan."""
+    path = table_path(t.folder(), "moyenne")
+    t.moyenne.write.parquet(path)
+    return hourly.hour_of_day_mean(scan_pressure_avg(t.spark, path, AS_OF - timedelta(hours=24)), AS_OF)
+
+
+@query("run_rollup_daily")
+def _(t: Tables) -> DataFrame:
+    """The daily job run twice, two days apart: tables created, buckets merged, old ones purged."""
+    base = t.folder()
+    for moment in (EARLIER, AS_OF):
+        jobs.run_rollup(t.spark, "daily", t.mesures, t.mesures_aggregate, base, moment)
+    return _utc(read_rollup(t.spark, base, "daily"), "created_at", "updated_at")
+
+
+@query("run_rollup_weekly")
+def _(t: Tables) -> DataFrame:
+    base = t.folder()
+    jobs.run_rollup(t.spark, "weekly", t.mesures, t.mesures_aggregate, base, AS_OF)
+    return _utc(read_rollup(t.spark, base, "weekly"), "created_at", "updated_at")
+
+
+@query("run_rollup_monthly")
+def _(t: Tables) -> DataFrame:
+    """The monthly job run twice, two months apart: the second run replaces its window, older months stay."""
+    base = t.folder()
+    for moment in (EARLIER_LONG, AS_OF_LONG):
+        jobs.run_rollup(t.spark, "monthly", t.mesures_longues, None, base, moment)
+    return _utc(read_rollup(t.spark, base, "monthly"), "created_at", "updated_at")
+
+
+@query("read_dimension")
+def _(t: Tables) -> DataFrame:
+    base = t.folder()
+    t.automate.write.parquet(table_path(base, "automate"))
+    return read_table(t.spark, base, "automate")
+
+
+@query("run_latest_counters")
+def _(t: Tables) -> DataFrame:
+    """The cache job over the long history, then over the recent readings: only folders of their stations are rewritten."""
+    base = t.folder()
+    jobs.refresh_latest_counters(t.spark, t.mesures_longues, base, EARLIER_LONG)
+    path = jobs.refresh_latest_counters(t.spark, t.mesures, base, AS_OF)
+    return _utc(read_keyed(t.spark, path, COUNTER_CACHE), "updated_at")
+
+
+def _late(readings: DataFrame) -> DataFrame:
+    """Readings that reach the table after the others of their time: single ones, and the last day whole."""
+    return readings.where((F.col(SEQ) % 97 == 0) | (F.col(TIME) >= F.expr("TIMESTAMP_NTZ '2024-01-30 00:00:00'")))
+
+
+@query("rollup_daily_from_slices")
+def _(t: Tables) -> DataFrame:
+    """Stored slices of the days before, brought up to date with a new day and late readings; no older reading is read again."""
+    base = t.folder()
+    early = t.mesures.join(_late(t.mesures).select(SEQ), SEQ, "left_anti")
+    jobs.refresh_summaries(t.spark, early, early, base)
+    jobs.refresh_summaries(t.spark, t.mesures, _late(t.mesures), base)
+    universe = station_universe(t.mesures_aggregate, t.mesures)
+    return rollup.daily_of_summaries(jobs.read_summaries(t.spark, base), universe, AS_OF)
+
+
+@query("rollup_weekly_from_states")
+def _(t: Tables) -> DataFrame:
+    base = t.folder()
+    early = t.mesures.join(_late(t.mesures).select(SEQ), SEQ, "left_anti")
+    jobs.refresh_states(t.spark, early, early, base)
+    jobs.refresh_states(t.spark, t.mesures, _late(t.mesures), base)
+    universe = station_universe(t.mesures_aggregate, t.mesures)
+    return rollup.rollup_of_states(jobs.read_states(t.spark, base), "weekly", AS_OF, PARIS, universe)
+
+
+@query("rollup_monthly_from_states")
+def _(t: Tables) -> DataFrame:
+    base = t.folder()
+    jobs.refresh_states(t.spark, t.mesures_longues, t.mesures_longues, base)
+    return rollup.rollup_of_states(jobs.read_states(t.spark, base), "monthly", AS_OF_LONG)
+
+
+@query("known_stations")
+def _(t: Tables) -> DataFrame:
+    """The kept station list after a run over the first half of the month and one that reads on from there."""
+    base = t.folder()
+    first = t.mesures.where(F.col(TIME) < F.expr("TIMESTAMP_NTZ '2024-01-16 00:00:00'"))
+    jobs.refresh_stations(t.spark, first.where(F.col(STATION) != "ST1"), base)
+    return jobs.refresh_stations(t.spark, t.mesures, base)
+
+
+@query("full_update_keyed")
+def _(t: Tables) -> DataFrame:
+    """A table laid out by a hash of its key, of which a change of few keys rewrites only their folders."""
+    path = table_path(t.folder(), "pannes")
+    write_keyed(t.pannes, path, ["id"], 32)
+    edits = t.pannes.where(F.col("id") % 500 == 0).select("id", F.lit("Fuite cuve").alias("panne"), F.lit(None).cast("timestamp_ntz").alias("date_fin"))
+    schema = t.pannes.schema
+    change_keyed(t.spark, path, schema, edits, lambda target, new: changes.full_update(target, new, ["id"]))
+    return read_keyed(t.spark, path, schema)
+
+
+@query("replace_set_keyed")
+def _(t: Tables) -> DataFrame:
+    """The grants of a few users replaced in a table laid out by user."""
+    path = table_path(t.folder(), "automate_access")
+    write_keyed(t.automate_access, path, ["user_id"], 32)
+    wanted = t.users.where(F.col("id") % 50 == 0).select(F.col("id").alias("user_id"), F.lit("ST1").alias("automate_nom"))
+
+    def change(target: DataFrame, new: DataFrame) -> DataFrame:
+        return changes.replace_set(target, new, new, "user_id", "automate_nom")
+
+    change_keyed(t.spark, path, t.automate_access.schema, wanted, change)
+    return read_keyed(t.spark, path, t.automate_access.schema)
+
+
+@query("scan_day_partitions")
+def _(t: Tables) -> DataFrame:
+    """Readings in folders by day; only the folders of the last week are opened."""
+    path = table_path(t.folder(), "mesures")
+    with_day(t.mesures).write.partitionBy("jour").parquet(path)
+    columns = (STATION, TIME, SEQ, ENERGY_COUNTER)
+    return scan_readings(t.spark, path, AS_OF - timedelta(days=7), AS_OF, None, columns, date_partition="jour")
+
+
+@query("scan_readings_of_client")
+def _(t: Tables) -> DataFrame:
+    """Readings in folders by groups of stations; those of a client's stations are found while the query runs."""
+    path = table_path(t.folder(), "mesures")
+    write_by_station(t.mesures_longues, path, 16)
+    wanted = t.automate.where("client = 'ASIA'").select(STATION)
+    return scan_readings(t.spark, path, None, None, wanted, (STATION, TIME, SEQ, ENERGY_COUNTER), station_groups=16)
+
+
+def _bucketed(t: Tables, by: tuple[str, ...]) -> DataFrame:
+    path = t.folder()
+    return write_bucketed(with_day(t.mesures), f"mesures_{path[-12:]}", path, 16, by)
+
+
+@query("hourly_energy_bucketed")
+def _(t: Tables) -> DataFrame:
+    """The hourly operator on readings in buckets by station: no shuffle of readings."""
+    return hourly.hourly_energy(_bucketed(t, (STATION,)), AS_OF)
+
+
+@query("rollup_daily_bucketed")
+def _(t: Tables) -> DataFrame:
+    """The daily rollup on readings in buckets by station and day, which spreads a busy station."""
+    universe = station_universe(t.mesures_aggregate, t.mesures)
+    return rollup.rollup_daily(_bucketed(t, (STATION, "jour")), None, AS_OF, stations=universe)
+
+
+@query("export_file")
+def _(t: Tables) -> DataFrame:
+    """The export as one ordered CSV file, read back line by line."""
+    path = f"{t.folder()}/export.csv"
+    exported = fleet.export_rollup(t.rollup("daily"), "daily", ["vol_renvoi_m3", "p1_mbar", "ph_moyen"], t.mesures.select(STATION).distinct())
+    write_csv_file(exported, path, ["date", STATION], parts=4)
+    return t.spark.read.option("lineSep", "\r\n").text(path)
+
+
+# --- visibility of all users, logs, single keys --------------------------------------------
+
+
+@query("interned_users")
+def _(t: Tables) -> DataFrame:
+    return entitlements.interned_scopes(_scope(t))[0]
+
+
+@query("interned_set_stations")
+def _(t: Tables) -> DataFrame:
+    return entitlements.stations_of_sets(t.automate, entitlements.interned_scopes(_scope(t))[1])
+
+
+def _reports(t: Tables) -> DataFrame:
+    """A report of every registered station, some of them with a mistake."""
+    number, day = F.col("numero_automate"), F.expr(BEFORE)
+    return t.automate.select(
+        number.cast("long").alias("id"),
+        F.when(number % 10 == 0, F.lit("inconnu")).otherwise(F.col("client")).alias("client"),
+        "lieu",
+        STATION,
+        F.when(number % 10 == 2, F.lit("")).otherwise(F.lit("Fuite cuve")).alias("panne"),
+        F.concat(F.lit("signalé "), number.cast("string")).alias("probleme"),
+        day.alias("date_debut"),
+        F.when(number % 10 == 3, day - F.expr("INTERVAL 1 DAY")).alias("date_fin"),
+    )
+
+
+@query("record_incidents")
+def _(t: Tables) -> DataFrame:
+    """The log with accepted reports appended; new rows by their place above the old ids instead of their generated id."""
+    log, _ = incidents.record_incidents(t.pannes, _reports(t).drop("id"), t.automate, "chef@site.example")
+    top = t.pannes.agg(F.max("id")).scalar()
+    return log.withColumn("nouveau", F.col("id") > top).withColumn("id", F.when(~F.col("nouveau"), F.col("id")))
+
+
+@query("amend_incidents")
+def _(t: Tables) -> DataFrame:
+    """Incidents whose id is a station number get that station's report."""
+    return incidents.amend_incidents(t.pannes, _reports(t), t.automate)[0].select(*INCIDENTS.names)
+
+
+@query("post_messages")
+def _(t: Tables) -> DataFrame:
+    new = t.users.select(F.col("client_id"), F.col("id").cast("int").alias("sender_id"), F.col("email").alias("content"))
+    rows = messages.post_messages(t.messages, new, F.expr(NOW))
+    top = t.messages.agg(F.max("id")).scalar()
+    return rows.withColumn("id", F.when(F.col("id") <= top, F.col("id")))
+
+
+@query("ensure_conversations")
+def _(t: Tables) -> DataFrame:
+    clients = t.automate.select("client").distinct().select(F.col("client").alias("client_id"))
+    rows = messages.ensure_conversations(t.fils, clients, F.expr(NOW))
+    top = t.fils.agg(F.max("id")).scalar()
+    return rows.withColumn("id", F.when(F.col("id") <= top, F.col("id")))
+
+
+def _founded(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Every station's client becomes an organization run by some user."""
+    clients = t.automate.where("client is not null").groupBy(F.col("client").alias("name")).agg(F.min("numero_automate").alias("n"))
+    users = t.users.select(F.col("id").cast("int").alias("n"), F.col("email").alias("admin_email"))
+    requests = clients.join(users, "n").select("name", "admin_email")
+    return access.create_organizations(t.organizations, t.organization_users, t.users, t.automate, requests)
+
+
+@query("create_organizations_users")
+def _(t: Tables) -> DataFrame:
+    return _founded(t)[2]
+
+
+@query("create_organizations_stations")
+def _(t: Tables) -> DataFrame:
+    """Which organization, by name, each station belongs to afterwards."""
+    orgs, _, _, linked = _founded(t)
+    names = orgs.select(F.col("id").alias("organization_id"), F.col("name").alias("organisation"))
+    return linked.join(names, "organization_id", "left").select(STATION, "client", "organisation")
+
+
+@query("org_members_of_one")
+def _(t: Tables) -> DataFrame:
+    return entitlements.org_members(t.users, t.organization_users, 3)
+
+
+@query("message_thread_of_one")
+def _(t: Tables) -> DataFrame:
+    return messages.message_thread(t.messages, "conversation_id", 2)
+
+
+@query("distinct_sites_of_one")
+def _(t: Tables) -> DataFrame:
+    return stations.distinct_sites(t.automate, "ASIA")

@@ -374,6 +374,36 @@ def _upserted() -> list[Cte]:
     return [*old, *new, ("fusion", text)]
 
 
+def _interned() -> list[Cte]:
+    """Rules of every user, and each user's rules as one text."""
+    admin = "select user_id from user_roles join roles on id = role_id where lower(name) in ('admin', 'super_admin')"
+    scope = (
+        f"select distinct user_id, '*' as client_key from ({admin}) a union select user_id, lower(name) from organization_users join "
+        f"organizations on id = organization_id where user_id not in ({admin})"
+    )
+    together = "select user_id, string_agg(client_key, '|' order by client_key) as regles from portee group by 1"
+    return [*inputs("user_roles", "roles", "organization_users", "organizations"), ("portee", scope), ("ensembles", together)]
+
+
+def _reports() -> list[Cte]:
+    """Reports that pass the checks."""
+    text = (
+        "select cast(numero_automate as bigint) as id, a.client, a.lieu, nom_automate, 'Fuite cuve' as panne, 'signalé ' || "
+        f"cast(numero_automate as varchar) as probleme, {ts(EARLIER)} as date_debut, cast(null as timestamp) as date_fin "
+        "from automate a join (select client, lieu, min(nom_automate) as s from automate group by 1, 2) x on x.client = a.client "
+        "and x.lieu = a.lieu where numero_automate % 10 not in (0, 2, 3) and s = nom_automate"
+    )
+    return [*inputs("pannes", "automate"), ("rapports", text)]
+
+
+def _founders() -> list[Cte]:
+    text = (
+        "select id as user_id, client as name from (select client, min(numero_automate) as n from automate where client is not null "
+        "group by 1) c join users on id = n"
+    )
+    return [*inputs("automate", "users", "organization_users"), ("fondees", text)]
+
+
 def _types() -> str:
     values = ", ".join("('" + t.replace("'", "''") + "')" for t in INCIDENT_TYPES)
     ctes = inputs("pannes")
@@ -950,4 +980,99 @@ def all_oracles() -> dict[str, str]:
             "(select nom_automate from propres)) union all select 'ST1', user_id from valides",
         ),
     }
+    out |= {
+        # stored tables
+        "hour_of_day_mean_stored": out["hour_of_day_mean"],
+        "run_rollup_daily": sql(_upserted(), "select * from fusion where jour >= date '2024-01-24'"),
+        "run_rollup_weekly": sql(rollup("weekly"), f"select *, {ts(AS_OF)} as created_at, {ts(AS_OF)} as updated_at from weekly"),
+        "run_rollup_monthly": sql(
+            [*rollup("monthly", EARLIER_LONG, "ancien"), *rollup("monthly", AS_OF_LONG, "nouveau")],
+            f"select *, {ts(AS_OF_LONG)} as created_at, {ts(AS_OF_LONG)} as updated_at from nouveau union all by name "
+            f"select *, {ts(EARLIER_LONG)} as created_at, {ts(EARLIER_LONG)} as updated_at from ancien where mois_debut < date '2001-03-01'",
+        ),
+        "read_dimension": sql(inputs("automate"), "select * from automate"),
+        "run_latest_counters": out["refresh_latest_counters"],
+        "rollup_daily_from_slices": out["rollup_daily"],
+        "rollup_weekly_from_states": out["rollup_weekly"],
+        "rollup_monthly_from_states": out["rollup_monthly"],
+        "known_stations": sql(inputs("mesures"), "select distinct nom_automate from mesures"),
+        "full_update_keyed": sql(
+            inputs("pannes"),
+            "select * replace (case when id % 500 = 0 then 'Fuite cuve' else panne end as panne, "
+            "case when id % 500 = 0 then null else date_fin end as date_fin) from pannes",
+        ),
+        "replace_set_keyed": sql(
+            inputs("automate_access", "users"),
+            "select * from automate_access where user_id not in (select id from users where id % 50 = 0) "
+            "union all select 'ST1', id from users where id % 50 = 0",
+        ),
+        "scan_day_partitions": sql(
+            inputs("mesures"),
+            f"select nom_automate, horodatage, seq, compteur_electrique_kwh from mesures where {day_window(24 * 7)}",
+        ),
+        "scan_readings_of_client": sql(
+            inputs("mesures_longues", "automate"),
+            "select nom_automate, horodatage, seq, compteur_electrique_kwh from mesures_longues where nom_automate in "
+            "(select nom_automate from automate where client = 'ASIA')",
+        ),
+        "hourly_energy_bucketed": out["hourly_energy"],
+        "rollup_daily_bucketed": out["rollup_daily"],
+        "export_file": sql(
+            [*rollup("daily"), ("choix", "select distinct nom_automate from mesures")],
+            "select 'date;nom_automate;vol_renvoi_m3;p1_mbar;ph_moyen' as value union all select concat_ws(';', jour, nom_automate, "
+            "vol_renvoi_m3, coalesce(cast(p1_mbar as varchar), ''), coalesce(cast(ph_moyen as varchar), '')) "
+            "from daily where nom_automate in (select nom_automate from choix)",
+        ),
+        # visibility of all users, logs, single keys
+        "interned_users": sql(
+            _interned(), "select user_id, min(user_id) over (partition by regles) as set_id from ensembles"
+        ),
+        "interned_set_stations": sql(
+            [*_interned(), *inputs("automate")],
+            "select distinct set_id, nom_automate from (select min(user_id) over (partition by regles) as set_id, user_id from ensembles) e "
+            "join portee using (user_id) join automate on client_key = '*' or lower(client) = client_key where e.user_id = set_id",
+        ),
+        "record_incidents": sql(
+            _reports(),
+            "select *, false as nouveau from pannes union all by name select null as id, * exclude (id), 'chef@site.example' as created_by, "
+            "true as nouveau from rapports",
+        ),
+        "amend_incidents": sql(
+            _reports(),
+            "select p.id, coalesce(r.client, p.client) as client, coalesce(r.lieu, p.lieu) as lieu, coalesce(r.nom_automate, p.nom_automate) "
+            "as nom_automate, coalesce(r.panne, p.panne) as panne, coalesce(r.probleme, p.probleme) as probleme, "
+            "coalesce(r.date_debut, p.date_debut) as date_debut, case when r.id is null then p.date_fin else r.date_fin end as date_fin, "
+            "p.created_by from pannes p left join rapports r on r.id = p.id",
+        ),
+        "post_messages": sql(
+            inputs("messages", "users"),
+            "select * from messages union all by name select null as id, client_id, cast(id as int) as sender_id, email as content, "
+            f"false as is_read, {ts(AS_OF)} as created_at from users",
+        ),
+        "ensure_conversations": sql(
+            inputs("automate", "fils"),
+            "select * from fils union all select null, client, 'support', "
+            f"{ts(AS_OF)} from (select distinct client from automate where client is not null) c where not exists "
+            "(select 1 from fils f where f.client_id = client and f.type = 'support')",
+        ),
+        "create_organizations_users": sql(
+            _founders(), "select * replace (coalesce((select max(name) from fondees f where f.user_id = id), client_id) as client_id) from users"
+        ),
+        "create_organizations_stations": sql(
+            [*_founders(), *inputs("organizations")],
+            "select nom_automate, client, coalesce((select name from organizations o where o.id = organization_id), (select min(name) "
+            "from fondees where lower(name) = lower(client))) as organisation from automate",
+        ),
+        "org_members_of_one": sql(
+            inputs("users", "organization_users"),
+            "select organization_id, id, email, org_role from organization_users join users on id = user_id where organization_id = 3",
+        ),
+        "message_thread_of_one": sql(
+            inputs("messages"),
+            "select * replace (strftime(created_at, '%Y-%m-%dT%H:%M:%S') as created_at) from messages where conversation_id = 2",
+        ),
+        "distinct_sites_of_one": sql(
+            inputs("automate"), "select distinct client, lieu from automate where client = 'ASIA' and lieu is not null"
+        ),
+    }
     return out

@@ -106,5 +106,9 @@ def test_command_line_runs_every_job(spark, inputs, tmp_path):
         assert spark.read.parquet(path).count() == rows
     monthly = main(["monthly", *common, "--rebuild"])
     assert spark.read.parquet(monthly).count() == 8
+    whole = {job: values(spark.read.parquet(main([job, *common, "--rebuild"]))) for job in ("daily", "weekly", "monthly")}
+    for job, want in whole.items():
+        path = main([job, *common, "--rebuild", "--arrivals", readings])
+        assert values(spark.read.parquet(path)) == want
     with pytest.raises(SystemExit):
         main(["yearly", *common])

@@ -118,8 +118,8 @@ def test_scans_are_pruned_and_nothing_is_crossed(spark, tmp_path):
     names = stored.select("nom_automate").distinct()
     for df, scans in (
         (rollup.rollup_daily(stored, names, AS_OF, stations=names), 2),
-        (rollup.rollup_weekly(stored, names, AS_OF, stations=names), 3),
-        (rollup.rollup_monthly(stored, AS_OF), 2),
+        (rollup.rollup_weekly(stored, names, AS_OF, stations=names), 2),
+        (rollup.rollup_monthly(stored, AS_OF), 1),
     ):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert plan.count("FileScan") == scans
