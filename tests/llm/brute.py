@@ -52,21 +52,25 @@ def contamination(docs, items, size: int = 13):
     return out
 
 
-def line_dedup(docs, window: int = 3, long: int = 300):
-    """Texts without later copies of line runs."""
+def line_dedup(docs, min_words: int = 8):
+    """Texts without later copies of line runs of so many words or more: every run in every place is looked at."""
     seen: set = set()
     gone: dict = {}
     split = {}
     for i, text in docs:
         lines = (text or "").split("\n")
-        filled = [(k, x.strip(" \t\r\v\f"), len(x) >= long) for k, x in enumerate(lines) if x.strip(" \t\r\v\f")]
+        filled = [(k, x.strip(" \t\r\v\f")) for k, x in enumerate(lines) if x.strip(" \t\r\v\f")]
+        weights = [max(x.count(" ") + 1, len(x) // 10) for _, x in filled]
         split[i] = (lines, filled)
-        spots = [(k, tuple(x[1] for x in filled[k : k + window]), window) for k in range(len(filled) - window + 1)]
-        spots += [(k, x[1], 1) for k, x in enumerate(filled) if x[2]]
-        for k, run, n in spots:
-            if (n, run) in seen:
-                gone.setdefault(i, set()).update(range(k, k + n))
-            seen.add((n, run))
+        for k in range(len(filled)):
+            total = 0
+            for end in range(k, min(len(filled), k + 2 * min_words)):
+                total += weights[end]
+                if total >= min_words:
+                    run = tuple(x for _, x in filled[k : end + 1])
+                    if run in seen:
+                        gone.setdefault(i, set()).update(range(k, end + 1))
+                    seen.add(run)
     out = {}
     for i, _ in docs:
         lines, filled = split[i]

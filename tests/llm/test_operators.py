@@ -381,3 +381,35 @@ def test_staged_rows_are_the_same(spark, odd_docs):
     rows = odd_docs.select("doc_id", "text")
     assert sorted(map(repr, staged(rows).collect())) == sorted(map(repr, rows.collect()))
     assert json.loads(staged(rows).schema.json()) == json.loads(rows.schema.json())
+
+
+def test_repeated_runs_go_to_their_last_line(spark):
+    """Runs of one line and of many short ones, from their first line to the last; short copies of a few words stay."""
+    long_line = "alpha bravo charlie delta echo foxtrot golf hotel india"
+    short = [f"s{k} x" for k in range(6)]
+    rows = [
+        (1, "\n".join(["first here", *short, "own one", long_line, "own two"])),
+        (2, "\n".join(["else", *short, "other", long_line])),
+        (3, "\n".join(["s0 x", "s1 x", "s2 x", "end of it"])),  # six words in a row only
+        (4, "\n".join(["go on"] * 30)),
+        (5, "汉" * 90 + "\n" + "b c"),
+        (6, "汉" * 90),
+    ]
+    out = {r["doc_id"]: r for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = brute.line_dedup(rows)
+    assert {i: (r["n_lines"], r["n_deleted"], r["text"]) for i, r in out.items()} == want
+    assert out[2]["text"] == "else\nother" and out[3]["n_deleted"] == 0 and out[4]["text"] == "go on" and out[6]["text"] == ""
+
+
+def test_long_texts_of_lines_cost_in_proportion(spark):
+    import time
+
+    def took(n):
+        text = "\n".join(f"line number {k} of a text with quite a few words" for k in range(n))
+        df = spark.createDataFrame([(1, text), (2, text)], "doc_id long, text string")
+        start = time.perf_counter()
+        assert line_dedup.dedup_lines(df).where("doc_id = 2").first()["n_deleted"] == n
+        return time.perf_counter() - start
+
+    took(500)
+    assert took(32_000) < 8 * max(1.0, took(8_000))
