@@ -1,12 +1,13 @@
 """Personal data: entities by pattern, and terms that give entities away by co-occurrence; SQL functions only.
 
 After finding e-mail addresses, IP addresses, card and phone numbers, the corpus tells which other words
-reveal them: with N texts, a word in n_t of them, an entity in n_e, and the word beside the entity in n_et,
-PMI = log(N n_et / (n_e n_t)) is what the word tells of the entity, out of IC = log(N / n_e) in all. A word
-whose share PMI / IC reaches a threshold is generalised where the entity occurs, and removed beyond a second one.
+reveal them. Evidence is counted in distinct texts: N of them, n_t with the word, n_e with the entity, n_et with both.
+A word discloses the entity as far as a text with the word has the entity too: the chance n_et / n_t, of which the lower end of a
+one-sided 95 % interval (Wilson's) counts, so that few texts prove little, however large the corpus is; at least ``MIN_SUPPORT`` texts
+must have both. And it must tell more than the corpus at large: log2(chance * N / n_e) is at least ``BITS``.
+Words from ``GENERALISE`` on are generalised where the entity occurs, and removed from ``REMOVE`` on.
 Besides the exact value, an entity stands for its class: the domain of an address, the prefix of a number. (The
-kind is no class: the mark that replaces the entity tells it.) A word seen beside an entity in few texts may be there by chance, so for
-it n_et / n_t, the chance of the entity given the word, is drawn towards n_e / N as if ``PRIOR`` more texts had the word.
+kind is no class: the mark that replaces the entity tells it.) So classes carry the evidence where no value stands in several texts.
 """
 
 from __future__ import annotations
@@ -25,8 +26,8 @@ PATTERNS = {
 }
 KINDS = [*PATTERNS, "term"]
 WORD = r"[\p{L}\p{N}]+"
-CONTEXT = 80
-MIN_SUPPORT, PRIOR, GENERALISE, REMOVE = 3, 2, 0.9, 0.999
+MIN_SUPPORT, GENERALISE, REMOVE, BITS = 3, 0.5, 0.9, 1.0
+_Z2 = 1.6448536269514722**2
 SPANS = "array<struct<start:int,kind:int,end:int,found:string>>"
 
 
@@ -106,42 +107,42 @@ def words_of(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)))
 
 
-def _beside(text: Column, s: Column) -> Column:
-    """Whole words near a span."""
-    before = F.substr(text, F.greatest(s["start"] - CONTEXT, F.lit(0)) + 1, F.least(s["start"], F.lit(CONTEXT)))
-    before = F.when(s["start"] > CONTEXT, F.regexp_replace(before, f"^{WORD}", "")).otherwise(before)
-    after = F.regexp_replace(F.substr(text, s["end"] + 1, F.lit(CONTEXT)), rf"(?<![\p{{L}}\p{{N}}]){WORD}$", "")
-    return words_of(F.concat(before, F.lit(" "), after))
+def _hashed_words(text: Column) -> Column:
+    return F.transform(words_of(text), lambda x: F.xxhash64(x))
+
+
+def least_chance(hits: Column, n: Column) -> Column:
+    """The lower end of Wilson's one-sided 95 % interval for a chance seen ``hits`` times in ``n``."""
+    rate, n = hits / n, n.cast("double")
+    spread = F.sqrt(_Z2 * (rate * (1 - rate) / n + _Z2 / (4 * n * n)))
+    return (rate + _Z2 / (2 * n) - spread) / (1 + _Z2 / n)
 
 
 def disclosing_terms(found: DataFrame, docs: DataFrame, text_col: str, min_support: int, generalise: float) -> DataFrame:
-    """``entity term share`` of the words that reveal an entity or class; counts are of distinct texts of the whole corpus.
+    """``entity word share`` of the words (by hash) that reveal an entity or class; counts are of distinct texts of the whole corpus.
 
-    With fewer than ``min_support`` texts that have the word beside the entity the share is a smoothed one.
+    Every word of a text with the entity is a candidate, once per text, but for those that stand only in the entities
+    themselves. Values that too few texts have are left out before their words are written out.
     """
     beside = found.where(F.size("base") > 0).dropDuplicates(["hash"])
-    near = F.transform("base", lambda s: F.struct(_stands_for(s).alias("entities"), _beside(F.col("text"), s).alias("terms")))
-    beside = beside.select("hash", F.explode(near).alias("e")).select("hash", F.explode("e.entities").alias("entity"), "e.terms")
-    seen = beside.groupBy("entity").agg(F.count_distinct("hash").alias("n_e"))
-    pairs = beside.select("hash", "entity", F.explode("terms").alias("term")).where(F.length("term") >= 3).distinct()
-    pairs = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_et")).join(seen, "entity").withColumn("word", F.xxhash64("term"))
-    # A word is counted once per text; counts are summed in each input split before they are shuffled.
+    outside = F.aggregate("base", F.col("text"), lambda acc, s: F.replace(acc, s["found"], F.lit(" ")))
+    entities = F.array_distinct(F.flatten(F.transform("base", _stands_for)))
+    beside = beside.select(F.explode(entities).alias("entity"), _hashed_words(outside).alias("words"))
+    # What half of all texts have can't be told by a word.
     texts = docs.select(F.xxhash64(text_of(text_col)).alias("hash"), text_of(text_col).alias("text"))
-    once = texts.dropDuplicates(["hash"])  # copies leave each input split once
-    hashes = F.transform(words_of(F.col("text")), lambda x: F.xxhash64(x))
-    counts = once.select(F.explode(hashes).alias("word")).groupBy("word").agg(F.count("*").alias("n_t"))
-    total = texts.agg(F.greatest(F.count_distinct("hash"), F.lit(2))).scalar()
-    few = F.col("n_et") < min_support
-    pairs = pairs.withColumn("of", total).where(F.col("of") > F.col("n_e"))  # what all texts have can't be told
-    pairs = pairs.withColumn("hits", F.col("n_et") + F.when(few, PRIOR * F.col("n_e") / F.col("of")).otherwise(0.0))
-
-    def share(n_t: Column) -> Column:
-        rest = (n_t + F.when(few, PRIOR).otherwise(0)) / F.col("hits")
-        return 1 - F.log(F.greatest(rest, F.lit(1.0))) / F.log(F.col("of") / F.col("n_e"))
-
+    total = texts.agg(F.count_distinct("hash")).scalar()
+    seen = beside.groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= min_support)
+    seen = seen.withColumn("of", total).where(F.col("n_e") * 2.0**BITS <= F.col("of"))
+    pairs = beside.join(seen, "entity").select("entity", "n_e", "of", F.explode("words").alias("word"))
+    pairs = pairs.groupBy("entity", "n_e", "of", "word").agg(F.count("*").alias("n_et")).where(F.col("n_et") >= min_support)
     # The share is greatest where the word stands nowhere else: pairs that fail even then need no count.
-    scored = pairs.where(share(F.col("n_et")) >= generalise).join(counts, "word")
-    return scored.select("entity", "term", share(F.col("n_t")).alias("share")).where(F.col("share") >= generalise)
+    pairs = pairs.where(least_chance(F.col("n_et"), F.col("n_et")) >= generalise)
+    # A word is counted once per text; counts are summed in each input split before they are shuffled.
+    once = texts.dropDuplicates(["hash"])  # copies leave each input split once
+    counts = once.select(F.explode(_hashed_words(F.col("text"))).alias("word")).groupBy("word").agg(F.count("*").alias("n_t"))
+    scored = pairs.join(counts, "word").withColumn("share", least_chance(F.col("n_et"), F.col("n_t")))
+    told = F.log2(F.col("share") * F.col("of") / F.col("n_e")) >= BITS
+    return scored.where((F.col("share") >= generalise) & told).select("entity", "word", "share")
 
 
 def find_personal_data(
@@ -155,9 +156,8 @@ def find_personal_data(
 
     ``base`` holds e-mail addresses, IP addresses (parts up to 255), card numbers (12 to 19 digits that pass the
     Luhn check) and phone numbers (9 to 15 digits); ``extra`` the occurrences of terms that disclose an
-    entity of the document or its class, ``strong_terms`` those of them that disclose nearly all. Of terms that
-    stand beside the entity in fewer than ``min_support`` different texts the share is smoothed. Null texts are empty; null ids stay null;
-    repeated rows are treated alike and copies of a text count once; other columns are ignored; an empty table gives no rows.
+    entity of the document or its class, ``strong_terms`` those of them that disclose nearly all. A term needs
+    ``min_support`` different texts that have it and the entity. Null texts are empty; null ids stay null; repeated rows are treated alike and copies of a text count once; other columns are ignored; an empty table gives no rows.
     """
     rows = docs.select(
         F.col(id_col).alias("doc_id"), doc_key(id_col, text_col).alias("key"), F.xxhash64(text_of(text_col)).alias("hash"), text_of(text_col).alias("text")
@@ -169,7 +169,8 @@ def find_personal_data(
     having = found.where(F.size("base") > 0)
     told = having.select("key", "hash", F.explode(F.array_distinct(F.flatten(F.transform("base", _stands_for)))).alias("entity")).distinct()
     # Words meet terms first: few entities have a term, while a class may have many terms that most of its texts lack.
-    told = having.select("key", "hash", F.explode(words_of(F.col("text"))).alias("term")).distinct().join(terms, "term").join(told, ["key", "hash", "entity"])
+    own_words = having.select("key", "hash", F.explode(words_of(F.col("text"))).alias("term")).distinct().withColumn("word", F.xxhash64("term"))
+    told = own_words.join(terms, "word").join(told, ["key", "hash", "entity"])
     told = told.groupBy("key", "hash", "term").agg(F.max("share").alias("share"))
     told = told.groupBy("key", "hash").agg(F.collect_list(F.struct("term", "share")).alias("terms"))
     out = found.join(told, ["key", "hash"], "left")

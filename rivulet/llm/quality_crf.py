@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivulet.llm.common import flat_bytes, read, small_batches, text_of
-from rivulet.llm.textscan import grouped, range_hashes, scan_words, shingles
+from rivulet.llm.textscan import grouped, place_hashes, scan_words, shingles
 
 TRAIN_DOCS = 4000  # about so many labelled documents are fetched to fit the weights; scoring covers all rows
 STEPS, RATE, PENALTY = 150, 0.1, 1e-4
@@ -58,7 +58,7 @@ def line_features(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     same[1:] = (w.hashes[1:] == w.hashes[:-1]) & (w.doc[1:] == w.doc[:-1])
     order, new = grouped(line_of, w.hashes)
     distinct = np.bincount(line_of[order[new]], minlength=m) if len(order) else np.zeros(m)
-    hashes = range_hashes(w.data, begins, stops)
+    hashes = place_hashes(w.data, begins, stops)
     order, new = grouped(text, hashes)
     group = np.cumsum(new) - 1
     copies = np.empty(m)
@@ -103,8 +103,27 @@ def _padded(text: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
 def forward_backward(emission: np.ndarray, step: np.ndarray, text: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, float]:
     """Chance of each line to be good, expected numbers of label pairs, log of all sums.
 
-    ``emission`` is the log weight of good against bad of each line, ``step`` those of label pairs.
+    ``emission`` is the log weight of good against bad of each line, ``step`` those of label pairs. Lines come text by text.
+    Texts are dealt with in groups of about the same number of lines, whose table of lines by texts has at most ``CELLS``
+    cells (a text with more lines is a group of its own), so a long text beside many short ones needs no more memory.
     """
+    lines = np.bincount(text, minlength=n)
+    order = np.argsort(-lines, kind="stable")
+    first = np.cumsum(lines) - lines
+    good, pairs, total = np.zeros(len(text)), np.zeros((2, 2)), 0.0
+    begin = 0
+    while begin < n:
+        end = min(n, begin + max(1, CELLS // max(1, int(lines[order[begin]]))))
+        group = order[begin:end]
+        sizes = lines[group]
+        at = np.repeat(first[group] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+        g, p, t = _forward_backward(emission[at], step, np.repeat(np.arange(len(group)), sizes), len(group))
+        good[at] = g
+        pairs, total, begin = pairs + p, total + t, end
+    return good, pairs, total
+
+
+def _forward_backward(emission: np.ndarray, step: np.ndarray, text: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, float]:
     row, column, lines = _padded(text, n)
     deep = int(lines[0]) if n else 0
     table = np.zeros((deep, n, 2))
@@ -128,6 +147,9 @@ def forward_backward(emission: np.ndarray, step: np.ndarray, text: np.ndarray, n
     return good, pairs, float(total.sum())
 
 
+CELLS = 1 << 20
+
+
 @dataclass
 class Model:
     mean: np.ndarray

@@ -59,6 +59,36 @@ def _range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> n
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+_PLACES = mix(np.arange(64 << 8, dtype=np.uint64) + np.uint64(0x51ED270B))
+
+
+def place_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of the bytes values[start:end] of each range; ranges ascend and don't overlap.
+
+    A sum of random numbers that depend on the byte and on its place, in parts of 64 bytes with a random factor each: no
+    pair of strings is bound to agree, as some are under any polynomial modulo 2^64.
+    """
+    out = np.zeros(len(starts), np.uint64)
+    for a in range(0, len(values), _PART):
+        b = min(a + _PART, len(values))
+        i, j = int(np.searchsorted(ends, a, side="right")), int(np.searchsorted(starts, b))
+        if i >= j:
+            continue
+        lo, n = np.maximum(starts[i:j], a), np.minimum(ends[i:j], b) - np.maximum(starts[i:j], a)
+        on = n > 0
+        lo, n = lo[on], n[on]
+        if not len(n):
+            continue
+        first = np.cumsum(n) - n
+        at = np.arange(int(n.sum())) + np.repeat(lo - first, n)
+        place = at - np.repeat(starts[i:j][on], n)
+        numbers = _PLACES[((place & 63) << 8) | values[at]]
+        if int(place.max()) > 63:
+            numbers = numbers * (mix((place >> 6).astype(np.uint64)) | np.uint64(1))
+        out[i:j][on] += np.add.reduceat(numbers, first)
+    return mix(out + (ends - starts).astype(np.uint64))
+
+
 def _table(word: str) -> np.ndarray:
     """Byte -> byte of a word (A-Z lower-cased for "alnum"), 0 outside words."""
     t = np.arange(256, dtype=np.uint8)
@@ -98,7 +128,7 @@ def scan_words(raw: np.ndarray, offsets: np.ndarray, kind: str = "alnum") -> Wor
     mask[1:-1] = inside[data]
     edges = np.flatnonzero(np.diff(mask))
     starts, ends = edges[::2], edges[1::2]
-    hashes = range_hashes(table[data], starts, ends)
+    hashes = (range_hashes if kind == "alnum" else place_hashes)(table[data], starts, ends)
     doc = np.searchsorted(begins, starts, side="right") - 1
     return Words(data, begins, starts, ends, hashes, doc, np.bincount(doc, minlength=n)[:n])
 

@@ -151,3 +151,48 @@ def personal(text: str | None):
                 spans.append((m.start(), order, kind, m.end()))
         counts.append(n)
     return counts, ",".join(f"{k}:{a}:{b}" for a, _, k, b in sorted(spans))
+
+
+def stands_for(kind: str, found: str) -> set[str]:
+    digits = re.sub("[^0-9]", "", found)
+    value = digits if kind in ("card", "phone") else found.lower()
+    part = {"email": found.lower().rpartition("@")[2], "ip": ".".join(found.split(".")[:3]), "card": digits[:6], "phone": digits[:-4]}[kind]
+    return {f"{kind}:{value}", f"{kind}/{part}"}
+
+
+def disclosing(texts, support: int = 3, least: float = 0.5):
+    """For each text the words that disclose one of its entities or classes."""
+    import math
+
+    import regex
+
+    word = regex.compile(r"[\p{L}\p{N}]+")
+    texts = sorted({t or "" for t in texts})
+    words_in = {t: set(word.findall(t.lower())) for t in texts}
+    entities, candidates, own = {}, {}, {}
+    for t in texts:
+        outside, entities[t], own[t] = t, set(), []
+        for part in filter(None, personal(t)[1].split(",")):
+            kind, a, z = part.split(":")
+            entities[t] |= stands_for(kind, t[int(a) : int(z)])
+            own[t].append((int(a), int(z)))
+        for a, z in own[t]:
+            outside = outside.replace(t[a:z], " ")
+        candidates[t] = set(word.findall(outside.lower()))
+    n = len(texts)
+    n_e = Counter(e for t in texts for e in entities[t])
+    n_t = Counter(w for t in texts for w in words_in[t])
+    n_et = Counter((e, w) for t in texts for e in entities[t] for w in candidates[t])
+    z2 = 1.6448536269514722**2
+
+    def share(hits, of):
+        p = hits / of
+        return (p + z2 / (2 * of) - math.sqrt(z2 * (p * (1 - p) / of + z2 / (4 * of * of)))) / (1 + z2 / of)
+
+    terms = {(e, w) for (e, w), k in n_et.items() if k >= support and share(k, n_t[w]) >= least and share(k, n_t[w]) * n / n_e[e] >= 2}
+    out = {}
+    for t in texts:
+        told = {w for e, w in terms if e in entities[t] and w in words_in[t]}
+        places = [m for m in word.finditer(t) if m[0].lower() in told]
+        out[t] = {m[0].lower() for m in places if not any(m.start() < z and a < m.end() for a, z in own[t])}
+    return out

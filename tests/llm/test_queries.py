@@ -64,7 +64,25 @@ def test_quality_rules_match_plain_version(spark, documents):
         r = rows[i]
         assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == brute.quality_counts(text)
         assert r["base_failed"] == brute.base_failed(text)
-        assert r["kept"] == (not r["base_failed"])  # so few labels prove no cutoff
+        assert r["kept"] == (not r["base_failed"])  # so few labels prove no cutoff here
+
+
+def test_quality_rules_choose_cutoffs_on_a_larger_table(spark):
+    """With 40 times the labels the query rejects junk that passes the base rule, and few of the good documents."""
+    rows = QUERIES["op7_quality_rules"](spark, "/root/testdata/sf0.1").join(
+        spark.read.parquet("/root/testdata/sf0.1/labels.parquet"), "doc_id"
+    ).join(spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "lang"), "doc_id").where("not base_failed").collect()
+    for lang in {r["lang"] for r in rows}:
+        good = [r["kept"] for r in rows if r["lang"] == lang and r["quality"] == 1]
+        bad = [r["kept"] for r in rows if r["lang"] == lang and r["quality"] == 0]
+        assert good.count(False) <= 0.05 * len(good) and (len(bad) < 10 or bad.count(False) >= 0.9 * len(bad)), (lang, len(good), len(bad))
+
+
+def test_terms_match_plain_version(spark, documents):
+    want = brute.disclosing([t for _, t in documents])
+    told = dict(documents)
+    for r in QUERIES["op3_pii"](spark, SF).collect():
+        assert (r["n_terms"] > 0) == bool(want[told[r["doc_id"]] or ""])
 
 
 def test_pipeline_matches_plain_stages(spark, database, documents):
