@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import doc_key, read, text_of
+from rivulet.llm.common import doc_key, read, staged, text_of
 
 MIN_WORDS = 8
 CHARS = 10  # so many characters without a blank count as a word
@@ -25,7 +25,7 @@ def _lines(text: Column) -> Column:
 def _filled(text: Column) -> Column:
     """Lines that are not blank: hash of the line without blanks around it, place, number of words."""
     trimmed = F.transform(_lines(text), lambda x: F.trim(x, F.lit(_BLANKS)))
-    blanks = lambda x: F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit("")))
+    blanks = lambda x: F.octet_length(x) - F.octet_length(F.replace(x, F.lit(" "), F.lit("")))
     lines = F.transform(
         trimmed,
         lambda x, i: F.struct(
@@ -86,7 +86,8 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "do
     rows = rows.withColumn("lines", _filled(F.col("text"))).withColumn("windows", _windows("lines", min_words))
     starts = F.when(F.size("windows") > 0, F.sequence(F.lit(1), F.size("windows"), F.lit(SEGMENT)))
     segments = F.transform(starts, lambda k: F.struct(k.alias("segment"), F.slice("windows", k, SEGMENT).alias("windows")))
-    rows = rows.select("key", "hash", F.explode(segments).alias("s")).select("key", "hash", "s.segment", "s.windows")
+    # Much smaller than the texts, which are read once for it.
+    rows = staged(rows.select("key", "hash", F.explode(segments).alias("s")).select("key", "hash", "s.segment", "s.windows"))
     prints = F.array_distinct(F.transform("windows", lambda x: x["least"]))
     spread = rows.select("key", "hash", "segment", F.explode(prints).alias("p")).select("key", "hash", "segment", F.col("p.h").alias("h"), F.col("p.at").alias("at"))
     place = F.struct("key", "hash", "at")
@@ -95,10 +96,11 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "do
     anchors = anchors.groupBy("key", "hash", "segment").agg(F.collect_set("h").alias("hs"))  # of one segment: 512 at most
     near = rows.join(anchors, ["key", "hash", "segment"])
     near = near.select("key", "hash", F.explode(F.filter("windows", lambda x: F.array_contains("hs", x["least"]["h"]))).alias("w"))
-    near = near.select("key", "hash", F.col("w.key").alias("run"), F.col("w.i").alias("i"), F.col("w.n").alias("n"))
+    near = staged(near.select("key", "hash", F.col("w.key").alias("run"), F.col("w.i").alias("i"), F.col("w.n").alias("n")))
     spot = F.struct("key", "hash", "i")
     firsts = near.groupBy("run").agg(F.min(spot).alias("first"), F.max(spot).alias("last")).where("first < last")
-    later = near.join(firsts.select("run", "first"), "run").where(spot > F.col("first"))
+    # Stored, so that both sides of the join are dealt for it and Spark may split a run that very many texts have.
+    later = near.join(staged(firsts.select("run", "first")), "run").where(spot > F.col("first"))
     marks = later.select("key", "hash", F.explode(F.sequence(F.col("i"), F.col("i") + F.col("n") - 1)).alias("i")).distinct()
     return marks.groupBy("key", "hash").agg(F.collect_list("i").alias("gone"))
 
