@@ -60,6 +60,7 @@ def _range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> n
 
 
 _PLACES = mix(np.arange(64 << 8, dtype=np.uint64) + np.uint64(0x51ED270B))
+_FACTORS = mix(np.arange(1 << 13, dtype=np.uint64)) | np.uint64(1)
 
 
 def place_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -80,11 +81,13 @@ def place_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np
         if not len(n):
             continue
         first = np.cumsum(n) - n
-        at = np.arange(int(n.sum())) + np.repeat(lo - first, n)
-        place = at - np.repeat(starts[i:j][on], n)
-        numbers = _PLACES[((place & 63) << 8) | values[at]]
-        if int(place.max()) > 63:
-            numbers = numbers * (mix((place >> 6).astype(np.uint64)) | np.uint64(1))
+        begun = starts[i:j][on]
+        place = np.arange(int(n.sum()), dtype=np.int32) - np.repeat((first - (lo - begun)).astype(np.int32), n)
+        keys = ((place & 63) << 8) | values[a:b][place + np.repeat((begun - a).astype(np.int32), n)]
+        numbers = _PLACES[keys]
+        parts = int(place.max()) >> 6
+        if parts:
+            numbers *= _FACTORS[place >> 6] if parts < len(_FACTORS) else mix((place >> 6).astype(np.uint64)) | np.uint64(1)
         out[i:j][on] += np.add.reduceat(numbers, first)
     return mix(out + (ends - starts).astype(np.uint64))
 
