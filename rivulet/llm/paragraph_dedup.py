@@ -5,7 +5,9 @@ reach a Jaccard similarity of 0.8 are linked, and of each class of linked paragr
 A passage pasted into the middle of a longer paragraph makes neither paragraph similar to the other. So the
 word sequence of each text is also cut where a hash of two words is the least around; these pieces
 depend on nothing outside a few words, a shared passage is made of the same pieces everywhere, and an
-equal piece (similarity 1) is a paragraph of its own. Pieces go where they repeat as a stretch of ``STRETCH`` words or more.
+equal piece (similarity 1) is a paragraph of its own. Where the neighbours of a repeated piece differ between its
+places, a passage ends near by: there the piece with one word more, two words more, ... of its surroundings is counted
+in the same way, so a passage goes up to its very ends, whichever earlier document has it. Stretches of ``STRETCH`` words or more go.
 """
 
 from __future__ import annotations
@@ -25,11 +27,12 @@ from rivulet.llm.textscan import Words, grouped, mix, range_hashes, runs, scan_w
 
 SIMILARITY, RECALL, ROWS = 0.8, 0.999, 3
 MIN_WORDS, STRETCH = 20, 20
-PIECE_RADIUS, PIECE_MIN = 5, 5
+PIECE_RADIUS, PIECE_MIN = 4, 4
+LEFT, RIGHT = 1, 2
 BLOCK_BYTES, SHARD_BYTES = 8 << 20, 32 << 20
 UNITS = "id long, doc_key long, text_hash long, start int, n_bytes long, f1 long, f2 long, bands array<long>"
-PIECES = "shard int, block long, pieces binary, keys binary, twice binary"
-FIRSTS = "block long, pieces binary, keys binary"
+PIECES = "shard int, block long, pieces binary, keys binary, twice binary, before binary, after binary"
+FIRSTS = "block long, pieces binary, keys binary, forks binary"
 CLEANED = "doc_id long, doc_key long, text_hash long, n_paragraphs long, n_removed long, removed_bytes long, kept string"
 
 
@@ -122,80 +125,168 @@ def _cuts(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return begin, np.append(begin[1:], len(sorted_keys))
 
 
-def _send_pieces(shards: int):
-    """A block's distinct pieces with the least document that has each, and whether it was found twice here."""
+def _neighbours(w: Words, lo: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """32 bits of the hashes of the pieces before and after each piece in its text; 1 where there is none."""
+    short = (h >> np.uint64(32)).astype(np.uint32) | np.uint32(2)
+    before, after = np.ones(len(h), np.uint32), np.ones(len(h), np.uint32)
+    same = w.doc[lo[1:]] == w.doc[lo[:-1]]
+    before[1:][same], after[:-1][same] = short[:-1][same], short[1:][same]
+    return before, after
+
+
+def _agreed(values: np.ndarray, lo: np.ndarray) -> np.ndarray:
+    """The value of each group of neighbours in the array, 0 where they differ or one is 0."""
+    least, most = np.minimum.reduceat(values, lo), np.maximum.reduceat(values, lo)
+    return np.where(least == most, least, np.uint32(0))
+
+
+def _to_shards(block: int, shards: int, piece: np.ndarray, key: np.ndarray, before: np.ndarray, after: np.ndarray) -> pa.Table:
+    """A block's distinct pieces: the least document that has each, whether it was found twice here, its neighbours."""
+    shard = (piece % np.uint64(shards)).astype(np.int32)
+    order = np.lexsort((key, piece, shard))
+    piece, key, shard = piece[order], key[order], shard[order]
+    lo, hi = _cuts(piece)
+    before, after = (_agreed(v[order], lo) if len(lo) else v for v in (before, after))
+    piece, shard, key, twice = piece[lo], shard[lo], key[lo], hi - lo > 1
+    lo, hi = _cuts(shard)
+    spans = list(zip(lo, hi, strict=True))
+    columns = {"pieces": piece, "keys": key, "twice": twice, "before": before, "after": after}
+    return pa.table(
+        {"shard": pa.array(shard[lo]), "block": pa.array(np.full(len(lo), block))}
+        | {c: pa.array([packed(v[i:j]) for i, j in spans], pa.binary()) for c, v in columns.items()}
+    )
+
 
+def _send_pieces(shards: int):
     def send(table: pa.Table) -> pa.Table:
-        found, keys = [], []
+        found = []
         for b in table_slices(table, "text"):
             w = scan_words(*flat_bytes(b.column("text")))
             lo, _, h = pieces(w)
-            found.append(h)
-            keys.append(b.column("doc_key").to_numpy()[w.doc[lo]])
-        piece, key = np.concatenate(found), np.concatenate(keys)
-        shard = (piece % np.uint64(shards)).astype(np.int32)
-        order = np.lexsort((key, piece, shard))
-        piece, key, shard = piece[order], key[order], shard[order]
-        lo, hi = _cuts(piece)
-        piece, shard, key, twice = piece[lo], shard[lo], key[lo], hi - lo > 1
-        lo, hi = _cuts(shard)
-        spans = list(zip(lo, hi, strict=True))
-        return pa.table(
-            {
-                "shard": pa.array(shard[lo]),
-                "block": pa.array(np.full(len(lo), table["block"][0].as_py())),
-                "pieces": pa.array([packed(piece[i:j]) for i, j in spans], pa.binary()),
-                "keys": pa.array([packed(key[i:j]) for i, j in spans], pa.binary()),
-                "twice": pa.array([packed(twice[i:j]) for i, j in spans], pa.binary()),
-            }
-        )
+            found.append((h, b.column("doc_key").to_numpy()[w.doc[lo]], *_neighbours(w, lo, h)))
+        return _to_shards(table["block"][0].as_py(), shards, *(np.concatenate(c) for c in zip(*found, strict=True)))
+
+    return send
+
+
+def _send_ends(shards: int):
+    """As ``_send_pieces``, for the pieces with more and more words of their surroundings, where the surroundings differ."""
+
+    def send(texts: pa.Table, told: pa.Table) -> pa.Table:
+        known, _, forks = _known(told)
+        found = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+        for b in table_slices(texts, "text"):
+            w = scan_words(*flat_bytes(b.column("text")))
+            lo, _, h = ends(w, *pieces(w), known, forks)
+            found.append((h, b.column("doc_key").to_numpy()[w.doc[lo]]))
+        piece, key = (np.concatenate(c) for c in zip(*found, strict=True))
+        none = np.zeros(len(piece), np.uint32)
+        block = (texts if texts.num_rows else told)["block"][0].as_py()
+        return _to_shards(block, shards, piece, key, none, none)
 
     return send
 
 
 def _first_documents(table: pa.Table) -> pa.Table:
-    """In one shard: pieces found more than once, with the least document that has them, told to the blocks that have them."""
-    piece, key = flat_bytes(table["pieces"])[0].view(np.uint64), flat_bytes(table["keys"])[0].view(np.int64)
+    """In one shard: pieces found more than once, told to the blocks that have them.
+
+    Told are the least document that has a piece, and on which sides its neighbours are not the same everywhere.
+    """
+    columns = {"pieces": np.uint64, "keys": np.int64, "before": np.uint32, "after": np.uint32}
+    piece, key, before, after = (flat_bytes(table[c])[0].view(t) for c, t in columns.items())
     sizes = pc.binary_length(table["pieces"]).to_numpy() // 8
     row = np.repeat(np.arange(len(sizes)), sizes)
     twice = flat_bytes(table["twice"])[0] > 0
     order = np.lexsort((key, piece))
     lo, hi = _cuts(piece[order])
     group = np.repeat(np.arange(len(lo)), hi - lo)
-    wanted = ((hi - lo > 1) | np.logical_or.reduceat(twice[order], lo))[group] if len(lo) else np.zeros(0, bool)
-    least = np.empty(len(key), np.int64)
-    least[order] = key[order][lo][group] if len(lo) else key
+    least, fork = np.empty(len(key), np.int64), np.empty(len(key), np.uint8)
+    wanted = np.zeros(0, bool)
+    if len(lo):
+        wanted = ((hi - lo > 1) | np.logical_or.reduceat(twice[order], lo))[group]
+        least[order] = key[order][lo][group]
+        sides = LEFT * (_agreed(before[order], lo) == 0) + RIGHT * (_agreed(after[order], lo) == 0)
+        fork[order] = sides.astype(np.uint8)[group]
     keep = np.sort(order[wanted])
     counts = np.bincount(row[keep], minlength=len(sizes))
     cut = np.cumsum(counts)[:-1]
-    a, b = np.split(piece[keep], cut), np.split(least[keep], cut)
     full = np.flatnonzero(counts)
+    told = {"pieces": piece, "keys": least, "forks": fork}
+    parts = {c: np.split(v[keep], cut) for c, v in told.items()}
     return pa.table(
-        {
-            "block": table["block"].take(pa.array(full)).combine_chunks(),
-            "pieces": pa.array([packed(a[i]) for i in full], pa.binary()),
-            "keys": pa.array([packed(b[i]) for i in full], pa.binary()),
-        }
+        {"block": table["block"].take(pa.array(full)).combine_chunks()}
+        | {c: pa.array([packed(v[i]) for i in full], pa.binary()) for c, v in parts.items()}
     )
 
 
-def _repeated_pieces(w: Words, keys: np.ndarray, known: np.ndarray, least: np.ndarray) -> np.ndarray:
-    """Whether each word lies in a stretch of pieces that an earlier document, or an earlier place of this one, has."""
-    gone = np.zeros(len(w.hashes), bool)
-    lo, hi, h = pieces(w)
-    if not len(lo) or not len(known):
-        return gone
+def _known(told: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The pieces told to a block in ascending order, with the first document and the sides of each."""
+    known, least, forks = (flat_bytes(told[c])[0].view(t) for c, t in (("pieces", np.uint64), ("keys", np.int64), ("forks", np.uint8)))
+    order = np.argsort(known)
+    return known[order], least[order], forks[order]
+
+
+def _look_up(known: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the hashes are known, and their places among the known ones."""
+    if not len(known):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     at = np.minimum(np.searchsorted(known, h), len(known) - 1)
     on = np.flatnonzero(known[at] == h)
-    own, first = keys[w.doc[lo[on]]], least[at[on]]
+    return on, at[on]
+
+
+def ends(
+    w: Words, lo: np.ndarray, hi: np.ndarray, h: np.ndarray, known: np.ndarray, forks: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Known pieces with 1, 2, ... words more on the sides given by ``forks``: first word, word after the last, hash.
+
+    Equal words around two places of a piece end inside the next piece of either text, or at most as many
+    words beyond it as the choice of its cut depends on; so that many are tried, to the ends of the text at most.
+    """
+    on, at = _look_up(known, h)
+    sides = np.zeros(len(h), np.uint8)
+    sides[on] = forks[at]
+    last = np.cumsum(w.counts)
+    begin, end = (last - w.counts)[w.doc[lo]], last[w.doc[lo]]
+    same = w.doc[lo[1:]] == w.doc[lo[:-1]]
+    from_, to = begin.copy(), end.copy()
+    from_[1:][same] = lo[:-1][same]
+    to[:-1][same] = hi[1:][same]
+    left = np.where(sides & LEFT, lo - np.maximum(begin, from_ - PIECE_RADIUS - 1), 0)
+    right = np.where(sides & RIGHT, np.minimum(end, to + PIECE_RADIUS + 1) - hi, 0)
+    more_left = np.arange(1, left.sum() + 1) - np.repeat(np.cumsum(left) - left, left)
+    more_right = np.arange(1, right.sum() + 1) - np.repeat(np.cumsum(right) - right, right)
+    lo2 = np.concatenate((np.repeat(lo, left) - more_left, np.repeat(lo, right)))
+    hi2 = np.concatenate((np.repeat(hi, left), np.repeat(hi, right) + more_right))
+    # A run that two neighbouring pieces both grow into is one place, not two.
+    order = np.lexsort((hi2, lo2))
+    lo2, hi2 = lo2[order], hi2[order]
+    once = np.append(True, (lo2[1:] != lo2[:-1]) | (hi2[1:] != hi2[:-1])) if len(lo2) else np.zeros(0, bool)
+    lo2, hi2 = lo2[once], hi2[once]
+    return lo2, hi2, range_hashes(w.hashes, lo2, hi2)
+
+
+def _earlier(w: Words, keys: np.ndarray, lo: np.ndarray, h: np.ndarray, known: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Which of the word runs are in an earlier document, or at an earlier place of their own one."""
+    on, at = _look_up(known, h)
+    own, first = keys[w.doc[lo[on]]], least[at]
     earlier = first < own
-    same = np.flatnonzero(first == own)  # the first document: the first of equal pieces stays
-    order = same[np.lexsort((same, h[on[same]], w.doc[lo[on[same]]]))]
+    same = np.flatnonzero(first == own)  # the first document: the first of equal runs stays
+    order = same[np.lexsort((lo[on[same]], h[on[same]], w.doc[lo[on[same]]]))]
     text, piece = w.doc[lo[on[order]]], h[on[order]]
     earlier[order[1:][(text[1:] == text[:-1]) & (piece[1:] == piece[:-1])]] = True
-    hit = on[earlier]
-    size = hi[hit] - lo[hit]
-    gone[np.repeat(lo[hit] - (np.cumsum(size) - size), size) + np.arange(size.sum())] = True
+    return on[earlier]
+
+
+def _repeated_words(w: Words, keys: np.ndarray, firsts: tuple[np.ndarray, ...], further: tuple[np.ndarray, ...]) -> np.ndarray:
+    """Whether each word lies in a stretch of runs that an earlier document, or an earlier place of this one, has."""
+    n = len(w.hashes)
+    lo, hi, h = pieces(w)
+    lo2, hi2, h2 = ends(w, lo, hi, h, firsts[0], firsts[2])
+    hit, hit2 = _earlier(w, keys, lo, h, *firsts[:2]), _earlier(w, keys, lo2, h2, *further[:2])
+    opened = np.bincount(np.concatenate((lo[hit], lo2[hit2])), minlength=n + 1)
+    closed = np.bincount(np.concatenate((hi[hit], hi2[hit2])), minlength=n + 1)
+    gone = np.cumsum(opened - closed)[:n] > 0
     change = np.diff(np.concatenate(([0], gone.astype(np.int8), [0]))) != 0
     change[1:-1] |= np.diff(w.doc) != 0
     edges = np.flatnonzero(change)
@@ -206,11 +297,8 @@ def _repeated_pieces(w: Words, keys: np.ndarray, known: np.ndarray, least: np.nd
 
 
 def _remove(texts: pa.Table, side: pa.Table) -> pa.Table:
-    firsts = side.filter(pc.is_valid(side["pieces"]))
-    known, least = flat_bytes(firsts["pieces"])[0].view(np.uint64), flat_bytes(firsts["keys"])[0].view(np.int64)
-    order = np.argsort(known)
-    known, least = known[order], least[order]
-    marked = side.filter(pc.is_valid(side["start"]))
+    firsts, further = _known(side.filter(pc.equal(side["part"], "pieces"))), _known(side.filter(pc.equal(side["part"], "ends")))
+    marked = side.filter(pc.equal(side["part"], "paragraphs"))
     spans: dict[tuple[int, int], set[int]] = {}
     for key, text_hash, start in zip(*(marked[c].to_pylist() for c in ("doc_key", "text_hash", "start")), strict=True):
         spans.setdefault((key, text_hash), set()).add(start)
@@ -218,7 +306,7 @@ def _remove(texts: pa.Table, side: pa.Table) -> pa.Table:
     for b in table_slices(texts, "text"):
         w = scan_words(*flat_bytes(b.column("text")))
         keys, hashes = b.column("doc_key").to_numpy(), b.column("text_hash").to_numpy()
-        gone = np.flatnonzero(_repeated_pieces(w, keys, known, least))
+        gone = np.flatnonzero(_repeated_words(w, keys, firsts, further))
         # A removed word goes with what follows it up to the next word of the text.
         bounds = np.append(w.begins, len(w.data) + 1)
         until = np.minimum(np.append(w.starts[1:], len(w.data) + 1), bounds[1:][w.doc] - 1)
@@ -296,10 +384,12 @@ def dedup_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     repeats = repeats.where(F.struct("doc_key", "text_hash", "start") != F.col("first")).withColumn("block", block)
 
     sent = rows.groupBy("block").applyInArrow(_send_pieces(shards), PIECES)
-    found = sent.groupBy("shard").applyInArrow(_first_documents, FIRSTS)
-    none = F.lit(None)
-    side = repeats.select("block", "doc_key", "text_hash", "start", none.cast("binary").alias("pieces"), none.cast("binary").alias("keys"))
-    side = side.unionByName(found.select("block", none.cast("long").alias("doc_key"), none.cast("long").alias("text_hash"), none.cast("int").alias("start"), "pieces", "keys"))
+    found = staged(sent.groupBy("shard").applyInArrow(_first_documents, FIRSTS))
+    sent = rows.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(_send_ends(shards), PIECES)
+    further = sent.groupBy("shard").applyInArrow(_first_documents, FIRSTS)
+    side = repeats.select("block", F.lit("paragraphs").alias("part"), "doc_key", "text_hash", "start")
+    for part, told in (("pieces", found), ("ends", further)):
+        side = side.unionByName(told.withColumn("part", F.lit(part)), allowMissingColumns=True)
     return rows.groupBy("block").cogroup(side.groupBy("block")).applyInArrow(_remove, CLEANED)
 
 

@@ -101,6 +101,86 @@ def near_classes(docs, multiset: bool = True):
     return {i: find(i) for i, _ in bags}
 
 
+def repeated_passages(docs, pieces, stretch: int = 20):
+    """For each text the places of words in runs around a piece that an earlier text, or an earlier place, has.
+
+    ``pieces`` gives the (first word, word after the last) of a text's pieces. Every two places of an equal piece are
+    looked at, and extended word by word.
+    """
+    split = {i: words(t) for i, t in docs}
+    places: dict[tuple, list] = {}
+    gone = {}
+    for i, t in docs:
+        w, mine = split[i], set()
+        for lo, hi in pieces(t):
+            before = places.setdefault(tuple(w[lo:hi]), [])
+            for j, at in before:
+                v, a, z = split[j], 0, 0
+                while lo - a > 0 and at - a > 0 and w[lo - a - 1] == v[at - a - 1]:
+                    a += 1
+                while hi + z < len(w) and at + hi - lo + z < len(v) and w[hi + z] == v[at + hi - lo + z]:
+                    z += 1
+                mine.update(range(lo - a, hi + z))
+            before.append((i, lo))
+        starts = [k for k in sorted(mine) if k - 1 not in mine]
+        for k in starts:
+            end = k
+            while end in mine:
+                end += 1
+            if end - k < stretch:
+                mine.difference_update(range(k, end))
+        gone[i] = mine
+    return gone
+
+
+def similar_paragraphs(docs, min_words: int = 20):
+    """Lines of enough words, as (document, begin, end) in bytes, and those similar to an earlier one."""
+    found = []
+    for i, t in docs:
+        at = 0
+        for line in (t or "").encode().split(b"\n"):
+            if len(words(line.decode())) >= min_words:
+                found.append(((i, at, at + len(line)), frozenset(bag(line.decode()))))
+            at += len(line) + 1
+    root = list(range(len(found)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    having: dict[tuple, list[int]] = {}
+    for a, (_, x) in enumerate(found):
+        for b, k in Counter(b for s in x for b in having.get(s, ())).items():
+            if 5 * k >= 4 * (len(x) + len(found[b][1]) - k):
+                p, q = find(a), find(b)
+                root[max(p, q)] = min(p, q)
+        for s in x:
+            having.setdefault(s, []).append(a)
+    return [f for f, _ in found], {f for a, (f, _) in enumerate(found) if find(a) != a}
+
+
+def substring_dedup(docs, pieces):
+    """(paragraphs, stretches cut, bytes cut, rest) of each text."""
+    gone = repeated_passages(docs, pieces)
+    lines, similar = similar_paragraphs(docs)
+    out = {}
+    for i, t in docs:
+        body = (t or "").encode()
+        starts = [len((t or "")[: m.start()].encode()) for m in ALNUM.finditer(lower(t or ""))] + [len(body)]
+        cut = bytearray(len(body) + 1)
+        for k in gone[i]:
+            cut[starts[k] : starts[k + 1]] = b"\1" * (starts[k + 1] - starts[k])
+        for d, a, z in similar:
+            if d == i:
+                cut[a : z + 1] = b"\1" * (z + 1 - a)
+        cut = cut[: len(body)]
+        spans = sum(1 for k in range(len(body)) if cut[k] and (k == 0 or not cut[k - 1]))
+        rest = bytes(b for b, c in zip(body, cut, strict=True) if not c).decode()
+        out[i] = (sum(d == i for d, _, _ in lines), spans, sum(cut), rest)
+    return out
+
+
 def cut_substrings(docs, size: int = 50):
     first: dict[bytes, int] = {}
     texts = {i: (t or "").encode() for i, t in docs}

@@ -14,6 +14,7 @@ from rivulet.llm import bagminhash, chat, decontaminate, line_dedup, mixing, par
 from rivulet.llm.common import read, staged
 from rivulet.llm.components import components
 from rivulet.llm.suffix_array import permuted_prefixes, suffix_array
+from rivulet.llm.textscan import scan_words
 from tests.llm import brute
 from tests.llm.conftest import CLASHES, prose
 
@@ -24,6 +25,13 @@ def by_id(df, *columns):
     return {r["doc_id"]: tuple(r[c] for c in columns) for r in df.collect()}
 
 
+def plain_pieces(text):
+    """The pieces that ``paragraph_dedup`` cuts one text into."""
+    raw = np.frombuffer((text or "").encode(), np.uint8)
+    lo, hi, _ = paragraph_dedup.pieces(scan_words(raw, np.array([0, len(raw)])))
+    return list(zip(lo.tolist(), hi.tolist(), strict=True))
+
+
 # 1, line dedup
 
 
@@ -351,9 +359,8 @@ def test_paragraphs_and_passages(spark, odd_docs, odd_rows, no_docs):
         assert kept[i]["kept"] == texts[i], i
     assert kept[4]["kept"] == ""
     assert len(brute.words(kept[2]["kept"])) < 60 and len(brute.words(kept[3]["kept"])) < 90
-    inside = " ".join(brute.words(prose(3, 70))[12:-12])
-    assert inside in " ".join(brute.words(kept[6]["kept"])) and inside not in " ".join(brute.words(kept[7]["kept"]))
-    assert brute.words(prose(6, 50))[:45] == brute.words(kept[7]["kept"])[:45]
+    assert brute.words(prose(3, 70))[12:-12] == brute.words(kept[6]["kept"])[73:-73]
+    assert brute.words(kept[7]["kept"]) == brute.words(prose(6, 60) + " end next " + prose(7, 60))
     assert len(kept[16]["kept"]) < 1000
     assert paragraph_dedup.dedup_paragraphs(no_docs).count() == 0
 
@@ -372,6 +379,49 @@ def test_similar_paragraphs_match_plain_version(spark):
     assert paragraph_dedup.tune_bands(0.8, 3, 0.999) == 10
 
 
+def test_pasted_passages_go_whole(spark):
+    """Passages of 51 to 80 words inside longer lines, some of them around one that a third text has too."""
+    r = np.random.default_rng(8)
+
+    def some(n):
+        return [f"w{x}" for x in r.integers(0, 1 << 40, n)]
+
+    rows, want = [], {}
+    for i in range(200):
+        passage = some((51, 60, 80)[i % 3])
+        own = some(60 + i % 7), some(60 + i % 11)
+        if i % 4 == 0:  # an earlier text has the middle only: the ends are the next one's
+            rows.append((3 * i, " ".join(some(40) + passage[15:40] + some(40))))
+        rows.append((3 * i + 1, " ".join(some(i % 50) + passage + some(i % 30))))
+        rows.append((3 * i + 2, " ".join(own[0] + passage + own[1])))
+        want[3 * i + 2] = " ".join(own[0] + own[1])
+    out = by_id(paragraph_dedup.dedup_paragraphs(spark.createDataFrame(rows, "doc_id long, text string")), "kept")
+    assert sum(out[i][0] == w for i, w in want.items()) >= 199
+
+
+def test_overlapping_passages_lie_between_plain_versions(spark, unique_rows):
+    """At least the repeated runs around pieces go, at most the repeated runs around any four words."""
+    common = prose(70, 400).split()
+    r = np.random.default_rng(9)
+    rows = [*unique_rows]
+    for i in range(100, 140):  # texts spliced of runs of a common one, so that passages overlap and repeat inside texts
+        cut = [common[a : a + n] for a, n in zip(r.integers(0, 380, 8), r.integers(3, 60, 8), strict=True)]
+        rows.append((i, "\n".join(" ".join(c) for c in cut) if i % 2 else " ".join(" ".join(c) for c in cut)))
+    rows += [(200, "again and " * 90), (201, "x " + "again and " * 70 + "y"), (202, "a b c"), (203, "a b c")]
+    out = by_id(paragraph_dedup.dedup_paragraphs(spark.createDataFrame(rows, "doc_id long, text string")), "n_paragraphs", "n_removed", "removed_bytes", "kept")
+    least = brute.substring_dedup(rows, plain_pieces)
+    most = brute.substring_dedup(rows, lambda t: [(k, k + 4) for k in range(len(brute.words(t)) - 3)])
+
+    def inside(few, many):
+        rest = iter(many)
+        return all(x in rest for x in few)
+
+    for i, _ in rows:
+        kept = brute.words(out[i][3])
+        assert inside(kept, brute.words(least[i][3])) and inside(brute.words(most[i][3]), kept), i
+    assert sum(out[i] != least[i] for i, _ in rows) <= 3
+
+
 # 9, near-duplicates
 
 

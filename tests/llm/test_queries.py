@@ -9,6 +9,7 @@ import __spark_entry__ as driver
 import corpus_pipeline
 from rivulet.llm.queries import ORACLES, QUERIES
 from tests.llm import brute
+from tests.llm.test_operators import plain_pieces
 from tests.test_catalog import normal
 
 SF = "/root/testdata/sf0.001"
@@ -47,6 +48,11 @@ def test_classes_match_plain_version(spark, documents):
     assert got == brute.near_classes(documents)
 
 
+def test_substring_dedup_matches_plain_version(spark, documents):
+    got = {r["doc_id"]: (r["n_paragraphs"], r["n_removed"], r["removed_bytes"], r["text"]) for r in QUERIES["op8_substring_dedup"](spark, SF).collect()}
+    assert got == brute.substring_dedup(documents, plain_pieces)
+
+
 def test_personal_data_matches_plain_version(spark, documents):
     import hashlib
 
