@@ -1,4 +1,8 @@
-"""Benchmark decontamination with a positional inverted index that is distributed by document."""
+"""Benchmark decontamination with a positional inverted index that is distributed by document.
+
+Each document's row holds the postings of all its words: distinct words, times, positions. The index does not depend on the benchmark
+and is built once; blocks of test windows are then looked for one after another.
+"""
 
 from __future__ import annotations
 
@@ -13,48 +17,69 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rivulet.llm.common import flat_bytes, packed, read, small_batches, staged, text_of
-from rivulet.llm.textscan import grouped, scan_words, shingles
+from rivulet.llm.textscan import scan_words, shingles
 
 WINDOW = 13
 SLOP = 2
 BLOCK_WINDOWS = 200_000
-INDEX = "doc_id long, text_hash long, n_words long, terms binary, positions binary"
+CUT_WINDOWS, CANDIDATES = 50_000, 1 << 20
+TERM_BYTES = 4 << 20
+INDEX = "doc_id long, text_hash long, n_words long, terms binary, times binary, positions binary"
+WINDOWS = "item_id string, n int, words binary"
 MATCHES = "doc_id long, text_hash long, starts array<int>, ends array<int>, items array<string>, near_items array<string>"
 
 
-class ItemWindows:
-    """Windows of one block of benchmark items: ranks of their words in a sorted vocabulary."""
+def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``item_id n words``: every window of ``window`` consecutive words, as hashes; an item of fewer words is one."""
 
-    def __init__(self, ids: list, texts: pa.Array, window: int):
-        raw, offsets = flat_bytes(texts)
-        words = scan_words(raw, offsets)
-        self.ids = [str(x) for x in ids]
-        self.vocabulary, ranks = np.unique(words.hashes, return_inverse=True)
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small_batches(batches, "text", 1 << 20):
+            w = scan_words(*flat_bytes(b.column("text")))
+            _, first = shingles(w, window)
+            few = np.flatnonzero((w.counts > 0) & (w.counts < window))
+            first = np.concatenate((first, np.cumsum(w.counts)[few] - w.counts[few]))
+            n = np.minimum(w.counts[w.doc[first]], window)
+            for at in range(0, len(first), CUT_WINDOWS):
+                f, size = first[at : at + CUT_WINDOWS], n[at : at + CUT_WINDOWS]
+                yield pa.record_batch(
+                    [
+                        b.column("item_id").take(pa.array(w.doc[f])),
+                        pa.array(size.astype(np.int32)),
+                        pa.array([packed(w.hashes[i : i + k]) for i, k in zip(f, size, strict=True)], pa.binary()),
+                    ],
+                    names=["item_id", "n", "words"],
+                )
+
+    rows = items.select(F.col("item_id").cast("string").alias("item_id"), text_of("text").alias("text"))
+    return rows.mapInArrow(cut, WINDOWS)
+
+
+class WindowBlock:
+    """One block of windows: ranks of their words in a sorted vocabulary, in groups of equal length."""
+
+    def __init__(self, rows: pa.Table):
+        self.ids, item = np.unique(np.array(rows["item_id"].to_pylist(), object).astype(str), return_inverse=True)
+        size = rows["n"].to_numpy()
+        raw, _ = flat_bytes(rows["words"])
+        self.vocabulary, ranks = np.unique(raw.view(np.uint64), return_inverse=True)
+        begin = np.cumsum(size) - size
         self.groups: list[tuple[np.ndarray, np.ndarray]] = []  # ranks of the words of each window; its item
-        ends = np.cumsum(words.counts)
-        long = words.counts >= window
-        _, first = shingles(words, window)
-        self._add(ranks, first, window, words.doc[first])
-        for n in np.unique(words.counts[~long & (words.counts > 0)]):
-            items = np.flatnonzero(~long & (words.counts == n))
-            self._add(ranks, ends[items] - n, int(n), items)
-
-    def _add(self, ranks: np.ndarray, first: np.ndarray, n: int, items: np.ndarray) -> None:
-        if len(first):
-            self.groups.append((ranks[first[:, None] + np.arange(n)].astype(np.int32), items.astype(np.int32)))
-
-
-def item_blocks(items: DataFrame, window: int, block_windows: int) -> Iterator[ItemWindows]:
-    """The benchmark in blocks of about ``block_windows`` windows at most, so that none outgrows a task."""
-    words = F.size(F.split(text_of("text"), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"))
-    blocks = max(1, -(-(items.agg(F.sum(words).alias("n")).first()["n"] or 0) // block_windows))
+        for n in np.unique(size):
+            on = np.flatnonzero(size == n)
+            self.groups.append((ranks[begin[on][:, None] + np.arange(n)].astype(np.int32), item[on].astype(np.int32)))
+
+
+def window_blocks(items: DataFrame, window: int, block_windows: int) -> Iterator[WindowBlock]:
+    """The windows in blocks of about ``block_windows``, those of a long item in many; one block at a time is brought to the driver."""
+    windows = staged(item_windows(items, window).distinct())
+    blocks = max(1, -(-windows.count() // block_windows))
+    block = F.pmod(F.xxhash64("words", "item_id"), F.lit(blocks))
     for b in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).orderBy("item_id", "text").toArrow()
-        yield ItemWindows(rows["item_id"].to_pylist(), rows["text"], window)
+        yield WindowBlock(windows.where(block == b).toArrow())
 
 
-def build_index(docs: DataFrame, vocabulary: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Positional postings of the test words, one row per document: word ranks and word positions in text order.
+def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Positional postings, one row per document: distinct words in ascending order of their hash, how often each occurs, where.
 
     A document's row is self-contained, so the index is spread as its documents are and searching needs no shuffle.
     """
@@ -67,107 +92,93 @@ def build_index(docs: DataFrame, vocabulary: np.ndarray, id_col: str = "doc_id",
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches, "text"):
             w = scan_words(*flat_bytes(b.column("text")))
-            rank = np.searchsorted(vocabulary, w.hashes) if len(vocabulary) else np.zeros(len(w.hashes), np.int64)
-            known = np.zeros(len(rank), bool)
-            inside = rank < len(vocabulary)
-            known[inside] = vocabulary[rank[inside]] == w.hashes[inside]
-            place = np.arange(len(w.hashes)) - np.repeat(np.cumsum(w.counts) - w.counts, w.counts)
-            counts = np.bincount(w.doc[known], minlength=b.num_rows)
-            cut = np.cumsum(counts)[:-1]
-            terms, places = rank[known].astype(np.int32), place[known].astype(np.int32)
+            order = np.argsort(w.hashes, kind="stable")
+            order = order[np.argsort(w.doc[order], kind="stable")]
+            doc, term = w.doc[order], w.hashes[order]
+            new = np.flatnonzero(np.append(True, (term[1:] != term[:-1]) | (doc[1:] != doc[:-1]))) if len(term) else np.zeros(0, np.int64)
+            times = np.diff(np.append(new, len(term))).astype(np.int32)
+            place = (order - np.repeat(np.cumsum(w.counts) - w.counts, w.counts)).astype(np.int32)
+            cut = np.cumsum(np.bincount(doc[new], minlength=b.num_rows))[:-1]
+            parts = np.split(term[new], cut), np.split(times, cut), np.split(place, np.cumsum(w.counts)[:-1])
             yield pa.record_batch(
-                [
-                    b.column("doc_id"),
-                    b.column("text_hash"),
-                    pa.array(w.counts.astype(np.int64)),
-                    pa.array([packed(x) for x in np.split(terms, cut)], pa.binary()),
-                    pa.array([packed(x) for x in np.split(places, cut)], pa.binary()),
-                ],
-                names=["doc_id", "text_hash", "n_words", "terms", "positions"],
+                [b.column("doc_id"), b.column("text_hash"), pa.array(w.counts.astype(np.int64))]
+                + [pa.array([packed(x) for x in part], pa.binary()) for part in parts],
+                names=["doc_id", "text_hash", "n_words", "terms", "times", "positions"],
             )
 
     return staged(rows.mapInArrow(scan, INDEX))
 
 
-def term_frequencies(index: DataFrame, n_terms: int) -> np.ndarray:
-    """Occurrences of each test word in the whole corpus; the result is as small as the vocabulary."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(n_terms, np.int64)
-        for b in small_batches(batches, "terms"):
-            raw, _ = flat_bytes(b.column("terms"))
-            total += np.bincount(raw.view(np.int32), minlength=n_terms)
-        seen = np.flatnonzero(total)
-        yield pa.record_batch([pa.array(seen.astype(np.int32)), pa.array(total[seen])], names=["term", "n"])
-
-    rows = index.select("terms").mapInArrow(count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(n_terms, np.int64)
-    out[rows["term"].to_numpy()] = rows["n"].to_numpy()
-    return out
-
-
-def _search(tokens: np.ndarray, groups: list, slop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _intersect(lists: np.ndarray, begins: np.ndarray, ends: np.ndarray, room: int, groups: list, n_terms: int, slop: int) -> tuple[np.ndarray, ...]:
     """Exact phrases as (start, end, item), phrases with every word within ``slop`` of its place as (start, item).
 
-    ``tokens`` holds the term at each place, -1 for others. For each window the postings of its rarest
-    term, shifted by its offset, are intersected with those of the next rarest, and so on.
+    ``lists`` holds the postings as ``term * room + place`` in ascending order, so the list of a term is one stretch of it. For each window
+    the list of its rarest term, shifted by its offset, is intersected with that of the next rarest, and so on. Windows lie
+    in one text, from its place in ``begins`` to that in ``ends``.
     """
-    order = np.argsort(tokens, kind="stable")
-    ordered = tokens[order]
-    starts, ends, items, near_at, near_items = [], [], [], [], []
-    for ranks, item, rarity in groups:
+    bounds = np.searchsorted(lists, np.arange(n_terms + 1) * room)
+    length = np.diff(bounds)
+    found: list[list[np.ndarray]] = [[], [], [], [], []]
+    for ranks, item in groups:
         n = ranks.shape[1]
+        present = np.flatnonzero((length[ranks] > 0).all(axis=1))
+        if not len(present):
+            continue
+        ranks, item = ranks[present], item[present]
+        rarity = np.argsort(length[ranks], axis=1, kind="stable")
         rows = np.arange(len(ranks))
         lead = ranks[rows, rarity[:, 0]]
-        lo, hi = np.searchsorted(ordered, lead), np.searchsorted(ordered, lead, side="right")
-        counts = hi - lo
-        window = np.repeat(rows, counts)
-        if not len(window):
-            continue
-        posting = np.arange(len(window)) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(lo, counts)
-        start = order[posting] - rarity[window, 0]
-        fits = (start >= 0) & (start + n <= len(tokens))
-        window, start = window[fits], start[fits]
-        exact = np.ones(len(window), bool)
-        for k in range(1, n):
-            if not len(window):
-                break
-            offset = rarity[window, k]
-            term, at = ranks[window, offset], start + offset
-            close = tokens[at] == term
-            exact &= close
-            for shift in range(-slop, slop + 1):
-                if shift:
-                    close |= tokens[np.clip(at + shift, 0, len(tokens) - 1)] == term
-            window, start, exact = window[close], start[close], exact[close]
-        near_at.append(start)
-        near_items.append(item[window])
-        starts.append(start[exact])
-        ends.append(start[exact] + n)
-        items.append(item[window[exact]])
-    joined = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (starts, ends, items, near_at, near_items)]
-    return tuple(joined)
-
-
-def search_index(index: DataFrame, block: ItemWindows, slop: int = SLOP) -> DataFrame:
+        for part in np.split(rows, np.flatnonzero(np.diff(np.cumsum(length[lead]) * (2 * slop + 1) // CANDIDATES)) + 1):
+            counts = length[lead[part]]
+            window = np.repeat(part, counts)
+            posting = np.arange(len(window)) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(bounds[lead[part]], counts)
+            start = lists[posting] - lead[window].astype(np.int64) * room - rarity[window, 0]
+            shift = np.tile(np.arange(-slop, slop + 1), len(start))
+            window, start = np.repeat(window, 2 * slop + 1), np.repeat(start, 2 * slop + 1) + shift
+            exact = shift == 0
+            text = np.searchsorted(begins, start, side="right") - 1
+            fits = (text >= 0) & (start + n <= ends[text])
+            window, start, exact = window[fits], start[fits], exact[fits]
+            for k in range(1, n):
+                if not len(window):
+                    break
+                offset = rarity[window, k]
+                want = ranks[window, offset].astype(np.int64) * room + start + offset
+                least, most = want - np.minimum(slop, start + offset), want + np.minimum(slop, room - 1 - start - offset)
+                at = np.minimum(np.searchsorted(lists, least), len(lists) - 1)
+                close = (lists[at] >= least) & (lists[at] <= most)
+                window, start, exact, want = window[close], start[close], exact[close], want[close]
+                at = np.minimum(np.searchsorted(lists, want[exact]), len(lists) - 1)
+                exact[exact] = lists[at] == want[exact]
+            for out, more in zip(found, (start[exact], start[exact] + n, item[window[exact]], start, item[window]), strict=True):
+                out.append(more)
+    return tuple(np.concatenate(x) if x else np.zeros(0, np.int64) for x in found)
+
+
+def search_index(index: DataFrame, block: WindowBlock, slop: int = SLOP) -> DataFrame:
     """Documents with matches: word ranges of exact phrases, items found exactly, items found in proximity."""
-    frequency = term_frequencies(index, len(block.vocabulary))
-    groups = [(words, item, np.argsort(frequency[words], axis=1, kind="stable").astype(np.int32)) for words, item in block.groups]
-    ids = np.array(block.ids, object)
+    vocabulary, groups, ids = block.vocabulary, block.groups, np.array(block.ids, object)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in small_batches(batches, "terms", 8 << 20):
-            terms, at = flat_bytes(b.column("terms"))
-            places, _ = flat_bytes(b.column("positions"))
-            terms, places, counts = terms.view(np.int32), places.view(np.int32), np.diff(at) // 4
+        for b in small_batches(batches, "terms", TERM_BYTES):
+            raw, at = flat_bytes(b.column("terms"))
+            term, doc = raw.view(np.uint64), np.repeat(np.arange(b.num_rows), np.diff(at) // 8)
+            times, places = (flat_bytes(b.column(c))[0].view(np.int32) for c in ("times", "positions"))
+            if not len(vocabulary) or not len(term):
+                continue
+            rank = np.minimum(np.searchsorted(vocabulary, term), len(vocabulary) - 1)
+            known = vocabulary[rank] == term
             n_words = b.column("n_words").to_numpy()
-            begins = np.cumsum(n_words + slop + 1) - (n_words + slop + 1)  # room between texts: no match crosses
-            tokens = np.full(int((n_words + slop + 1).sum()), -1, np.int32)
-            tokens[np.repeat(begins, counts) + places] = terms
-            s, e, it, near_at, near_it = _search(tokens, groups, slop)
+            begins = np.cumsum(n_words + slop + 1) - (n_words + slop + 1)  # room between texts: no word stands near another text's
+            room = int((n_words + slop + 1).sum())
+            on = np.repeat(known, times)
+            lists = np.repeat((rank * room + begins[doc])[known], times[known]) + places[on]
+            lists.sort()
+            s, e, it, near_at, near_it = _intersect(lists, begins, begins + n_words, room, groups, len(vocabulary), slop)
+            near_doc = np.searchsorted(begins, near_at, side="right") - 1
             if not len(near_at):
                 continue
-            doc, near_doc = np.searchsorted(begins, s, side="right") - 1, np.searchsorted(begins, near_at, side="right") - 1
+            doc = np.searchsorted(begins, s, side="right") - 1
             order = np.argsort(doc, kind="stable")
             doc, s, e, it = doc[order], s[order] - begins[doc[order]], e[order] - begins[doc[order]], it[order]
             found = np.unique(near_doc)  # an exact phrase is also one in proximity
@@ -187,7 +198,7 @@ def search_index(index: DataFrame, block: ItemWindows, slop: int = SLOP) -> Data
                 names=["doc_id", "text_hash", "starts", "ends", "items", "near_items"],
             )
 
-    return index.select("doc_id", "text_hash", "n_words", "terms", "positions").mapInArrow(search, MATCHES)
+    return index.mapInArrow(search, MATCHES)
 
 
 @F.pandas_udf(T.LongType())
@@ -223,13 +234,11 @@ def find_contamination(
     repeated rows are judged alike, a null id stays null; items without words or an empty benchmark
     match nothing; other columns are ignored.
     """
-    items = benchmark.select("item_id", text_of("text").alias("text"))
-    # One block of the benchmark at a time is held: an index of its words, and what it finds.
-    found, index = [], None
-    for block in item_blocks(items, window, block_windows):
-        postings = build_index(docs, block.vocabulary, id_col, text_col)
-        index = index or postings
-        found.append(staged(search_index(postings, block, slop).dropDuplicates(["doc_id", "text_hash"])))
+    index = build_index(docs, id_col, text_col)
+    # One block of the benchmark's windows at a time is held, and what it finds is written.
+    found = []
+    for block in window_blocks(benchmark, window, block_windows):
+        found.append(staged(search_index(index, block, slop).dropDuplicates(["doc_id", "text_hash"])))
     merged = reduce(DataFrame.unionAll, found).groupBy("doc_id", "text_hash").agg(
         F.flatten(F.collect_list("starts")).alias("starts"),
         F.flatten(F.collect_list("ends")).alias("ends"),
@@ -267,6 +276,7 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_words",
         "n_hit",
         F.size("items").cast("long").alias("n_items"),
+        F.size("near_items").cast("long").alias("n_near_items"),
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
         "contaminated",
     )
@@ -286,8 +296,21 @@ dwin AS (
   FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM dw, sizes WHERE len(w) >= n)
 ), hits AS (SELECT doc_id, i, n, item_id FROM dwin JOIN win USING (n, key)),
 words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
+rare AS (
+  SELECT item_id, n, ww, arg_min(k, df * 100 + k) AS k, arg_min(t, df * 100 + k) AS t FROM (
+    SELECT item_id, n, key, string_split(key, ' ') AS ww, unnest(range(1, n + 1)) AS k, unnest(string_split(key, ' ')) AS t FROM win
+  ) LEFT JOIN (SELECT t, count(*) AS df FROM (SELECT unnest(w) AS t FROM dw) GROUP BY t) USING (t)
+  GROUP BY item_id, n, key, ww HAVING bool_and(df IS NOT NULL)
+), near AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_near_items FROM (
+    SELECT doc_id, w, item_id, n, ww, pos - k + unnest(range(1 - {SLOP}, 2 + {SLOP})) AS start
+    FROM (SELECT doc_id, w, unnest(w) AS t, unnest(range(1, len(w) + 1)) AS pos FROM dw) JOIN rare USING (t)
+  ) WHERE start >= 1 AND start + n - 1 <= len(w)
+    AND len(list_filter(range(0, n), lambda j: NOT list_contains(w[greatest(1, start + j - {SLOP}):start + j + {SLOP}], ww[j + 1]))) = 0
+  GROUP BY doc_id
+),
 its AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id)
-SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, coalesce(n_near_items, 0)::BIGINT AS n_near_items,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
-FROM dw LEFT JOIN words USING (doc_id) LEFT JOIN its USING (doc_id)
+FROM dw LEFT JOIN words USING (doc_id) LEFT JOIN its USING (doc_id) LEFT JOIN near USING (doc_id)
 """

@@ -52,6 +52,22 @@ def contamination(docs, items, size: int = 13):
     return out
 
 
+def proximity(docs, items, size: int = 13, slop: int = 2):
+    """For each text the items with a window of which every word stands within ``slop`` words of its place."""
+    out = {}
+    for i, text in docs:
+        w, found = words(text), set()
+        for item, told in items:
+            v = words(told)
+            n = min(size, len(v))
+            for window in {tuple(v[a : a + n]) for a in range(len(v) - n + 1)} if n else ():
+                for at in range(len(w) - n + 1):
+                    if all(window[k] in w[max(0, at + k - slop) : at + k + slop + 1] for k in range(n)):
+                        found.add(str(item))
+        out[i] = sorted(found)
+    return out
+
+
 def line_dedup(docs, min_words: int = 8):
     """Texts without later copies of line runs of so many words or more: every run in every place is looked at."""
     seen: set = set()

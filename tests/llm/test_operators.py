@@ -260,6 +260,28 @@ def test_proximity(spark):
     assert got == {1: ([], ["9"]), 2: ([], []), 3: (["9"], ["9"])}
 
 
+def test_proximity_matches_plain_version(spark, monkeypatch):
+    """Items with words put in, left out and swapped, looked for in many blocks of windows over one index."""
+    r = np.random.default_rng(6)
+    items = [(i, prose(700 + i, (13, 30, 7, 60)[i % 4])) for i in range(8)]
+    docs = [(100, None), (101, "")]
+    for i in range(60):
+        w = items[i % 8][1].split()
+        for k in sorted(r.integers(0, len(w), i // 12), reverse=True):
+            w[k : k + 1] = ([w[k], "more"], [], w[k : k + 1] * 2, ["other"])[k % 4]
+        a, z = sorted(r.integers(0, len(w), 2)) if i % 5 == 4 else (0, 0)
+        w[a], w[z] = w[z], w[a]
+        docs.append((i, " ".join([*prose(i, i % 9).split(), *w, *prose(i + 50, i % 7).split()])))
+    built, build = [], decontaminate.build_index
+    monkeypatch.setattr(decontaminate, "build_index", lambda *how: built.append(1) or build(*how))
+    tables = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    exact, near = brute.contamination(docs, items), brute.proximity(docs, items)
+    for block_windows in (25, 1000):
+        got = by_id(decontaminate.find_contamination(*tables, block_windows=block_windows), "n_words", "n_hit", "items", "contaminated", "near_items")
+        assert {i: x[:4] for i, x in got.items()} == exact and {i: x[4] for i, x in got.items()} == near
+    assert len(built) == 2 and sum(map(len, near.values())) > sum(len(x[2]) for x in exact.values())
+
+
 # 6, chat formatting
 
 
