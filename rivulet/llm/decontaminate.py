@@ -24,7 +24,7 @@ SLOP = 2
 BLOCK_WINDOWS = 200_000
 CUT_WINDOWS, CANDIDATES = 50_000, 1 << 20
 TERM_BYTES = 4 << 20
-INDEX = "doc_id long, text_hash long, n_words long, terms binary, times binary, positions binary"
+INDEX = "doc_id long, text_hash long, n_words long, terms binary, times binary, times_high binary, positions binary, positions_high binary"
 WINDOWS = "item_id string, n int, words binary"
 MATCHES = "doc_id long, text_hash long, starts array<int>, ends array<int>, items array<string>, near_items array<string>"
 
@@ -78,6 +78,18 @@ def window_blocks(items: DataFrame, window: int, block_windows: int) -> Iterator
         yield WindowBlock(windows.where(block == b).toArrow())
 
 
+def _halves(name: str, values: np.ndarray, bits: int) -> dict[str, np.ndarray]:
+    """The low bits and the high bits of numbers in two columns: the high ones are nearly always 0 and take no room in a file."""
+    low, high = (np.uint8, np.uint32) if bits == 8 else (np.uint16, np.uint16)
+    return {name: (values & ((1 << bits) - 1)).astype(low), f"{name}_high": (values >> bits).astype(high)}
+
+
+def _joined(b: pa.RecordBatch, name: str, bits: int) -> np.ndarray:
+    low, high = (np.uint8, np.uint32) if bits == 8 else (np.uint16, np.uint16)
+    parts = flat_bytes(b.column(name))[0].view(low), flat_bytes(b.column(f"{name}_high"))[0].view(high)
+    return parts[0].astype(np.int64) | (parts[1].astype(np.int64) << bits)
+
+
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Positional postings, one row per document: distinct words in ascending order of their hash, how often each occurs, where.
 
@@ -99,11 +111,12 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             times = np.diff(np.append(new, len(term))).astype(np.int32)
             place = (order - np.repeat(np.cumsum(w.counts) - w.counts, w.counts)).astype(np.int32)
             cut = np.cumsum(np.bincount(doc[new], minlength=b.num_rows))[:-1]
-            parts = np.split(term[new], cut), np.split(times, cut), np.split(place, np.cumsum(w.counts)[:-1])
+            columns = {"terms": term[new], **_halves("times", times, 8), **_halves("positions", place, 16)}
+            cuts = {c: np.cumsum(w.counts)[:-1] if c.startswith("positions") else cut for c in columns}
             yield pa.record_batch(
                 [b.column("doc_id"), b.column("text_hash"), pa.array(w.counts.astype(np.int64))]
-                + [pa.array([packed(x) for x in part], pa.binary()) for part in parts],
-                names=["doc_id", "text_hash", "n_words", "terms", "times", "positions"],
+                + [pa.array([packed(x) for x in np.split(v, cuts[c])], pa.binary()) for c, v in columns.items()],
+                names=["doc_id", "text_hash", "n_words", *columns],
             )
 
     return staged(rows.mapInArrow(scan, INDEX))
@@ -163,7 +176,7 @@ def search_index(index: DataFrame, block: WindowBlock, slop: int = SLOP) -> Data
         for b in small_batches(batches, "terms", TERM_BYTES):
             raw, at = flat_bytes(b.column("terms"))
             term, doc = raw.view(np.uint64), np.repeat(np.arange(b.num_rows), np.diff(at) // 8)
-            times, places = (flat_bytes(b.column(c))[0].view(np.int32) for c in ("times", "positions"))
+            times, places = _joined(b, "times", 8), _joined(b, "positions", 16)
             if not len(vocabulary) or not len(term):
                 continue
             rank = np.minimum(np.searchsorted(vocabulary, term), len(vocabulary) - 1)

@@ -282,6 +282,18 @@ def test_proximity_matches_plain_version(spark, monkeypatch):
     assert len(built) == 2 and sum(map(len, near.values())) > sum(len(x[2]) for x in exact.values())
 
 
+def test_index_holds_frequent_words_and_far_places(spark):
+    """A word that occurs 70,000 times, and matches beyond place 65,536."""
+    item = prose(71, 20)
+    docs = [(1, "again " * 70_000 + item + " again" * 300), (2, item), (3, "again " * 20)]
+    items = [(1, item), (2, "again " * 14 + item.split()[0])]
+    got = by_id(
+        decontaminate.find_contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")),
+        "n_words", "n_hit", "items", "contaminated",
+    )
+    assert got == brute.contamination(docs, items)
+
+
 # 6, chat formatting
 
 
