@@ -36,31 +36,24 @@ def day_states(readings: DataFrame, tz: str) -> DataFrame:
     """States of each station's local days, in rows that merge by sums and maxima.
 
     A row without a sensor (``capteur`` null) holds the number of readings ``n``, the counter maxima in millionths and
-    sum and count of each pressure; the others hold how often (``n``) a sensor read a value (``valeur``). All come from one scan.
+    sum and count of each pressure; the others hold how often (``n``) a sensor read a value (``valeur``).
+
+    Sensor values seldom repeat inside an input split, so counting them there would send a row per reading and sensor. Instead
+    a reading goes to its station's day once, with its sensor values only, and is counted there; the totals, which do shrink
+    inside a split, are an aggregation of their own. Each of the two scans reads its own columns.
     """
     rows = readings.withColumn(DAY, local_time(readings, TIME, tz).cast("date"))
     totals = [F.max(to_micro(F.col(c))).alias(name) for c, name in COUNTERS.items()]
     totals += [f(c).alias(f"{p}_{part}") for c, p in zip(PRESSURES, ROLLUP_PRESSURES) for part, f in (("sum", F.sum), ("n", F.count))]
-    names = [c for c in (*COUNTERS.values(), *[f"{p}_{part}" for p in ROLLUP_PRESSURES for part in ("sum", "n")])]
-    keys = [STATION, DAY]
-    sets = rows.groupingSets([keys, *[[*keys, s] for s in SENSORS]], *keys, *SENSORS)
-    found = sets.agg(F.grouping_id().alias("_set"), F.count("*").alias(READINGS), *totals)
-
-    def left_out(sensor: str) -> int:
-        """The grouping id of the set of one sensor: a bit for each of the other sensors."""
-        return sum(1 << i for i, s in enumerate(reversed(SENSORS)) if s != sensor)
-
-    def of_set(columns: Sequence[Column]) -> Column:
-        chain = F.when(F.col("_set") == left_out(SENSORS[0]), columns[0])
-        for s, c in zip(SENSORS[1:], columns[1:], strict=True):
-            chain = chain.when(F.col("_set") == left_out(s), c)
-        return chain
-
-    sensor = of_set([F.lit(s) for s in SENSORS]).alias(SENSOR)
-    value = of_set([F.col(s).cast("long") for s in SENSORS]).alias(VALUE)
-    only_totals = [F.when(F.col(SENSOR).isNull(), F.col(c)).alias(c) for c in names]
-    shaped = found.select(DAY, STATION, sensor, value, READINGS, *names).where(F.col(SENSOR).isNull() | F.col(VALUE).isNotNull())
-    return shaped.select(DAY, STATION, SENSOR, VALUE, READINGS, *only_totals)
+    days = rows.groupBy(DAY, STATION).agg(F.count("*").alias(READINGS), *totals)
+    no_sensor = [F.lit(None).cast("string").alias(SENSOR), F.lit(None).cast("long").alias(VALUE)]
+    names = [c for c in days.columns if c not in (DAY, STATION, READINGS)]
+    parts = int(readings.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # all of them: joined ones hold too many values for a task
+    read = rows.select(DAY, STATION, *SENSORS).repartition(parts, STATION, DAY)
+    pairs = [F.struct(F.lit(s).alias(SENSOR), F.col(s).cast("long").alias(VALUE)) for s in SENSORS]
+    values = read.select(DAY, STATION, F.inline(F.array(*pairs))).where(F.col(VALUE).isNotNull())
+    counts = values.groupBy(DAY, STATION, SENSOR, VALUE).agg(F.count("*").alias(READINGS))
+    return days.select(DAY, STATION, *no_sensor, READINGS, *names).unionByName(counts, allowMissingColumns=True)
 
 
 def merged_states(states: DataFrame, span: Sequence[Bucket], end: date, bucket: str) -> DataFrame:

@@ -109,6 +109,19 @@ def test_states_of_odd_readings(spark, readings):
     assert day_states(df.limit(0), PARIS).count() == 0
 
 
+def test_a_reading_is_sent_once_for_its_sensors(readings):
+    df = readings(*[{"horodatage": f"2024-01-28 10:{m:02}", R: float(m), "ph": 700 + m, "chlore_mv": m, "temperature_deg": m % 2} for m in range(60)])
+    states = day_states(df, PARIS)
+    plan = states._jdf.queryExecution().executedPlan().toString()
+    totals, sensors = plan.split("Exchange hashpartitioning(")[1:]  # one shuffle each, none of them of unrolled readings
+    assert "Expand" not in plan and "Generate inline" in totals and "Generate" not in sensors
+    assert "pression" not in sensors.split("Scan")[0] and "compteur" not in sensors.split("Scan")[0]
+    got = states.groupBy("capteur").agg(F.count("*").alias("rows"), F.sum("n").alias("n"), F.max("vol_renvoi_m3").alias("top"))
+    assert rows_of(got, "capteur", "rows", "n", "top") == sorted(
+        [(None, 1, 60, 59000000), ("ph", 60, 60, None), ("chlore_mv", 60, 60, None), ("temperature_deg", 2, 60, None)], key=repr
+    )
+
+
 def test_monthly_states_hold_the_window_only(spark, tmp_path):
     base, every = str(tmp_path), load_input(spark, SF, "mesures_longues").where("horodatage >= '2001-01-01'").cache()
     path = refresh_states(spark, every.where("nom_automate <> 'ST3'"), every.where("nom_automate <> 'ST3'"), base)
